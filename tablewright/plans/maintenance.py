@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.names import qualified, quote, sql_text
@@ -30,10 +30,10 @@ def table_files(spark: SparkSession, db: str, table: str) -> DataFrame:
 
 
 def _fragmented(files: DataFrame, parts: Sequence[str], target_bytes: int) -> DataFrame:
-    """Partitions with more files than their bytes need, and the number they need."""
+    """Partitions with at least twice the files their bytes need, and the number they need."""
     needed = F.greatest(F.ceil(F.sum("file_size") / F.lit(target_bytes)), F.lit(1)).cast("int")
     totals = files.groupBy(*(quote(p) for p in parts)).agg(F.count("*").alias("files"), needed.alias("needed"))
-    return totals.filter("files > needed")
+    return totals.filter("files >= 2 * needed")
 
 
 def compact_table(
@@ -43,7 +43,7 @@ def compact_table(
     target_bytes: int = 256 * 1024 * 1024,
     sort_by: Sequence[str] = (),
 ) -> int:
-    """Rewrite partitions that hold more files than their size needs; returns the files it should leave.
+    """Rewrite partitions that hold twice the files their size needs; returns the files it aims at.
 
     Partitions that are fine already are not read. The new files go to a fresh folder; then the
     table, or each rewritten partition, is pointed there. Old folders stay until the caller removes
@@ -83,32 +83,43 @@ def compact_table(
     chosen = work.collect()
     if not chosen:
         return 0
-    total = sum(row["needed"] for row in chosen)
+    # Sorted partitions of several files are cut by value ranges, and a range may reach into the next
+    # partition; those of one file are kept whole by hashing.
+    several = [row for row in chosen if sort_by and row["needed"] > 1]
+    for group in (several, [row for row in chosen if row not in several]):
+        if not group:
+            continue
+        count = sum(row["needed"] for row in group)
+        placed = _with_target_file(rows.withColumn("__place", place), parts, group)
+        keys, order = ([F.col(quote(c)) for c in columns] for columns in (parts, sort_by))
+        if group is several:
+            out = placed.repartitionByRange(count, *keys, *order, F.col("__place"))
+        else:
+            out = placed.repartition(count, *keys, F.col("__file"))
+        out = out.sortWithinPartitions(*keys, *order).drop("__place", "__file")
+        out.write.mode("append").partitionBy(*parts).parquet(target)
+    _point_partitions(spark, db, table, target)
+    return sum(row["needed"] for row in chosen)
+
+
+def _with_target_file(rows: DataFrame, parts: Sequence[str], chosen: Sequence[Row]) -> DataFrame:
+    """The rows of the chosen partitions, each with the number of the file it goes to.
+
+    Plain IN lists on the partition columns keep the other partitions out of the scan; the join with
+    the short list then picks the exact combinations.
+    """
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    listed = spark.createDataFrame(
+    listed = rows.sparkSession.createDataFrame(
         [(*(row[p] for p in parts), row["needed"]) for row in chosen],
         ", ".join(f"{quote(p)} {types[p]}" for p in parts) + ", needed int",
     )
-    # Plain IN lists on the partition columns keep the other partitions out of the scan; the join
-    # then picks the exact combinations.
-    placed = rows.withColumn("__place", place)
     for p in parts:
         values = {row[p] for row in chosen}
         wanted = F.col(quote(p)).isin([v for v in values if v is not None])
-        placed = placed.filter(wanted | F.col(quote(p)).isNull() if None in values else wanted)
-    placed, listed = placed.alias("rows"), listed.alias("work")
+        rows = rows.filter(wanted | F.col(quote(p)).isNull() if None in values else wanted)
+    left, right = rows.alias("rows"), listed.alias("work")
     on = [F.col(f"rows.{quote(p)}").eqNullSafe(F.col(f"work.{quote(p)}")) for p in parts]
-    placed = placed.join(listed, on).select("rows.*", F.pmod("__place", F.col("needed")).alias("__file"))
-    keys = [F.col(quote(p)) for p in parts]
-    if sort_by:
-        order = [F.col(quote(c)) for c in sort_by]
-        out = placed.repartitionByRange(total, *keys, *order, F.col("__place"))
-        out = out.sortWithinPartitions(*keys, *order)
-    else:
-        out = placed.repartition(total, *keys, F.col("__file"))
-    out.drop("__place", "__file").write.partitionBy(*parts).parquet(target)
-    _point_partitions(spark, db, table, target)
-    return total
+    return left.join(right, on).select("rows.*", F.pmod("__place", F.col("needed")).alias("__file"))
 
 
 def _point_partitions(spark: SparkSession, db: str, table: str, target: str) -> None:

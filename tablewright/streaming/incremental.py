@@ -96,7 +96,12 @@ def incremental_load(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         nonlocal written
-        _store(transform(batch), db, table, path, partition_by, f"{number}_{batch_id}")
+        # The query id belongs to the checkpoint: the same after a restart, another one for every
+        # job, context and generation, so that loads into one table never replace each other.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the streaming query has no id to file the load under")
+        _store(transform(batch), db, table, path, partition_by, f"{query_id.replace('-', '')}_{batch_id}")
         written += 1
 
     stream = spark.readStream.schema(schema).options(**options).format(fmt).load(source)
