@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.numbers import parse_double
+from tablewright.functions.numbers import parse_double, parse_long
 from tablewright.names import quote
 
 # The pattern tokens and the text each of them matches.
@@ -58,22 +58,26 @@ def parse_log(df: DataFrame, pattern: str, column: str = "value") -> tuple[DataF
     them apart. A line that holds the mark itself takes the slower way of one extraction per capture.
     """
     regex, fields = log_fields(pattern)
-    line = F.col(quote(column))
-    laid_out = _MARK + _MARK.join(f"${i}" for i in range(1, len(fields) + 1))
-    one_by_one = F.array(*(F.regexp_extract(line, regex, i) for i in range(1, len(fields) + 1)))
-    by_marks = F.regexp_replace(line, F.lit(regex), F.lit(laid_out))
+    line, laid_out = F.col(quote(column)), F.col("laid_out")
+    template = _MARK + _MARK.join(f"${i}" for i in range(1, len(fields) + 1))
+    one_by_one = F.array(*(F.regexp_extract(F.col("line"), regex, i) for i in range(1, len(fields) + 1)))
+    by_marks = F.split(F.substr(laid_out, F.lit(2)), _MARK, -1)
     captures = F.when(
-        line.contains(_MARK), F.when(line.rlike(regex), one_by_one)
-    ).otherwise(
-        F.when(by_marks.startswith(_MARK), F.split(F.substr(by_marks, F.lit(2)), _MARK, -1))
-    )
+        F.col("line").contains(_MARK), F.when(F.col("line").rlike(regex), F.array(one_by_one))
+    ).when(laid_out.startswith(_MARK), F.array(by_marks))
 
     def typed(i: int, name: str, dtype: str):
         text = F.col("captures")[i]
-        value = parse_double(text).cast(dtype) if dtype in ("double", "float") else text.try_cast(dtype)
-        return value.alias(name)
+        if dtype in ("double", "float"):
+            text = parse_double(text).cast(dtype)
+        elif dtype != "string":
+            text = parse_long(text).try_cast(dtype)
+        return text.alias(name)
 
-    matched = df.select(captures.alias("captures")).filter(F.col("captures").isNotNull())
+    # explode drops the lines without captures. A filter would do so too, but Spark would move it
+    # below the projection and match every line once more.
+    matched = df.select(line.alias("line"), F.regexp_replace(line, F.lit(regex), F.lit(template)).alias("laid_out"))
+    matched = matched.select(F.explode(captures).alias("captures"))
     parsed = matched.select(*(typed(i, name, dtype) for i, (name, dtype) in enumerate(fields)))
     rejects = df.filter(~F.coalesce(line.rlike(regex), F.lit(False)))
     return parsed, rejects

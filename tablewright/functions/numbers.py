@@ -10,14 +10,25 @@ def _column(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# What counts as a whole and as a decimal number in text.
+WHOLE = r"^\s*[+-]?\d+\s*$"
+DECIMAL = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+
+
 def parse_double(col: Column | str) -> Column:
     """Text to double; NULL for the empty string and for anything that is not a decimal number.
 
-    A cast alone would also take `1d`, `0x1p3`, `NaN` and `Infinity`. Each of those contains a
-    letter other than the exponent's, so one character-class search shuts them out.
+    A cast alone would also take `1d`, `0x1p3`, `NaN` and `Infinity`. The pattern comes first for
+    speed, too: a cast that fails builds an exception, which costs a hundred times a match.
     """
     text = _column(col)
-    return F.when(~text.rlike("[a-df-zA-DF-Z]"), text.try_cast("double"))
+    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
+
+
+def parse_long(col: Column | str) -> Column:
+    """Text to whole number; NULL for anything else."""
+    text = _column(col)
+    return F.when(text.rlike(WHOLE), text.try_cast("bigint"))
 
 
 def strict_double(col: Column | str) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.functions.numbers import parse_double
+from tablewright.functions.numbers import parse_double, parse_long
 from tablewright.names import quote
+from tablewright.operators.choice import cast_choice
 
 
 def _source(df: DataFrame, name: str) -> tuple[Column, T.DataType]:
@@ -29,9 +30,11 @@ def _convert(col: Column, have: T.DataType, want: T.DataType) -> Column:
     if have == want:
         return col
     if isinstance(have, T.VariantType):
-        return F.try_variant_get(col, "$", want.simpleString())
+        return cast_choice(col, want)
     if isinstance(have, T.StringType) and isinstance(want, (T.DoubleType, T.FloatType)):
         return parse_double(col).cast(want)
+    if isinstance(have, T.StringType) and isinstance(want, T.IntegralType):
+        return parse_long(col).try_cast(want)
     return col.try_cast(want)
 
 

@@ -54,11 +54,11 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        QUERIES[name or function.__name__] = function
         if sql:
-            SQL[function.__name__] = sql
+            SQL[name or function.__name__] = sql
         return function
 
     return register
@@ -361,6 +361,12 @@ def enrich_latest(spark, sf_dir):
     return out.select("o_custkey", "o_orderkey", "o_totalprice", "c_name", "nation")
 
 
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+def customers_without_orders(spark, sf_dir):
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return unmatched(customers, _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+
+
 @query(
     "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders "
     "WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')"
@@ -432,7 +438,7 @@ def parquet_overwrite(spark, sf_dir):
 MANAGED = "order_id bigint, customer_id string, order_total double, order_date string, status string"
 
 
-@query(RAW + f"{MAPPED} UNION ALL {MAPPED}")
+@query(RAW + f"{MAPPED} UNION ALL {MAPPED}", name="insert_select")
 def insert_select_twice(spark, sf_dir):
     db, path = _scratch(spark)
     create_table(spark, db, "orders", MANAGED, f"{path}/orders", {"made by": "insert_select_twice"})
@@ -560,7 +566,7 @@ def keyed_upsert(spark, sf_dir):
 
 # Numbers from text, rejects, counters.
 
-@query(RAW + "SELECT order_id, order_total * 100.0 AS cents FROM raw WHERE status = 'shipped'")
+@query(RAW + "SELECT order_id, order_total * 100.0 AS cents FROM raw WHERE status = 'shipped'", name="to_cents")
 def to_cents_shipped(spark, sf_dir):
     shipped = _raw_orders(spark, sf_dir).filter(F.col("status") == "shipped")
     return shipped.select(F.col("order id").cast("bigint").alias("order_id"), to_cents("order total").alias("cents"))
@@ -629,7 +635,8 @@ LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELS
 
 @query(
     f"SELECT strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS ts, {LEVEL} AS level, 'shop-service' AS service, "
-    "'U' || user_id AS customer_id, event_type AS status, value AS amount FROM events WHERE event_type <> 'click'"
+    "'U' || user_id AS customer_id, event_type AS status, value AS amount FROM events WHERE event_type <> 'click'",
+    name="parse_log",
 )
 def parse_log_lines(spark, sf_dir):
     parsed, _ = parse_log(_log_lines(spark, sf_dir), PATTERN)
@@ -660,7 +667,7 @@ FROM events GROUP BY 1
 """
 
 
-@query(KPIS)
+@query(KPIS, name="daily_engagement_kpis")
 def daily_kpis(spark, sf_dir):
     return daily_engagement_kpis(_table(spark, sf_dir, "events"))
 
@@ -710,7 +717,8 @@ def file_counts(spark, sf_dir):
 
 @query(
     "SELECT 'customers' AS table_name, count(DISTINCT c_mktsegment) AS partitions, true AS has_data FROM customer "
-    "UNION ALL SELECT 'no_orders', 0, false UNION ALL SELECT 'orders', 0, count(*) > 0 FROM orders"
+    "UNION ALL SELECT 'no_orders', 0, false UNION ALL SELECT 'orders', 0, count(*) > 0 FROM orders",
+    name="table_inventory",
 )
 def inventory(spark, sf_dir):
     db, path = _scratch(spark)
@@ -722,7 +730,8 @@ def inventory(spark, sf_dir):
 
 @query(
     f"SELECT 'events' AS table_name, count(*) AS n, count({LONG}) AS longs, count({STRING}) AS strings FROM events "
-    "UNION ALL SELECT 'orders', count(*), NULL, NULL FROM orders"
+    "UNION ALL SELECT 'orders', count(*), NULL, NULL FROM orders",
+    name="export_tables",
 )
 def export_all_tables(spark, sf_dir):
     db, path = _scratch(spark)
@@ -747,7 +756,8 @@ def export_all_tables(spark, sf_dir):
 
 @query(
     RAW + "SELECT 'all' AS sink, order_id, order_total FROM raw UNION ALL "
-    "SELECT 'large', order_id, order_total FROM raw WHERE order_total > 300000"
+    "SELECT 'large', order_id, order_total FROM raw WHERE order_total > 300000",
+    name="fan_out",
 )
 def fan_out_sinks(spark, sf_dir):
     path = fresh_path(spark, "sinks")

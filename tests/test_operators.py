@@ -144,6 +144,62 @@ def test_coalesced_make_cols_is_cast_string(spark, values):
     assert tuples(merged) == tuples(resolve_choice(df, specs=[("v", "cast:string")]))
 
 
+def test_choices_inside_structs_and_arrays(spark):
+    rows = [
+        {"id": 1, "a": {"zip": "01", "n": 1}, "xs": [{"v": 1}, {"v": "s"}], "ys": [1, "t", None]},
+        {"id": 2, "a": {"zip": 5, "n": 2}, "xs": [], "ys": None},
+        {"id": 3, "a": None, "xs": [{"v": True}], "ys": []},
+    ]
+    df = open_records(records(spark, rows))
+    assert choice_types(df) == {
+        "a.zip": ["long", "string"], "xs[].v": ["long", "string", "boolean"], "ys[]": ["long", "string"],
+    }
+    out = resolve_choice(df, choice="make_struct").orderBy("id")
+    assert out.select("id", "a.zip.string", "a.zip.long", "a.n").collect() == [(1, "01", None, 1), (2, None, 5, 2), (3, None, None, None)]
+    assert [r[0] for r in out.select(F.to_json("xs")).collect()] == ['[{"v":{"long":1}},{"v":{"string":"s"}}]', "[]", '[{"v":{"boolean":true}}]']
+    assert [r[0] for r in out.select(F.to_json("ys")).collect()] == ['[{"long":1},{"string":"t"},null]', None, "[]"]
+    one = resolve_choice(df, specs=[("a.zip", "cast:string"), ("xs[].v", "make_cols"), ("ys[]", "project:long")])
+    assert [f.name for f in one.schema["xs"].dataType.elementType] == ["v_long", "v_string", "v_boolean"]
+    assert [r[0] for r in one.orderBy("id").select("a.zip").collect()] == ["01", "5", None]
+    assert [r[0] for r in one.orderBy("id").select("ys").collect()] == [[1, None, None], None, []]
+
+
+@SLOW
+@given(
+    values=st.lists(
+        st.one_of(
+            st.integers(-(2**63), 2**63 - 1), st.integers(-9, 9).map(str), st.sampled_from([0.5, -0.5, 12.75, -3.25]),
+            st.sampled_from(["", " 7 ", "x1", "1.5", "1e3"]), st.booleans(), st.none(),
+        ),
+        min_size=1, max_size=15,
+    )
+)
+def test_cast_to_numbers(spark, values):
+    def as_long(v):
+        if isinstance(v, str):
+            return int(v) if v.strip().lstrip("-").isdigit() else None
+        return None if v is None else int(v)
+
+    def as_double(v):
+        return None if v is None or v in ("", "x1") else float(v)
+
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "i int, t string")
+    df = df.select("i", F.parse_json("t").alias("v"))
+    for target, expected in (("long", as_long), ("double", as_double)):
+        out = resolve_choice(df, specs=[("v", f"cast:{target}")])
+        assert [r.v for r in out.orderBy("i").collect()] == [expected(v) for v in values]
+
+
+def test_extraction_from_a_stored_variant(spark, tmp_path):
+    """Spark moves variant_get into a Parquet scan; the branches must hold there as well."""
+    df = spark.createDataFrame([('{"v":1}',), ('{"v":"gold"}',), ('{"v":2.5}',)], "t string")
+    df.select(F.parse_json("t").alias("r")).write.parquet(f"{tmp_path}/v")
+    stored = spark.read.parquet(f"{tmp_path}/v").select(F.variant_get("r", "$.v", "variant").alias("v"))
+    out = resolve_choice(stored, specs=[("v", "make_cols")])
+    assert tuples(out) == [(1, None, None), (None, 2.5, None), (None, None, "gold")]
+    assert tuples(resolve_choice(stored, specs=[("v", "project:long")])) == [(1,), (None,), (None,)]
+
+
 def test_choice_errors(points):
     for call in (
         {"specs": [("nope", "cast:long")]},
