@@ -33,8 +33,8 @@ def latest_per_key(
     named = {o for o in orders if isinstance(o, str)}
     ties = [f.name for f in df.schema.fields if f.name not in named | set(keys) and _orderable(f.dataType)]
     ordering = [F.col(quote(o)).desc_nulls_last() if isinstance(o, str) else o for o in orders]
-    window = Window.partitionBy(*(quote(k) for k in keys)).orderBy(
-        *ordering, *(F.col(quote(t)).desc_nulls_last() for t in ties)
-    )
+    ordering += [F.col(quote(t)).desc_nulls_last() for t in ties]
+    # Without anything to order by, rows of a key are equal and any of them will do.
+    window = Window.partitionBy(*(quote(k) for k in keys)).orderBy(*(ordering or [F.lit(0)]))
     numbered = df.withColumn("__row", F.row_number().over(window))
     return numbered.filter(F.col("__row") <= 1).drop("__row")

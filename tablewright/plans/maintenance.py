@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from itertools import accumulate
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -89,13 +90,13 @@ def compact_table(
     for group in (several, [row for row in chosen if row not in several]):
         if not group:
             continue
-        count = sum(row["needed"] for row in group)
         placed = _with_target_file(rows.withColumn("__place", place), parts, group)
+        count = sum(row["needed"] for row in group)
         keys, order = ([F.col(quote(c)) for c in columns] for columns in (parts, sort_by))
         if group is several:
             out = placed.repartitionByRange(count, *keys, *order, F.col("__place"))
         else:
-            out = placed.repartition(count, *keys, F.col("__file"))
+            out = placed.repartitionById(count, "__file")
         out = out.sortWithinPartitions(*keys, *order).drop("__place", "__file")
         out.write.mode("append").partitionBy(*parts).parquet(target)
     _point_partitions(spark, db, table, target)
@@ -103,15 +104,18 @@ def compact_table(
 
 
 def _with_target_file(rows: DataFrame, parts: Sequence[str], chosen: Sequence[Row]) -> DataFrame:
-    """The rows of the chosen partitions, each with the number of the file it goes to.
+    """The rows of the chosen partitions, each with the number of the new file it goes to.
 
     Plain IN lists on the partition columns keep the other partitions out of the scan; the join with
     the short list then picks the exact combinations.
     """
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     listed = rows.sparkSession.createDataFrame(
-        [(*(row[p] for p in parts), row["needed"]) for row in chosen],
-        ", ".join(f"{quote(p)} {types[p]}" for p in parts) + ", needed int",
+        [
+            (*(row[p] for p in parts), row["needed"], first)
+            for row, first in zip(chosen, accumulate((row["needed"] for row in chosen), initial=0), strict=False)
+        ],
+        ", ".join(f"{quote(p)} {types[p]}" for p in parts) + ", needed int, first int",
     )
     for p in parts:
         values = {row[p] for row in chosen}
@@ -119,7 +123,8 @@ def _with_target_file(rows: DataFrame, parts: Sequence[str], chosen: Sequence[Ro
         rows = rows.filter(wanted | F.col(quote(p)).isNull() if None in values else wanted)
     left, right = rows.alias("rows"), listed.alias("work")
     on = [F.col(f"rows.{quote(p)}").eqNullSafe(F.col(f"work.{quote(p)}")) for p in parts]
-    return left.join(right, on).select("rows.*", F.pmod("__place", F.col("needed")).alias("__file"))
+    file = F.col("first") + F.pmod("__place", F.col("needed")).cast("int")
+    return left.join(right, on).select("rows.*", file.alias("__file"))
 
 
 def _point_partitions(spark: SparkSession, db: str, table: str, target: str) -> None:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.names import qualified, quote, sql_text
 from tablewright.operators.latest import latest_per_key
 from tablewright.session import materialize
-from tablewright.sources.sinks import add_missing_columns, clustered, table_order
+from tablewright.sources.sinks import add_missing_columns, table_order
 from tablewright.sources.tables import next_version, partition_clause, table_property
 
 _BUCKET = "key_bucket"
@@ -50,30 +50,28 @@ def upsert_keyed(
     checked = F.coalesce(F.col(quote(key)), F.raise_error(F.lit(f"key {key!r} is NULL")).cast(df.schema[key].dataType))
     batch = latest_per_key(df.withColumn(key, checked), key, order_by)
     batch = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(quote(key)), F.lit(buckets)).cast("int"))
-    # Written once: which parts are touched and what goes into them must not differ.
-    batch = materialize(batch, label="upsert")
+    target = next_version(path)
 
-    if not exists:
+    if exists:
+        add_missing_columns(batch, name)
+        # Written once: which parts are touched and what goes into them must not differ.
+        batch = materialize(batch, label="upsert")
+        # At most `buckets` numbers reach the driver.
+        touched = [row[0] for row in batch.select(_BUCKET).distinct().collect()]
+        merged = _merged(spark.table(name).filter(F.col(_BUCKET).isin(touched)), table_order(batch, name), key, buckets)
+        merged.write.partitionBy(_BUCKET).parquet(target)
+        known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    else:
+        batch.repartitionById(buckets, _BUCKET).write.partitionBy(_BUCKET).parquet(target)
         properties = f"{sql_text(_COUNT)} = {sql_text(str(buckets))}, {sql_text(_KEY)} = {sql_text(key)}"
         columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in batch.schema.fields)
         spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({_BUCKET}) "
             f"LOCATION {sql_text(path)} TBLPROPERTIES ({properties})"
         )
-    else:
-        add_missing_columns(batch, name)
+        written = spark.read.schema(batch.schema).parquet(target)
+        touched, known = [row[0] for row in written.select(_BUCKET).distinct().collect()], set()
 
-    # At most `buckets` numbers reach the driver.
-    touched = [row[0] for row in batch.select(_BUCKET).distinct().collect()]
-    if not touched:
-        return
-    old = spark.table(name).filter(F.col(_BUCKET).isin(touched))
-    kept = old.join(batch.select(key, _BUCKET), [_BUCKET, key], "left_anti").select(*old.columns)
-    merged = kept.unionByName(table_order(batch, name))
-    target = next_version(path)
-    clustered(merged, [_BUCKET]).write.partitionBy(_BUCKET).parquet(target)
-
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     added = []
     for bucket in touched:
         part, folder = partition_clause({_BUCKET: str(bucket)}), sql_text(f"{target}/{_BUCKET}={bucket}")
@@ -84,3 +82,15 @@ def upsert_keyed(
     if added:
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
     spark.catalog.refreshTable(name)
+
+
+def _merged(old: DataFrame, new: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Old rows without a new row of the same key, and the new rows, each part in one task.
+
+    Keys are unique on both sides, so parts are even. Bringing a part together is the only shuffle:
+    it serves the choice per key and the write, whose order by part the window has already made.
+    """
+    both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
+    window = Window.partitionBy(_BUCKET, quote(key)).orderBy(F.desc("__new"))
+    ranked = both.repartitionById(buckets, _BUCKET).withColumn("__row", F.row_number().over(window))
+    return ranked.filter("__row <= 1").drop("__row", "__new")
