@@ -40,6 +40,7 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="16g",
         spark__sql__shuffle__partitions=cpus,
     )

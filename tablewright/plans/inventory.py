@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tablewright.names import identifier, qualified
 from tablewright.plans.maintenance import table_files
+from tablewright.sources.files import listed_files
 from tablewright.sources.tables import partition_columns, table_detail
 
 _SCHEMA = (
@@ -19,12 +20,6 @@ _SCHEMA = (
 )
 
 
-def listed_files(spark: SparkSession, location: str) -> DataFrame:
-    """Path and length of every file below a location; the contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
-    return files.select("path", F.col("length").alias("file_size"))
-
-
 def _table_row(spark: SparkSession, db: str, table: str) -> tuple:
     name = qualified(db, table)
     location, provider = (table_detail(spark, name, item) for item in ("Location", "Provider"))

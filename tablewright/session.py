@@ -27,6 +27,8 @@ CLUSTER_SETTINGS = {
     "spark.sql.hive.metastorePartitionPruning": "true",
 }
 
+_LOCAL_FOLDER = "tablewright.local.folder"
+
 
 def build_session(app: str, master: str | None = None, cluster: bool = False, **conf: str) -> SparkSession:
     """A session with the settings above; `conf` keys use '__' for '.' and win over them."""
@@ -45,12 +47,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local master may go without that setting; it then gets one temporary folder per session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_LOCAL_FOLDER, None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="tablewright-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.conf.set(_LOCAL_FOLDER, folder)
     return folder.rstrip("/")
 
 
@@ -63,7 +65,7 @@ def materialize(df: DataFrame, path: str | None = None, label: str = "stage") ->
     """Write `df` once as Parquet and return the written copy.
 
     Everything built on the result sees the same rows, and a lost executor costs a re-read, not a
-    recomputation.
+    recomputation. The copy is not removed: what lies in the shared folder may go once its job is done.
     """
     spark = df.sparkSession
     target = f"{path.rstrip('/')}/{uuid.uuid4().hex}" if path else fresh_path(spark, label)

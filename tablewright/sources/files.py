@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.logs import parse_log
@@ -40,3 +41,9 @@ def read_json_records(
 def read_log(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> tuple[DataFrame, DataFrame]:
     """(parsed, rejects) of the lines of log files; see parse_log."""
     return parse_log(spark.read.text(paths if isinstance(paths, str) else list(paths)), pattern)
+
+
+def listed_files(spark: SparkSession, location: str) -> DataFrame:
+    """Path and size of every file below a location; the contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location)
+    return files.select("path", F.col("length").alias("file_size"))

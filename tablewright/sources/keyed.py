@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,12 +10,14 @@ from pyspark.sql import functions as F
 
 from tablewright.names import qualified, quote, sql_text
 from tablewright.operators.latest import latest_per_key
-from tablewright.session import materialize
+from tablewright.session import fresh_path
+from tablewright.sources.files import listed_files
 from tablewright.sources.sinks import add_missing_columns, table_order
 from tablewright.sources.tables import next_version, partition_clause, table_property
 
 _BUCKET = "key_bucket"
 _COUNT, _KEY = "tablewright.buckets", "tablewright.key"
+_FEWEST, _PART_BYTES = 8, 64 * 1024 * 1024
 
 
 def read_keyed(spark: SparkSession, db: str, table: str) -> DataFrame:
@@ -29,17 +32,21 @@ def upsert_keyed(
     key: str,
     path: str,
     order_by: str | Column | Sequence[str | Column] = (),
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> None:
     """Put every row of `df` into the keyed table; a row with a known key replaces the old one whole.
 
     Among rows of the batch with the same key the first by `order_by` (names descending) is the last
     write. Attributes may come and go between batches. A NULL key fails the job.
 
-    The table is partitioned by a hash of the key into `buckets` parts (fixed when it is created;
-    take bytes / 1 GB or so). An upsert reads and rewrites only the parts its keys fall into, into a
-    new folder, and then points those partitions there: a job that dies before leaves the table as
-    it was, and readers of the old folder are not disturbed. Removing old folders is up to the caller.
+    The table is partitioned by a hash of the key into `buckets` parts. Their number is fixed when it
+    is created, by default at one per 64 MB of the first batch, so that parts stay easy to rewrite
+    while the table grows tenfold; give it if much more is to come.
+
+    An upsert reads and rewrites only the parts its keys fall into, into a new folder, and then
+    points those partitions there. A job that dies before leaves the table as it was; one that dies
+    between two partitions is put right by running it again. Readers of the old folder are not
+    disturbed; removing it is up to the caller.
     """
     spark, name = df.sparkSession, qualified(db, table)
     exists = spark.catalog.tableExists(name)
@@ -49,18 +56,22 @@ def upsert_keyed(
             raise ValueError(f"{name} is keyed by {table_property(spark, name, _KEY)!r}, not {key!r}")
     checked = F.coalesce(F.col(quote(key)), F.raise_error(F.lit(f"key {key!r} is NULL")).cast(df.schema[key].dataType))
     batch = latest_per_key(df.withColumn(key, checked), key, order_by)
+    # Written once: its size, the parts it touches and what goes into them must not differ.
+    staged = fresh_path(spark, "upsert")
+    batch.write.parquet(staged)
+    batch = spark.read.schema(batch.schema).parquet(staged)
+    if buckets is None:
+        size = listed_files(spark, staged).agg(F.sum("file_size")).first()[0] or 0
+        buckets = max(_FEWEST, math.ceil(size / _PART_BYTES))
     batch = batch.withColumn(_BUCKET, F.pmod(F.xxhash64(quote(key)), F.lit(buckets)).cast("int"))
+    # At most `buckets` numbers reach the driver.
+    touched = [row[0] for row in batch.select(_BUCKET).distinct().collect()]
     target = next_version(path)
 
     if exists:
         add_missing_columns(batch, name)
-        # Written once: which parts are touched and what goes into them must not differ.
-        batch = materialize(batch, label="upsert")
-        # At most `buckets` numbers reach the driver.
-        touched = [row[0] for row in batch.select(_BUCKET).distinct().collect()]
         merged = _merged(spark.table(name).filter(F.col(_BUCKET).isin(touched)), table_order(batch, name), key, buckets)
         merged.write.partitionBy(_BUCKET).parquet(target)
-        known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     else:
         batch.repartitionById(buckets, _BUCKET).write.partitionBy(_BUCKET).parquet(target)
         properties = f"{sql_text(_COUNT)} = {sql_text(str(buckets))}, {sql_text(_KEY)} = {sql_text(key)}"
@@ -69,9 +80,8 @@ def upsert_keyed(
             f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({_BUCKET}) "
             f"LOCATION {sql_text(path)} TBLPROPERTIES ({properties})"
         )
-        written = spark.read.schema(batch.schema).parquet(target)
-        touched, known = [row[0] for row in written.select(_BUCKET).distinct().collect()], set()
 
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     added = []
     for bucket in touched:
         part, folder = partition_clause({_BUCKET: str(bucket)}), sql_text(f"{target}/{_BUCKET}={bucket}")

@@ -6,6 +6,7 @@ is such a checkpoint, one per job, context and generation. Resetting starts a ne
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -82,8 +83,7 @@ def incremental_load(
     options = {"header": "true", **(options or {})} if fmt == "csv" else dict(options or {})
     if ctx is None:
         batch = transform(spark.read.schema(schema).options(**options).format(fmt).load(source))
-        run = spark.sql("SELECT replace(uuid(), '-', '')").first()[0]
-        _store(batch, db, table, path, partition_by, f"all_{run}")
+        _store(batch, db, table, path, partition_by, f"all_{uuid.uuid4().hex}")
         return 1
 
     # Without this age limit the source would skip files older than a week behind the newest one.
