@@ -20,7 +20,7 @@ from tablewright.plans.jobs import fan_out
 from tablewright.plans.maintenance import compact_table, table_files
 from tablewright.sources.keyed import upsert_keyed
 from tablewright.sources.sinks import create_table, insert_select, write_collection, write_parquet, write_table
-from tablewright.sources.tables import read_table
+from tablewright.sources.tables import read_table, register_log
 from tablewright.streaming.incremental import incremental_load
 
 # The raw order columns and what they are called and typed after mapping.
@@ -33,6 +33,12 @@ ORDER_MAPPING = [
 ORDER_TEXT_MAPPING = [(source, kind, target, "string") for source, kind, target, _ in ORDER_MAPPING]
 ORDER_SOURCE_SCHEMA = "`cust id` string, `order total` string, `order date` string, status string"
 
+# Fixed value: the form of the service log's lines.
+SERVICE_LOG_PATTERN = (
+    "%{TIMESTAMP_ISO8601:ts} %{LOGLEVEL:level} %{NOTSPACE:service} cust=%{NOTSPACE:customer_id} "
+    "status=%{WORD:status} amount=%{NUMBER:amount:double}"
+)
+
 
 def mapped_orders(spark: SparkSession, db: str = "raw", table: str = "orders") -> DataFrame:
     return apply_mapping(read_table(spark, db, table), ORDER_MAPPING)
@@ -129,3 +135,9 @@ def engagement_to_table(
 ) -> None:
     """Daily engagement figures, replaced on every run."""
     write_table(daily_engagement_kpis(events, **columns), out_db, "daily_engagement_kpis", path, mode="overwrite")
+
+
+def service_log_to_catalog(spark: SparkSession, path: str, db: str = "raw", table: str = "service_log") -> DataFrame:
+    """Catalog the service log with typed columns; returns its lines per level."""
+    register_log(spark, db, table, path, SERVICE_LOG_PATTERN)
+    return summarize(read_table(spark, db, table), "level")

@@ -32,6 +32,7 @@ from tablewright.operators.choice import value_class
 from tablewright.plans.inventory import table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
 from tablewright.plans.maintenance import compact_table, table_files
+from tablewright.plans.programs import SERVICE_LOG_PATTERN
 from tablewright.session import fresh_path
 from tablewright.sources import (
     create_table,
@@ -41,6 +42,7 @@ from tablewright.sources import (
     read_keyed,
     read_log,
     read_table,
+    register_log,
     register_path,
     upsert_keyed,
     write_collection,
@@ -613,12 +615,6 @@ def reject_counters(spark, sf_dir):
 
 # Events as log lines; clicks come as lines that do not fit the pattern.
 
-PATTERN = (
-    "%{TIMESTAMP_ISO8601:ts} %{LOGLEVEL:level} %{NOTSPACE:service} cust=%{NOTSPACE:customer_id} "
-    "status=%{WORD:status} amount=%{NUMBER:amount:double}"
-)
-
-
 def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     level = F.when(kind == "error", "ERROR").when(kind == "signup", "WARN").otherwise("INFO")
@@ -639,13 +635,13 @@ LEVEL = "CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELS
     name="parse_log",
 )
 def parse_log_lines(spark, sf_dir):
-    parsed, _ = parse_log(_log_lines(spark, sf_dir), PATTERN)
+    parsed, _ = parse_log(_log_lines(spark, sf_dir), SERVICE_LOG_PATTERN)
     return parsed
 
 
 @query("SELECT 'click ' || event_id || ' ' || props AS value FROM events WHERE event_type = 'click'")
 def log_rejects(spark, sf_dir):
-    _, rejects = parse_log(_log_lines(spark, sf_dir), PATTERN)
+    _, rejects = parse_log(_log_lines(spark, sf_dir), SERVICE_LOG_PATTERN)
     return rejects
 
 
@@ -653,10 +649,21 @@ def log_rejects(spark, sf_dir):
 def log_levels(spark, sf_dir):
     path = fresh_path(spark, "log")
     _log_lines(spark, sf_dir).write.text(path)
-    parsed, _ = read_log(spark, path, PATTERN)
+    parsed, _ = read_log(spark, path, SERVICE_LOG_PATTERN)
     return summarize(parsed, "level")
 
 
+@query(
+    f"SELECT {LEVEL} AS level, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM events "
+    "WHERE event_type <> 'click' GROUP BY 1"
+)
+def registered_log(spark, sf_dir):
+    db, path = _scratch(spark)
+    _log_lines(spark, sf_dir).write.text(f"{path}/log")
+    register_log(spark, db, "log", f"{path}/log", SERVICE_LOG_PATTERN)
+    return summarize(read_table(spark, db, "log"), "level", {"n": F.count("*"), "amount": money_sum("amount")})
+
+
 KPIS = """
 SELECT CAST(ts AS DATE) AS event_date, count(DISTINCT user_id) AS active_users,
   count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks,

@@ -10,10 +10,10 @@ from tablewright.sources.sinks import (
     write_parquet,
     write_table,
 )
-from tablewright.sources.tables import read_table, register_path
+from tablewright.sources.tables import read_table, register_log, register_path
 
 __all__ = [
     "create_table", "drop_table", "insert_select", "read_csv_text", "read_json_records", "read_keyed",
-    "read_log", "read_table", "register_path", "upsert_keyed", "write_collection", "write_parquet",
-    "write_table",
+    "read_log", "read_table", "register_log", "register_path", "upsert_keyed", "write_collection",
+    "write_parquet", "write_table",
 ]

@@ -23,7 +23,7 @@ def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     REBALANCE lets AQE split a value that is too large for one task and merge small ones; a plain
     repartition would send a value that holds a third of the table through a single task.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *(quote(p) for p in partition_by)) if partition_by else df
 
 
 def add_missing_columns(df: DataFrame, name: str) -> None:

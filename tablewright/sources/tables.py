@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tablewright.functions.logs import log_fields
+from tablewright.functions.numbers import DECIMAL, WHOLE
 from tablewright.names import qualified, quote, sql_text
 from tablewright.operators.choice import open_records, record_schema
 
@@ -71,6 +73,29 @@ def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str)
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def register_log(spark: SparkSession, db: str, table: str, path: str, pattern: str) -> None:
+    """Make log files queryable as a table with one typed column per capture of the pattern.
+
+    The lines are the table `<table>_lines`; the typed columns are a view over it, so that files that
+    arrive later are included and a query takes apart only the captures it uses. Lines that do not
+    fit are not in the view; parse_log tells which ones they are.
+    """
+    lines, view = f"{table}_lines", qualified(db, table)
+    register_path(spark, db, lines, path, "text")
+    regex, fields = log_fields(pattern)
+    columns = []
+    for i, (name, dtype) in enumerate(fields, start=1):
+        text = f"regexp_extract(value, {sql_text(regex)}, {i})"
+        if dtype != "string":
+            guard = DECIMAL if dtype in ("double", "float") else WHOLE
+            text = f"CASE WHEN {text} RLIKE {sql_text(guard)} THEN try_cast({text} AS {dtype}) END"
+        columns.append(f"{text} AS {quote(name)}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(columns)} FROM {qualified(db, lines)} "
+        f"WHERE value RLIKE {sql_text(regex)}"
+    )
+
+
 def next_version(location: str) -> str:
     """A fresh folder beside a table's first location, for a rewritten copy of its data."""
     base = re.sub(r"\.v/[0-9a-f]{32}$", "", location.rstrip("/"))

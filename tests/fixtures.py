@@ -9,6 +9,8 @@ import csv
 import json
 from pathlib import Path
 
+from tablewright.plans.programs import SERVICE_LOG_PATTERN as PATTERN  # noqa: F401
+
 HEADER = ["cust id", "order total", "order date", "status"]
 STATUSES = ["shipped", "delivered", "cancelled", "pending", "refunded", "shipped"]
 CITIES = ["Ålesund", "Brno", "Łódź", "Porto", "Graz"]
@@ -47,12 +49,6 @@ def customers() -> list[dict]:
     return out
 
 
-PATTERN = (
-    "%{TIMESTAMP_ISO8601:ts} %{LOGLEVEL:level} %{NOTSPACE:service} cust=%{NOTSPACE:customer_id} "
-    "status=%{WORD:status} amount=%{NUMBER:amount:double}"
-)
-
-
 def log_lines() -> list[str]:
     levels = ["INFO", "WARN", "INFO", "ERROR"]
     lines = [

@@ -131,3 +131,11 @@ def test_export_one_table_twice_appends(spark, lake):
     for _ in range(2):
         export_table(spark, "raw", "customers", "processed", f"{lake['root']}/out")
     assert read_table(spark, "processed", "customers").count() == 2 * len(CUSTOMERS)
+
+
+def test_service_log_to_catalog(spark, lake):
+    levels = programs.service_log_to_catalog(spark, lake["serverlog"])
+    assert tuples(levels) == [("ERROR", 2), ("INFO", 5), ("WARN", 2)]
+    table = read_table(spark, "raw", "service_log")
+    assert [t for _, t in table.dtypes] == ["string"] * 5 + ["double"]
+    assert table.agg(F.sum("amount")).first()[0] == sum(float(f"{i}.5{i}") for i in range(9))

@@ -91,6 +91,26 @@ def test_write_table_partitioned_appends_and_follows_the_schema(spark, db, tmp_p
         write_table(df, db, "t", f"{tmp_path}/elsewhere", ["d"])
 
 
+def test_partition_columns_with_odd_names(spark, db, tmp_path):
+    df = spark.createDataFrame([("x", 1), ("y", 2)], "`order date` string, v int")
+    for _ in range(2):
+        write_table(df, db, "t", f"{tmp_path}/t", ["order date"])
+    assert read_table(spark, db, "t").count() == 4
+    assert compact_table(spark, db, "t") == 2
+    assert tuples(read_table(spark, db, "t")) == [(1, "x"), (1, "x"), (2, "y"), (2, "y")]
+
+
+def test_a_hot_partition_value_is_written_by_several_tasks(spark, db, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        df = spark.range(0, 60000, 1, 6).selectExpr("sha2(cast(id as string), 256) AS s", "if(id % 3 = 0, 'hot', cast(id % 5 as string)) AS p")
+        write_table(df, db, "t", f"{tmp_path}/t", ["p"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {r["p"]: r["count"] for r in table_files(spark, db, "t").groupBy("p").count().collect()}
+    assert files["hot"] > 2 and read_table(spark, db, "t").count() == 60000
+
+
 def test_choices_are_not_written(spark, db, tmp_path):
     for df in (spark.sql("SELECT parse_json('1') AS v"), spark.sql("SELECT array(parse_json('1')) AS v")):
         with pytest.raises(TypeError, match="unresolved"):
