@@ -6,6 +6,8 @@ customers table has nested JSON records with a mixed-type loyalty_points.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from tablewright.operators.relational import relationalize
 from tablewright.operators.summary import daily_engagement_kpis, summarize
 from tablewright.plans.jobs import fan_out
 from tablewright.plans.maintenance import compact_table, table_files
+from tablewright.sources.files import read_json_records
 from tablewright.sources.keyed import upsert_keyed
 from tablewright.sources.sinks import create_table, insert_select, write_collection, write_parquet, write_table
 from tablewright.sources.tables import read_table, register_log
@@ -130,6 +133,21 @@ def counted_and_shown(orders: DataFrame, threshold: float = 100.0) -> list[objec
     return fan_out(orders, [DataFrame.count, lambda df: df.filter(F.col("total") > threshold).count()])
 
 
+# The fields of a click record and what they become.
+CLICK_MAPPING = [
+    ("ts", "string", "ts", "timestamp_ntz"),
+    ("user.id", "bigint", "user_id", "bigint"),
+    ("event_type", "string", "event_type", "string"),
+    ("item.price", "double", "value", "double"),
+]
+
+
+def clicks_from_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Flat events from nested JSON click records, whose price is a number in some and text in others."""
+    records = read_json_records(spark, paths)
+    return apply_mapping(resolve_choice(records, specs=[("item.price", "cast:double")]), CLICK_MAPPING)
+
+
 def engagement_to_table(
     spark: SparkSession, events: DataFrame, path: str, out_db: str = "reporting", **columns
 ) -> None:

@@ -32,10 +32,11 @@ from tablewright.operators.choice import value_class
 from tablewright.plans.inventory import table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
 from tablewright.plans.maintenance import compact_table, table_files
-from tablewright.plans.programs import SERVICE_LOG_PATTERN
+from tablewright.plans.programs import SERVICE_LOG_PATTERN, clicks_from_records
 from tablewright.session import fresh_path
 from tablewright.sources import (
     create_table,
+    drop_table,
     insert_select,
     read_csv_text,
     read_json_records,
@@ -458,6 +459,21 @@ def insert_overwrite_summary(spark, sf_dir):
     return summarize(read_table(spark, db, "orders"), "status")
 
 
+@query(RAW + "SELECT 'kept' AS table_name, count(*) AS n FROM raw UNION ALL SELECT 'purged', 0", name="drop_table")
+def dropped_tables(spark, sf_dir):
+    """Rows that are still under the folder of a dropped and of a purged table."""
+    db, path = _scratch(spark)
+    for name, purge in (("kept", False), ("purged", True)):
+        write_table(_mapped(spark, sf_dir), db, name, f"{path}/{name}")
+        drop_table(spark, db, name, purge)
+        register_path(spark, db, name, f"{path}/{name}", "parquet")
+    kept, purged = (
+        read_table(spark, db, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        for name in ("kept", "purged")
+    )
+    return kept.unionByName(purged)
+
+
 @query("SELECT c_custkey, c_name, c_mktsegment AS segment, n_name AS nation FROM customer JOIN nation ON n_nationkey = c_nationkey")
 def json_path_scan(spark, sf_dir):
     nations = _table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")
@@ -686,6 +702,25 @@ def daily_kpis_table(spark, sf_dir):
     return read_table(spark, db, "kpis")
 
 
+@query(KPIS)
+def daily_kpis_from_records(spark, sf_dir):
+    """The same figures from nested JSON records with prices as numbers, as text, or as a word."""
+    events = _table(spark, sf_dir, "events")
+    number = F.col("value").cast("decimal(18,2)").cast("string")
+    price = (
+        F.when(F.col("event_type") == "click", F.lit('"free"'))
+        .when(F.col("user_id") > F.col("value"), F.concat(F.lit('"'), number, F.lit('"')))
+        .otherwise(number)
+    )
+    record = F.format_string(
+        '{"ts": "%s", "event_type": "%s", "user": {"id": %d}, "item": {"price": %s}}',
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("event_type"), F.col("user_id"), price,
+    )
+    path = fresh_path(spark, "clicks")
+    events.select(record).write.text(path)
+    return daily_engagement_kpis(clicks_from_records(spark, path))
+
+
 # Maintenance, inventory, multi-table and multi-sink jobs.
 
 EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"

@@ -139,3 +139,20 @@ def test_service_log_to_catalog(spark, lake):
     table = read_table(spark, "raw", "service_log")
     assert [t for _, t in table.dtypes] == ["string"] * 5 + ["double"]
     assert table.agg(F.sum("amount")).first()[0] == sum(float(f"{i}.5{i}") for i in range(9))
+
+
+def test_clicks_from_records(spark, tmp_path):
+    (tmp_path / "clicks").mkdir()
+    (tmp_path / "clicks" / "a.json").write_text(
+        '{"ts":"2026-01-01T10:00:00","event_type":"purchase","user":{"id":1},"item":{"price":1.5}}\n'
+        '{"ts":"2026-01-01T11:00:00","event_type":"purchase","user":{"id":2},"item":{"price":"2.25"}}\n'
+        '{"ts":"2026-01-01T12:00:00","event_type":"view","user":{"id":2},"item":{"price":"free"}}\n'
+    )
+    clicks = programs.clicks_from_records(spark, f"{tmp_path}/clicks")
+    assert [t for _, t in clicks.dtypes] == ["timestamp_ntz", "bigint", "string", "double"]
+    programs.engagement_to_table(spark, clicks, f"{tmp_path}/kpis", out_db="default")
+    try:
+        row = read_table(spark, "default", "daily_engagement_kpis").first()
+        assert (row.active_users, row.purchases, row.views, row.revenue, row.conversion) == (2, 2, 1, 3.75, 2.0)
+    finally:
+        spark.sql("DROP TABLE default.daily_engagement_kpis")

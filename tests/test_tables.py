@@ -275,6 +275,17 @@ def test_compaction_with_odd_partition_values(spark, db, tmp_path):
     assert tuples(read_table(spark, db, "t")) == before
 
 
+def test_overwriting_and_purging_a_compacted_table(spark, db, tmp_path):
+    small_files(spark, db, tmp_path, ("p",))
+    compact_table(spark, db, "t")
+    write_table(spark.range(6).selectExpr("id", "id AS x", "cast(id % 3 AS int) AS p"), db, "t", partition_by=["p"], mode="overwrite")
+    assert tuples(read_table(spark, db, "t").select("id", "p")) == [(i, i % 3) for i in range(6)]
+    compact_table(spark, db, "t")
+    assert read_table(spark, db, "t").count() == 6
+    drop_table(spark, db, "t", purge=True)
+    assert not spark.catalog.tableExists(f"{db}.t")
+
+
 def test_inventory(spark, db, tmp_path):
     small_files(spark, db, tmp_path, ("p",))
     write_table(spark.range(5).coalesce(1), db, "plain", f"{tmp_path}/plain")
@@ -292,6 +303,8 @@ def test_inventory(spark, db, tmp_path):
     report = [r.value for r in inventory_report(table_inventory(spark, [db])).collect()]
     assert report[0].startswith(f"{db}.empty: 0 partitions") and report[0].endswith("no data at the location")
     assert len(report) == 5
+    inventory_report(table_inventory(spark, [db])).write.text(f"{tmp_path}/report")
+    assert spark.read.text(f"{tmp_path}/report").count() == 5
 
 
 def test_inventory_after_the_files_are_gone(spark, db, tmp_path):
