@@ -22,6 +22,8 @@ SETTINGS = {
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    # Splitting a hot key is worth the shuffle it may cost after the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.hive.metastorePartitionPruning": "true",

@@ -306,6 +306,38 @@ def test_enrich_and_unmatched(spark):
         enrich(df, dim, "k", [("address.city", "v")])
 
 
+def test_enrich_splits_a_hot_key(spark):
+    """A key with a third of the rows is joined by several tasks, and no row is lost."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(0, 90000, 1, 8).selectExpr("if(id % 3 = 0, 7, id) AS k", "sha2(cast(id as string), 256) AS s")
+        names = spark.range(0, 90000, 1, 8).selectExpr("id AS k", "concat('name ', id) AS name")
+        out = enrich(rows, names, "k", ["name"])
+        execution = out._jdf.queryExecution()
+        assert execution.toRdd().count() == 90000
+        assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+        assert out.filter("name = 'name 7'").count() == 30001 - (7 % 3 == 0)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_latest_per_key_with_a_hot_key(spark):
+    rows = spark.range(0, 90000, 1, 8).selectExpr("if(id % 3 = 0, 7, id % 100) AS k", "id AS seq", "id % 11 AS x")
+    expected = {}
+    for i in range(90000):
+        expected[7 if i % 3 == 0 else i % 100] = (i, i % 11)
+    assert {r.k: (r.seq, r.x) for r in latest_per_key(rows, "k", "seq").collect()} == expected
+
+
 def test_summarize(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 2.0)], "s string, x double")
     out = summarize(df, "s", {"n": F.count("*"), "total": F.round(F.sum("x"), 2)}, [F.desc("n"), "s"])
