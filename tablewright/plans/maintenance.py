@@ -48,15 +48,18 @@ def compact_table(
 
     Partitions that are fine already are not read. The new files go to a fresh folder; then the
     table, or each rewritten partition, is pointed there. Old folders stay until the caller removes
-    them, so running readers finish undisturbed and a failed run changes nothing. sort_by also
-    clusters the rows of each partition by those columns.
+    them, so running readers finish undisturbed and a failed run changes nothing. Writers have to
+    wait: what they add while this runs is not in the copy. sort_by also clusters the rows of each
+    partition by those columns.
 
     The rows of a partition are spread over its files by a hash of the row's place in its old file.
     That is even whatever the values are, and the same when a lost task is run again.
     """
     name = qualified(db, table)
+    provider, location = (table_detail(spark, name, item) for item in ("Provider", "Location"))
+    if provider != "parquet":
+        raise ValueError(f"{name} is a {provider} table; only Parquet tables are compacted")
     parts = partition_columns(spark, name)
-    location = table_detail(spark, name, "Location")
     work = _fragmented(table_files(spark, db, table), parts, target_bytes)
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     rows = spark.table(name)
@@ -84,12 +87,11 @@ def compact_table(
     chosen = work.collect()
     if not chosen:
         return 0
-    # Sorted partitions of several files are cut by value ranges, and a range may reach into the next
-    # partition; those of one file are kept whole by hashing.
+    # Sorted partitions of several files are cut by value ranges, where a range may reach into the next
+    # partition; all others have one task per file.
     several = [row for row in chosen if sort_by and row["needed"] > 1]
-    for group in (several, [row for row in chosen if row not in several]):
-        if not group:
-            continue
+    single = [row for row in chosen if not (sort_by and row["needed"] > 1)]
+    for group in filter(None, (several, single)):
         placed = _with_target_file(rows.withColumn("__place", place), parts, group)
         count = sum(row["needed"] for row in group)
         keys, order = ([F.col(quote(c)) for c in columns] for columns in (parts, sort_by))
@@ -123,7 +125,7 @@ def _with_target_file(rows: DataFrame, parts: Sequence[str], chosen: Sequence[Ro
         rows = rows.filter(wanted | F.col(quote(p)).isNull() if None in values else wanted)
     left, right = rows.alias("rows"), listed.alias("work")
     on = [F.col(f"rows.{quote(p)}").eqNullSafe(F.col(f"work.{quote(p)}")) for p in parts]
-    file = F.col("first") + F.pmod("__place", F.col("needed")).cast("int")
+    file = F.col("work.first") + F.pmod(F.col("rows.__place"), F.col("work.needed")).cast("int")
     return left.join(right, on).select("rows.*", file.alias("__file"))
 
 

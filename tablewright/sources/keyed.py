@@ -46,7 +46,7 @@ def upsert_keyed(
     An upsert reads and rewrites only the parts its keys fall into, into a new folder, and then
     points those partitions there. A job that dies before leaves the table as it was; one that dies
     between two partitions is put right by running it again. Readers of the old folder are not
-    disturbed; removing it is up to the caller.
+    disturbed; removing it is up to the caller. Upserts into one table must not overlap.
     """
     spark, name = df.sparkSession, qualified(db, table)
     exists = spark.catalog.tableExists(name)

@@ -264,6 +264,20 @@ def test_compaction_splits_a_hot_partition_and_leaves_good_ones_alone(spark, db,
     assert read_table(spark, db, "t").count() == 4010
 
 
+def test_compaction_of_two_partition_columns_and_clashing_names(spark, db, tmp_path):
+    df = spark.range(240).selectExpr("id AS needed", "id * 2 AS first", "id % 2 AS p", "id % 3 AS q").repartition(6)
+    df.write.partitionBy("p", "q").parquet(f"{tmp_path}/t")
+    register_path(spark, db, "t", f"{tmp_path}/t", "parquet")
+    before = tuples(read_table(spark, db, "t"))
+    assert compact_table(spark, db, "t") == 6 == table_files(spark, db, "t").count()
+    assert tuples(read_table(spark, db, "t")) == before
+
+
+def test_only_parquet_is_compacted(spark, lake):
+    with pytest.raises(ValueError, match="csv"):
+        compact_table(spark, "raw", "orders")
+
+
 def test_compaction_with_odd_partition_values(spark, db, tmp_path):
     df = spark.createDataFrame([("a b:c/d%", 1), ("ü=1", 2), (None, 3)] * 4, "p string, x int").repartition(4, "x", F.rand(3))
     df.unionAll(df).write.partitionBy("p").parquet(f"{tmp_path}/t")
