@@ -50,7 +50,8 @@ def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str)
 
     parquet and orc bring their schema, csv takes its names from the header and types nothing, text
     has one column per line. JSON becomes one VARIANT column; the field types found now are stored
-    with the table. Registering again replaces the entry and leaves the files alone.
+    with the table. Registering again replaces the entry and leaves the files alone; a table that owns
+    its files is not replaced.
     """
     name = qualified(db, table)
     options = {
@@ -63,7 +64,10 @@ def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str)
     if fmt not in options:
         raise ValueError(f"unknown format {fmt!r}; one of {sorted(options)}")
     columns = "(record VARIANT)" if fmt == "json" else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if spark.catalog.tableExists(name):
+        if table_detail(spark, name, "Type") != "EXTERNAL":
+            raise ValueError(f"{name} exists and owns its files; drop it first")
+        spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} {columns} USING {fmt} {options[fmt]} LOCATION {sql_text(path)}")
     if fmt == "json":
         fields = record_schema(spark.table(name), "record")

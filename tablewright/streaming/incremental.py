@@ -111,7 +111,12 @@ def incremental_load(
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        # Batches run in a session of their own; the caller's may still list files they replaced.
+        if spark.catalog.tableExists(qualified(db, table)):
+            spark.catalog.refreshTable(qualified(db, table))
     return written
 
 

@@ -9,8 +9,6 @@ import csv
 import json
 from pathlib import Path
 
-from tablewright.plans.programs import SERVICE_LOG_PATTERN as PATTERN  # noqa: F401
-
 HEADER = ["cust id", "order total", "order date", "status"]
 STATUSES = ["shipped", "delivered", "cancelled", "pending", "refunded", "shipped"]
 CITIES = ["Ålesund", "Brno", "Łódź", "Porto", "Graz"]

@@ -3,6 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablewright.functions import log_fields, money_sum, parse_double, parse_log, strict_double, to_cents
+from tablewright.plans.programs import SERVICE_LOG_PATTERN
 from tests import fixtures
 
 
@@ -33,7 +34,7 @@ def test_money_sum_is_exact(spark):
 
 def test_log_pattern_to_typed_columns_and_rejects(spark):
     df = spark.createDataFrame([(line,) for line in fixtures.log_lines()], "value string")
-    parsed, rejects = parse_log(df, fixtures.PATTERN)
+    parsed, rejects = parse_log(df, SERVICE_LOG_PATTERN)
     assert parsed.dtypes == [
         ("ts", "string"), ("level", "string"), ("service", "string"),
         ("customer_id", "string"), ("status", "string"), ("amount", "double"),
@@ -47,7 +48,7 @@ def test_log_pattern_to_typed_columns_and_rejects(spark):
 
 def test_a_greedy_token_would_take_the_separator(spark):
     df = spark.createDataFrame([(fixtures.log_lines()[-1],)], "value string")
-    parsed, rejects = parse_log(df, fixtures.PATTERN.replace("NOTSPACE:service", "DATA:service"))
+    parsed, rejects = parse_log(df, SERVICE_LOG_PATTERN.replace("NOTSPACE:service", "DATA:service"))
     assert parsed.first().service == "a b"
     assert rejects.count() == 0
 

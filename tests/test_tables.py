@@ -1,11 +1,10 @@
-import re
+import os
 from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from tablewright.functions import parse_double
 from tablewright.plans.inventory import inventory_report, table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
 from tablewright.plans.maintenance import compact_table, table_files
@@ -24,8 +23,8 @@ from tablewright.sources import (
     write_parquet,
     write_table,
 )
-from tablewright.sources.tables import table_detail
 from tablewright.streaming import incremental_load, read_loaded, reset_bookmark
+from tablewright.plans.programs import SERVICE_LOG_PATTERN
 from tests import fixtures
 from tests.test_operators import tuples
 
@@ -47,7 +46,7 @@ def test_csv_is_text_with_quoted_commas_and_null_cells(spark, lake):
 
 def test_json_and_log_scans(spark, lake):
     assert dict(read_json_records(spark, lake["customers"]).dtypes)["loyalty_points"] == "variant"
-    parsed, rejects = read_log(spark, lake["serverlog"], fixtures.PATTERN)
+    parsed, rejects = read_log(spark, lake["serverlog"], SERVICE_LOG_PATTERN)
     assert (parsed.count(), rejects.count()) == (9, 2)
 
 
@@ -66,6 +65,12 @@ def test_registered_tables(spark, lake, db, tmp_path):
     register_path(spark, db, "parts", f"{tmp_path}/parts", "parquet")
     assert read_table(spark, db, "parts").count() == 20
     assert spark.sql(f"SHOW PARTITIONS {db}.parts").count() == 3
+    register_path(spark, db, "parts", f"{tmp_path}/parts", "parquet")
+    assert read_table(spark, db, "parts").count() == 20
+    write_table(spark.range(3), db, "owned")
+    with pytest.raises(ValueError, match="owns its files"):
+        register_path(spark, db, "owned", f"{tmp_path}/parts", "parquet")
+    assert read_table(spark, db, "owned").count() == 3
     with pytest.raises(ValueError):
         read_table(spark, db, "parts; drop table x")
     with pytest.raises(AnalysisException):
@@ -80,7 +85,10 @@ def test_write_table_partitioned_appends_and_follows_the_schema(spark, db, tmp_p
     write_table(df.withColumn("extra", F.lit(7)), db, "t", f"{tmp_path}/t", ["d"])
     out = read_table(spark, db, "t")
     assert dict(out.dtypes) == {"k": "string", "x": "double", "extra": "int", "d": "string"}
-    assert tuples(out.select("k", "extra", "d")) == [("a", 7, "2026-01-01"), ("a", None, "2026-01-01"), ("b", 7, "2026-01-02"), ("b", None, "2026-01-02")]
+    first, second = "2026-01-01", "2026-01-02"
+    assert tuples(out.select("k", "extra", "d")) == [
+        ("a", 7, first), ("a", None, first), ("b", 7, second), ("b", None, second),
+    ]
     write_table(df.select("d", "k"), db, "t", partition_by=["d"], mode="overwrite")
     assert tuples(read_table(spark, db, "t").select("k", "x")) == [("a", None), ("b", None)]
     with pytest.raises(TypeError):
@@ -198,7 +206,6 @@ def test_incremental_load(spark, db, tmp_path):
     fixtures.write_orders(f"{tmp_path}/in", "2.csv", fixtures.orders(22, 12))
     # Old modification times must not make a new file invisible.
     old = Path(f"{tmp_path}/in/2.csv")
-    import os
     os.utime(old, (1_000_000_000, 1_000_000_000))
     assert load(spark, db, tmp_path) == 1 and rows() == 70
     expected = [(r[0], r[1] or None, r[3], r[2]) for r in fixtures.orders(48) + fixtures.orders(22, 12)]
@@ -209,7 +216,8 @@ def test_incremental_load(spark, db, tmp_path):
     assert load(spark, db, tmp_path, ctx="other", max_files_per_batch=1) == 2 and rows() == 210
     assert load(spark, db, tmp_path, ctx=None) == 1 and load(spark, db, tmp_path, ctx=None) == 1
     assert rows() == 350
-    assert spark.table(f"{db}.t").filter("d = '2026-03-01'").count() == 5 * sum(r[2] == "2026-03-01" for r in fixtures.orders(48) + fixtures.orders(22, 12))
+    first_day = sum(row[2] == "2026-03-01" for row in fixtures.orders(48) + fixtures.orders(22, 12))
+    assert spark.table(f"{db}.t").filter("d = '2026-03-01'").count() == 5 * first_day
 
 
 def test_failed_load_is_repeated_and_not_doubled(spark, db, tmp_path):
@@ -220,6 +228,25 @@ def test_failed_load_is_repeated_and_not_doubled(spark, db, tmp_path):
     assert read_loaded(spark, db, "t").count() == 20
 
 
+def test_load_that_dies_after_its_write_is_not_doubled(spark, db, tmp_path, monkeypatch):
+    from tablewright.streaming import incremental
+
+    fixtures.write_orders(f"{tmp_path}/in", "1.csv", fixtures.orders(20))
+    store = incremental._store
+
+    def store_and_die(*args):
+        store(*args)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(incremental, "_store", store_and_die)
+    with pytest.raises(PySparkException):
+        load(spark, db, tmp_path)
+    assert read_loaded(spark, db, "t").count() == 20
+    monkeypatch.setattr(incremental, "_store", store)
+    assert load(spark, db, tmp_path) == 1
+    assert read_loaded(spark, db, "t").count() == 20
+
+
 # maintenance, inventory, jobs
 
 def small_files(spark, db, tmp_path, parts=()):
