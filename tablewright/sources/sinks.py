@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.names import has_variant, identifier, qualified, quote, sql_text
-from tablewright.sources.tables import partition_columns, table_detail
+from tablewright.sources.tables import is_at, partition_columns, table_detail
 
 
 def _no_choices(df: DataFrame) -> None:
@@ -87,10 +87,8 @@ def write_table(
     if list(partition_by) != existing:
         raise ValueError(f"{name} is partitioned by {existing}, not by {list(partition_by)}")
     location = table_detail(spark, name, "Location")
-    if path and location and location.removeprefix("file:").rstrip("/") != path.removeprefix("file:").rstrip("/"):
-        # A compacted table lives in a version folder beside its first path.
-        if not location.removeprefix("file:").startswith(path.removeprefix("file:").rstrip("/") + ".v/"):
-            raise ValueError(f"{name} is at {location}, not at {path}")
+    if path and not is_at(location, path):
+        raise ValueError(f"{name} is at {location}, not at {path}")
     add_missing_columns(df, name)
     table_order(clustered(df, existing), name).write.insertInto(name, overwrite=mode == "overwrite")
 

@@ -106,6 +106,18 @@ def next_version(location: str) -> str:
     return f"{base}.v/{uuid.uuid4().hex}"
 
 
+def is_at(location: str, path: str) -> bool:
+    """Whether a table's location is the path, or a rewritten copy beside it.
+
+    The catalog spells locations with scheme and host, which a path may leave out.
+    """
+    place = re.compile(r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(.*?)/*$", re.DOTALL)
+    (scheme, host, folder), (other_scheme, other_host, other) = (place.match(p).groups() for p in (location, path))
+    if (scheme and other_scheme and scheme != other_scheme) or (host and other_host and host != other_host):
+        return False
+    return re.sub(r"\.v/[0-9a-f]{32}$", "", folder) == re.sub(r"\.v/[0-9a-f]{32}$", "", other)
+
+
 def partition_clause(values: dict[str, str]) -> str:
     return "PARTITION (" + ", ".join(f"{quote(k)} = {sql_text(v)}" for k, v in values.items()) + ")"
 

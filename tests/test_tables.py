@@ -23,6 +23,7 @@ from tablewright.sources import (
     write_parquet,
     write_table,
 )
+from tablewright.sources.tables import is_at
 from tablewright.streaming import incremental_load, read_loaded, reset_bookmark
 from tablewright.plans.programs import SERVICE_LOG_PATTERN
 from tests import fixtures
@@ -150,6 +151,13 @@ def test_drop_keeps_files_and_purge_removes_rows(spark, db, tmp_path):
     drop_table(spark, db, "t")
 
 
+def test_locations_are_compared_without_what_a_path_leaves_out():
+    version = "0" * 32
+    assert is_at("file:/a/b", "/a/b/") and is_at("hdfs://nn:8020/a/b", "/a/b") and is_at("s3://x/a", "s3://x/a/")
+    assert is_at(f"hdfs://nn/a/b.v/{version}", "/a/b")
+    assert not is_at("s3://x/a", "s3://y/a") and not is_at("hdfs://nn/a", "s3://nn/a") and not is_at("/a/b", "/a/bc")
+
+
 def test_write_collection(spark, db, tmp_path):
     write_collection({"one": spark.range(1), "two": spark.range(2)}, db, str(tmp_path))
     assert [read_table(spark, db, t).count() for t in ("one", "two")] == [1, 2]
