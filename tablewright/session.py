@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors; once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_tablewright_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tablewright-"), "tablewright.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)
+    context._tablewright_shipped = True
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nobody has used before."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@ import uuid
 
 import pytest
 
-from tablewright.session import build_session
+from tablewright.session import build_session, ship_package
 
 
 @pytest.fixture(scope="session")
@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__checkpoint__dir=str(folder / "shared"),
     )
     session.sparkContext.setLogLevel("OFF")
+    ship_package(session)
     yield session
     session.stop()
 
