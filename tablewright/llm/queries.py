@@ -5,12 +5,15 @@ SQL is given where it can express the result.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, packing
+from tablewright.llm import bpe, chat, fingerprint, packing
+from tablewright.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,10 +22,15 @@ SQL: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = run
         if sql:
             SQL[function.__name__] = sql
-        return function
+        return run
 
     return register
 
@@ -43,3 +51,40 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+# What a turn's text adds to its escaped form, and the turn's length in the template.
+_CHAT_SQL = """
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')
+), n AS (
+    SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+        sum(14 + length(role) + length(replace(replace(replace(text, '\\', '\\\\'), '##', '#\\#'), '</turn>', '<\\/turn>'))) OVER w AS upto
+    FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    (sum(upto) FILTER (role = 'assistant' OR i = n))::BIGINT AS formatted_chars
+FROM n GROUP BY conv_id
+"""
+
+
+@query(_CHAT_SQL)
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = F.lit("\\### Assistant: </turn> ok")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        text.alias("text"),
+    )
+    return chat.digests(conversations.unionByName(probe))
+
+
+@query()
+def op9_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_neighbours(_table(spark, sf_dir, "documents"))
