@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, fingerprint, packing
-from tablewright.session import ship_package
+from tablewright.llm import bpe, chat, fingerprint, packing, warc
+from tablewright.session import fresh_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,23 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_neighbours(_table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+SELECT page_id, octet_length(p)::BIGINT AS payload_bytes, upper(d) AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (
+    SELECT *, min(page_id) OVER (PARTITION BY p) AS first,
+        list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(h, 5 * (i // 4) + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1) FOR i IN range(32)], 'string_agg', '') AS d
+    FROM (SELECT page_id, encode(coalesce(html, '')) AS p, sha1(coalesce(html, '')) AS h FROM pages)
+)
+"""
+)
+def op4_warc_boundary_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path, {"payload_bytes": F.octet_length, "payload_digest": warc.base32_sha1})
+    return warc.page_digests(records)
