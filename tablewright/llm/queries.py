@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, fingerprint, packing, warc
+from tablewright.llm import bpe, chat, fingerprint, packing, topk, toxicity, warc
 from tablewright.session import fresh_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,29 @@ def op4_warc_boundary_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
     records = warc.read_archives(spark, path, {"payload_bytes": F.octet_length, "payload_digest": warc.base32_sha1})
     return warc.page_digests(records)
+
+
+@query()
+def op10_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "severity", "grade", "is_toxic")
+
+
+@query(
+    """
+WITH v AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+    FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+)
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 50 = 0"), k=5, scale=256)
