@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, fingerprint, packing, topk, toxicity, warc
+from tablewright.llm import bpe, chat, fingerprint, packing, substring, topk, toxicity, warc
 from tablewright.session import fresh_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +134,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return topk.top_k(rows, rows.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
+@query()
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(_table(spark, sf_dir, "documents"))
