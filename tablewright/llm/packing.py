@@ -3,9 +3,10 @@
 Every round sorts the unplaced pieces and the open gaps together by size over range partitions (ties split
 by id, so a size that a third of all pieces share still spreads over many partitions). Each partition is
 swept once, upwards: a gap takes the largest piece below it that is still free, which is the piece whose
-smallest fitting gap it is. What finds no partner inside its partition is ranked there, and ranks decide
-between the partitions: gaps of higher partitions take the largest free pieces of lower ones. Then the gaps
-shrink and the next round begins. A gap without a piece can't get one later, since all pieces that fit
+smallest fitting gap it is, and goes on with what remains of it. Gaps that find no piece inside their
+partition and pieces that find no gap are ranked there, and ranks decide between the partitions: gaps of
+higher partitions take the largest free pieces of lower ones. Then the next round begins with the gaps as
+they are now; as rows get fewer, so do the partitions. A gap without a piece can't get one later, since all pieces that fit
 are placed, and is closed. When no gap is left, new sequences are opened for the rest.
 
 Many tiny pieces would need many rounds, one per piece of a sequence: beyond eight of them per sequence,
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,9 @@ from tablewright.session import materialize
 CAPACITY = 4096
 SINGLES_PER_BIN = 8
 
-_SWEPT = "part int, kind string, idx long, item long, size int, bin long, gap int"
+ROWS_PER_PARTITION = 50_000
+
+_SWEPT = "part int, kind string, idx long, item long, size int, bin long, gap int, last boolean"
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
@@ -71,38 +75,48 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Match each gap with the largest free piece before it; rows come by size, pieces before gaps."""
+    """Fill each gap with the largest free pieces before it; rows come by size, pieces before gaps.
+
+    `last` marks the last piece that a gap took.
+    """
     part = TaskContext.get().partitionId()
-    free: list[tuple[int, int]] = []
+    free_items: list[int] = []
+    free_sizes: list[int] = []  # ascending
     lonely = 0
 
-    def table(kind: str, idx, item, size, bins, gap) -> pa.RecordBatch:
+    def table(kind: str, idx, item, size, bins, gap, last) -> pa.RecordBatch:
         n = len(item)
         return pa.RecordBatch.from_arrays(
             [pa.array([part] * n, pa.int32()), pa.array([kind] * n, pa.string()), pa.array(idx, pa.int64()), pa.array(item, pa.int64())]
-            + [pa.array(size, pa.int32()), pa.array(bins, pa.int64()), pa.array(gap, pa.int32())],
-            names=["part", "kind", "idx", "item", "size", "bin", "gap"],
+            + [pa.array(size, pa.int32()), pa.array(bins, pa.int64()), pa.array(gap, pa.int32()), pa.array(last, pa.bool_())],
+            names=["part", "kind", "idx", "item", "size", "bin", "gap", "last"],
         )
 
     for batch in batches:
         pairs, gaps = [], []
         for size, is_gap, key in zip(*(batch.column(c).to_pylist() for c in ("size", "is_gap", "id")), strict=True):
             if not is_gap:
-                free.append((key, size))
-            elif free:
-                pairs.append((*free.pop(), key, size))
+                free_items.append(key)
+                free_sizes.append(size)
+                continue
+            before = len(pairs)
+            while (at := bisect_right(free_sizes, size)) > 0:
+                pairs.append((free_items.pop(at - 1), free_sizes.pop(at - 1), key, size, False))
+                size -= pairs[-1][1]
+            if len(pairs) > before:
+                pairs[-1] = (*pairs[-1][:4], True)
             else:
                 gaps.append((lonely, key, size))
                 lonely += 1
         if pairs:
-            item, size, bins, gap = zip(*pairs, strict=True)
-            yield table("pair", [0] * len(item), item, size, bins, gap)
+            item, size, bins, gap, last = zip(*pairs, strict=True)
+            yield table("pair", [0] * len(item), item, size, bins, gap, last)
         if gaps:
             idx, bins, gap = zip(*gaps, strict=True)
-            yield table("gap", idx, [None] * len(idx), [None] * len(idx), bins, gap)
-    for at in range(0, len(free), 10_000):
-        item, size = zip(*free[at : at + 10_000], strict=True)
-        yield table("piece", range(at, at + len(item)), item, size, [None] * len(item), [None] * len(item))
+            yield table("gap", idx, [None] * len(idx), [None] * len(idx), bins, gap, [None] * len(idx))
+    for at in range(0, len(free_items), 10_000):
+        item, size = free_items[at : at + 10_000], free_sizes[at : at + 10_000]
+        yield table("piece", range(at, at + len(item)), item, size, *[[None] * len(item)] * 3)
 
 
 def _between_partitions(left: dict[int, tuple[int, int]]) -> list[tuple[int, int, int, int, int, int, int]]:
@@ -129,22 +143,22 @@ def _between_partitions(left: dict[int, tuple[int, int]]) -> list[tuple[int, int
     return found
 
 
-def _round(spark: SparkSession, items: DataFrame, bins: DataFrame) -> DataFrame:
-    """All items, each with the bin and gap it got in this round, or null."""
+def _round(spark: SparkSession, items: DataFrame, bins: DataFrame, rows: int) -> DataFrame:
+    """All items, each with the bin and gap it got in this round, or null; `last` where a bin got no more."""
     both = items.select("size", F.lit(False).alias("is_gap"), F.col("item").alias("id")).unionAll(
         bins.select(F.col("gap").alias("size"), F.lit(True).alias("is_gap"), F.col("bin").alias("id"))
     )
     order = ["size", "is_gap", "id"]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PARTITION))
     ranged = both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     swept = materialize(ranged.mapInArrow(_sweep, _SWEPT), label="sweep")
     # One row per partition, however many pieces there are.
     counts = swept.where("kind <> 'pair'").groupBy("part").agg(F.count_if(F.col("kind") == "piece"), F.count_if(F.col("kind") == "gap"))
     links = _between_partitions({part: (p, g) for part, p, g in counts.collect()})
-    pairs = swept.where("kind = 'pair'").select("item", "size", "bin", "gap")
+    pairs = swept.where("kind = 'pair'").select("item", "size", "bin", "gap", "last")
     lonely = swept.where("kind = 'piece'")
     if not links:
-        return pairs.unionAll(lonely.select("item", "size", "bin", "gap"))
+        return pairs.unionAll(lonely.select("item", "size", "bin", "gap", "last"))
     # At most two rows per partition.
     link = F.broadcast(spark.createDataFrame(links, "no long, p_part int, p_from long, p_to long, g_part int, g_from long, g_to long"))
     mine = lonely.join(link, (F.col("part") == F.col("p_part")) & (F.col("idx") >= F.col("p_from")) & (F.col("idx") < F.col("p_to")), "left")
@@ -153,7 +167,8 @@ def _round(spark: SparkSession, items: DataFrame, bins: DataFrame) -> DataFrame:
         link, (F.col("part") == F.col("g_part")) & (F.col("idx") >= F.col("g_from")) & (F.col("idx") < F.col("g_to"))
     )
     theirs = theirs.select("no", (F.col("idx") - F.col("g_from")).alias("rank"), "bin", "gap")
-    return pairs.unionAll(mine.join(theirs, ["no", "rank"], "left").select("item", "size", "bin", "gap"))
+    crossed = mine.join(theirs, ["no", "rank"], "left").select("item", "size", "bin", "gap", F.lit(True).alias("last"))
+    return pairs.unionAll(crossed)
 
 
 def _bundles(items: DataFrame, capacity: int, share: float) -> DataFrame:
@@ -205,19 +220,22 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         open_items = single.unionAll(whole.select(F.col("bundle").alias("item"), "size"))
     placed, first_bin = [], 0
     remaining = (total or 0) > 0
+    n_rows = open_items.count()
     bins = None
     while remaining:
         if bins is None:
             bins = spark.range(first_bin, first_bin + n_bins).select(F.col("id").alias("bin"), F.lit(capacity).alias("gap"))
             first_bin += n_bins
-        result = materialize(_round(spark, open_items, bins), label="round")
-        n_placed, n_left, left = result.agg(
-            F.count("bin"), F.count_if(F.col("bin").isNull()), F.sum(F.when(F.col("bin").isNull(), F.col("size").cast("long")))
+            n_rows += n_bins
+        result = materialize(_round(spark, open_items, bins, n_rows), label="round")
+        n_open, n_left, left = result.agg(
+            F.count_if(F.col("bin").isNotNull() & F.col("last") & (F.col("gap") > F.col("size"))), F.count_if(F.col("bin").isNull()), F.sum(F.when(F.col("bin").isNull(), F.col("size").cast("long")))
         ).first()
         got = result.where("bin IS NOT NULL")
         placed.append(got.select("item", F.col("bin").alias("sequence_id"), (capacity - F.col("gap")).cast("long").alias("offset")))
         open_items, remaining = result.where("bin IS NULL").select("item", "size"), n_left > 0
-        bins = got.select("bin", (F.col("gap") - F.col("size")).alias("gap")).where("gap > 0") if n_placed else None
+        bins = got.where("last").select("bin", (F.col("gap") - F.col("size")).alias("gap")).where("gap > 0") if n_open else None
+        n_rows = n_left + n_open
         n_bins = math.ceil((left or 0) / capacity)
     for part in placed:
         full = full.unionAll(part)
