@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, fingerprint, minhash, packing, substring, topk, toxicity, warc
+from tablewright.llm import bpe, chat, fingerprint, minhash, packing, secrets, substring, topk, toxicity, warc
 from tablewright.session import fresh_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +144,9 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
