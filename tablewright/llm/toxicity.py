@@ -133,7 +133,7 @@ def span_hash_of(texts: pa.Array) -> np.ndarray:
     return found
 
 
-def fit(toxic: np.ndarray, hashes: list[np.ndarray], most_features: int = 4096, least_docs: int = 5, rounds: int = 400) -> Model:
+def fit(toxic: np.ndarray, hashes: list[np.ndarray], most_features: int = 4096, least_docs: int = 5, rounds: int = 1200) -> Model:
     """Select features, grade the toxic documents and fit weights and thresholds."""
     if not toxic.any() or toxic.all():
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
