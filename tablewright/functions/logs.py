@@ -25,7 +25,7 @@ TOKENS = {
 CAPTURE_TYPES = ("string", "double", "float", "int", "long")
 
 _REFERENCE = re.compile(r"%\{(\w+)(?::(\w+))?(?::(\w+))?\}")
-_MARK = "\u0001"
+MARK = "\u0001"
 
 
 def log_fields(pattern: str) -> tuple[str, list[tuple[str, str]]]:
@@ -59,12 +59,12 @@ def parse_log(df: DataFrame, pattern: str, column: str = "value") -> tuple[DataF
     """
     regex, fields = log_fields(pattern)
     line, laid_out = F.col(quote(column)), F.col("laid_out")
-    template = _MARK + _MARK.join(f"${i}" for i in range(1, len(fields) + 1))
+    template = MARK + MARK.join(f"${i}" for i in range(1, len(fields) + 1))
     one_by_one = F.array(*(F.regexp_extract(F.col("line"), regex, i) for i in range(1, len(fields) + 1)))
-    by_marks = F.split(F.substr(laid_out, F.lit(2)), _MARK, -1)
+    by_marks = F.split(F.substr(laid_out, F.lit(2)), MARK, -1)
     captures = F.when(
-        F.col("line").contains(_MARK), F.when(F.col("line").rlike(regex), F.array(one_by_one))
-    ).when(laid_out.startswith(_MARK), F.array(by_marks))
+        F.col("line").contains(MARK), F.when(F.col("line").rlike(regex), F.array(one_by_one))
+    ).when(laid_out.startswith(MARK), F.array(by_marks))
 
     def typed(i: int, name: str, dtype: str):
         text = F.col("captures")[i]

@@ -46,9 +46,14 @@ def to_cents(col: Column | str) -> Column:
 
 
 def money_sum(col: Column | str) -> Column:
-    """Sum of amounts with two decimals, as a double.
+    """Sum of amounts, rounded once to two decimals, as a double.
 
-    Adding doubles gives a result that depends on the order in which partial sums meet; adding
-    decimals does not.
+    Amounts are added as decimals with eight places, so the result does not depend on the order in
+    which partial sums meet. Where one amount or the sum is too large for that, or is no finite number,
+    doubles are added instead; nothing fails or is left out.
     """
-    return F.sum(_column(col).cast("decimal(18,2)")).cast("double")
+    amount = _column(col)
+    exact = amount.try_cast("decimal(28,8)")
+    fits = ~F.coalesce(F.bool_or(amount.isNotNull() & exact.isNull()), F.lit(False))
+    summed = F.when(fits, F.round(F.try_sum(exact), 2).cast("double"))
+    return F.coalesce(summed, F.round(F.sum(amount.cast("double")), 2))

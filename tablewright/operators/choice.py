@@ -81,13 +81,16 @@ def cast_choice(col: Column, target: T.DataType) -> Column:
 
 
 def choice_columns(df: DataFrame) -> list[str]:
-    """The choices of a frame: column names, `a.b` inside a struct, `a[].b` inside the elements of an array."""
+    """The choices of a frame: column names, `a.b` inside a struct, `a[].b` inside the elements of an array,
+    `a{}.b` inside the values of a map."""
 
     def inside(dtype: T.DataType, path: str) -> list[str]:
         if isinstance(dtype, T.VariantType):
             return [path]
         if isinstance(dtype, T.StructType):
             return [p for f in dtype.fields for p in inside(f.dataType, f"{path}.{f.name}")]
+        if isinstance(dtype, T.MapType):
+            return inside(dtype.valueType, f"{path}{{}}")
         return inside(dtype.elementType, f"{path}[]") if isinstance(dtype, T.ArrayType) else []
 
     return [p for f in df.schema.fields for p in inside(f.dataType, f.name)]
@@ -97,10 +100,12 @@ def _classes(col: Column, dtype: T.DataType, path: str, wanted: str) -> Column:
     """The classes of the values that the choice `wanted` has in one row, as an array."""
     if isinstance(dtype, T.ArrayType):
         return F.flatten(F.transform(col, lambda e: _classes(e, dtype.elementType, f"{path}[]", wanted)))
+    if isinstance(dtype, T.MapType):
+        return F.flatten(F.transform(F.map_values(col), lambda e: _classes(e, dtype.valueType, f"{path}{{}}", wanted)))
     if isinstance(dtype, T.StructType):
         for f in dtype.fields:
             deeper = f"{path}.{f.name}"
-            if wanted == deeper or wanted.startswith((f"{deeper}.", f"{deeper}[]")):
+            if wanted == deeper or wanted.startswith((f"{deeper}.", f"{deeper}[]", f"{deeper}{{}}")):
                 return _classes(col.getField(f.name), f.dataType, deeper, wanted)
     return F.array(value_class(col))
 
@@ -116,7 +121,7 @@ def choice_types(df: DataFrame, columns: Sequence[str] | None = None) -> dict[st
     fields = {f.name: f for f in df.schema.fields}
     found = []
     for i, path in enumerate(columns):
-        name = path if path in fields else next(n for n in fields if path.startswith((f"{n}.", f"{n}[]")))
+        name = path if path in fields else next(n for n in fields if path.startswith((f"{n}.", f"{n}[]", f"{n}{{}}")))
         found.append(_classes(F.col(quote(name)), fields[name].dataType, name, path).alias(f"c{i}"))
     flags = df.select(*found).agg(
         *(
@@ -148,6 +153,8 @@ class _Resolver:
             return F.when(col.isNotNull(), F.struct(*(c for columns in fields for c in columns)))
         if isinstance(dtype, T.ArrayType):
             return F.transform(col, lambda e: self.value(e, dtype.elementType, f"{path}[]"))
+        if isinstance(dtype, T.MapType):
+            return F.transform_values(col, lambda _, v: self.value(v, dtype.valueType, f"{path}{{}}"))
         verb, _, target = self.actions.get(path, "").partition(":")
         if not isinstance(dtype, T.VariantType) or not verb:
             return col
@@ -211,12 +218,17 @@ _TYPE_WORDS = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bVOID\b(?!:)|\bDECIMAL\(\d+
 
 
 def _spark_type(variant_type: str) -> T.DataType:
-    """The type a variant reports, as a Spark type; never-filled fields are text, fractions double."""
+    """The type a variant reports, as a Spark type; never-filled fields are text, fractions double.
+
+    Whole numbers beyond bigint stay decimals, so that they keep their digits.
+    """
 
     def word(match: re.Match[str]) -> str:
         text = match.group()
         if text.startswith("`"):
             return text
+        if text[0] == "D" and text.rstrip(")").split(",")[1].strip() == "0":
+            return text
         return {"O": "STRUCT<", "V": "STRING", "D": "DOUBLE"}[text[0]]
 
     return T.DataType.fromDDL(_TYPE_WORDS.sub(word, variant_type))
@@ -225,18 +237,53 @@ def _spark_type(variant_type: str) -> T.DataType:
 def record_schema(df: DataFrame, column: str) -> T.StructType:
     """The fields of the JSON records in a VARIANT column, by one distributed aggregation.
 
-    Fields with mixed types come out as VARIANT. Mixed whole and fractional numbers become double.
+    Fields with mixed types come out as VARIANT, and so do those with whole and fractional numbers (long
+    and double are classes of their own), which takes a second pass where there are fractions. Inside
+    arrays such numbers become double.
     """
     found = df.agg(F.schema_of_variant_agg(F.col(quote(column)))).first()[0]
     schema = _spark_type(found) if found else T.StructType()
     if not isinstance(schema, T.StructType) or not schema.fields:
         raise ValueError(f"column {column!r} holds no JSON objects but {found}")
-    return schema
+    fractions = _fraction_paths(schema, ())
+    if not fractions:
+        return schema
+    record = F.col(quote(column))
+    flags = df.agg(
+        *(
+            F.coalesce(F.bool_or(F.schema_of_variant(F.variant_get(record, "$" + "".join(_step(p) for p in path), "variant")) == "BIGINT"), F.lit(False))
+            for path in fractions
+        )
+    ).first()
+    return _opened(schema, (), {path for path, whole in zip(fractions, flags, strict=True) if whole})
+
+
+def _fraction_paths(schema: T.StructType, path: tuple[str, ...]) -> list[tuple[str, ...]]:
+    """Where fractions stand, reached through structs."""
+    found = []
+    for f in schema.fields:
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            found.append((*path, f.name))
+        elif isinstance(f.dataType, T.StructType):
+            found += _fraction_paths(f.dataType, (*path, f.name))
+    return found
+
+
+def _opened(schema: T.StructType, path: tuple[str, ...], choices: set[tuple[str, ...]]) -> T.StructType:
+    """The schema with the fields at the given places as choices."""
+
+    def kind(f: T.StructField) -> T.DataType:
+        here = (*path, f.name)
+        if here in choices:
+            return T.VariantType()
+        return _opened(f.dataType, here, choices) if isinstance(f.dataType, T.StructType) else f.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f)) for f in schema.fields])
 
 
-def _path(field: str) -> str:
+def _step(field: str) -> str:
     mark = '"' if "'" in field else "'"
-    return f"$[{mark}{field}{mark}]"
+    return f"[{mark}{field}{mark}]"
 
 
 def open_records(df: DataFrame, column: str = "record", schema: T.StructType | None = None) -> DataFrame:
@@ -244,5 +291,5 @@ def open_records(df: DataFrame, column: str = "record", schema: T.StructType | N
     schema = schema or record_schema(df, column)
     record = F.col(quote(column))
     return df.select(
-        *(F.variant_get(record, _path(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields)
+        *(F.variant_get(record, "$" + _step(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields)
     )

@@ -46,6 +46,7 @@ def _children(
     collections: list[tuple[str, Column, T.DataType]],
     sep: str,
     out: dict[str, DataFrame],
+    link_prefix: str,
 ) -> None:
     for name, col, dtype in collections:
         child = f"{table}{sep}{name}"
@@ -67,12 +68,15 @@ def _children(
         else:
             scalars, inner = [("value", F.col("value"))], []
         sizes = [(f"{inner_name}_size", F.size(inner_col)) for inner_name, inner_col, _ in inner]
+        # A link column that an element's field is called like takes the prefix.
+        taken = {column.lower() for column, *_ in scalars + sizes}
+        linked = [(link_prefix + link if link.lower() in taken else link, col) for link, col in linked]
         out[child] = _select(rows, linked + scalars + sizes, child)
         if inner:
             # The grandchildren see this level's position under its own name.
             renamed = {own[0]: f"{name}_{own[0]}"}
             deeper = rows.withColumnsRenamed(renamed)
-            _children(deeper, child, links + list(renamed.values()), inner, sep, out)
+            _children(deeper, child, links + list(renamed.values()), inner, sep, out, link_prefix)
 
 
 def relationalize(
@@ -81,6 +85,7 @@ def relationalize(
     key: Sequence[str] | str | None = None,
     staging_path: str | None = None,
     sep: str = "_",
+    link_prefix: str | None = None,
 ) -> dict[str, DataFrame]:
     """Split nested records into flat tables, named root and root_field for each array or map.
 
@@ -90,7 +95,8 @@ def relationalize(
     `index`. Deeper levels also carry the positions of the levels above as `field_index`.
 
     The link columns are the `key` columns, which must identify a record. Without a key the link is
-    a generated `<root>_id`; the records are then written once below staging_path (the shared
+    a generated `<root>_id`. Where an element has a field of that name, or one called index or key, the
+    link column is called link_prefix (`<root>_` unless given) and its name. Without a key the records are then written once below staging_path (the shared
     folder if none is given), so that root and children agree on it whenever they are computed.
     """
     links = [key] if isinstance(key, str) else list(key or [])
@@ -111,5 +117,5 @@ def relationalize(
     scalars, collections = _flat(df.schema, None, "", sep)
     sizes = [(f"{name}_size", F.size(col)) for name, col, _ in collections]
     out: dict[str, DataFrame] = {root: _select(df, scalars + sizes, root)}
-    _children(df, root, links, collections, sep, out)
+    _children(df, root, links, collections, sep, out, f"{root}{sep}" if link_prefix is None else link_prefix)
     return out

@@ -6,12 +6,13 @@ customers table has nested JSON records with a mixed-type loyalty_points.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.functions.numbers import to_cents
+from tablewright.functions.numbers import money_sum, to_cents
 from tablewright.operators.choice import resolve_choice
 from tablewright.operators.joins import enrich
 from tablewright.operators.latest import latest_per_key
@@ -24,7 +25,7 @@ from tablewright.sources.files import read_json_records
 from tablewright.sources.keyed import upsert_keyed
 from tablewright.sources.sinks import create_table, insert_select, write_collection, write_parquet, write_table
 from tablewright.sources.tables import read_table, register_log
-from tablewright.streaming.incremental import incremental_load
+from tablewright.streaming.incremental import incremental_load, store_load
 
 # The raw order columns and what they are called and typed after mapping.
 ORDER_MAPPING = [
@@ -49,7 +50,7 @@ def mapped_orders(spark: SparkSession, db: str = "raw", table: str = "orders") -
 
 def status_report(orders: DataFrame) -> DataFrame:
     """Orders and their total per status, most frequent first."""
-    measures = {"n": F.count("*"), "total": F.round(F.sum("order_total"), 2)}
+    measures = {"n": F.count("*"), "total": money_sum("order_total")}
     return summarize(orders, "status", measures, [F.desc("n"), "status"])
 
 
@@ -64,7 +65,8 @@ def map_filter_summarize(spark: SparkSession, out_path: str) -> tuple[int, DataF
 
 
 def orders_to_table(spark: SparkSession, path: str, out_db: str = "processed", out_table: str = "orders") -> None:
-    write_table(mapped_orders(spark), out_db, out_table, path, partition_by=["order_date"])
+    """All orders, in the layout of the incremental loads, which may go on in the same table."""
+    store_load(mapped_orders(spark), out_db, out_table, path, ["order_date"], f"all_{uuid.uuid4().hex}")
 
 
 def customers_to_tables(
