@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +20,52 @@ def read_csv_text(
 ) -> DataFrame:
     """CSV with a header line, every column as text. Quotes protect commas; an empty cell is NULL.
 
-    Types are never inferred: that would read the data twice and turn codes such as 04109 into
-    numbers. Without `columns` the names come from a header line.
+    Types are never inferred: that would turn codes such as 04109 into numbers. Columns are matched by
+    the header of each file, see read_csv_named. Without `columns` all that any header names are read.
     """
-    reader = spark.read.option("header", True)
-    if columns is not None:
-        reader = reader.schema(", ".join(f"{quote(c)} string" for c in columns)).option("enforceSchema", False)
-    return reader.csv(paths if isinstance(paths, str) else list(paths))
+    return read_csv_named(spark, paths, None if columns is None else ", ".join(f"{quote(c)} string" for c in columns))
+
+
+def read_csv_named(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str | T.StructType | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """CSV files whose columns are found by name, in whatever order each file has them.
+
+    A column that a file lacks is NULL in its rows; one that the schema doesn't name is not read. Files
+    are grouped by their header line, which costs a pass over the text, and read group by group. A
+    header that names a column twice is an error, and so is a file whose header isn't what was found.
+    """
+    options = dict(options or {})
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
+    lines = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = lines.where("block = 0").withColumn("place", F.monotonically_increasing_id())
+    heads = lines.groupBy("file").agg(F.min_by("value", "place").alias("head"))
+    # The driver gets what listing gives it anyway, the file names, and one line per form of header.
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    sep, mark = options.get("sep", options.get("delimiter", ",")), options.get("quote", '"')
+    named = []
+    for row in groups:
+        names = next(csv.reader([row["head"].removeprefix("\ufeff")], delimiter=sep, quotechar=mark), [])
+        if len(set(names)) != len(names):
+            raise ValueError(f"a column is named twice in {row['head']!r}, in {row['files'][0]}")
+        named.append((names, [unquote(f) for f in row["files"]]))
+    if wanted is None:
+        every = dict.fromkeys(name for names, _ in named for name in names)
+        wanted = T.StructType([T.StructField(name, T.StringType()) for name in every])
+    types = {f.name: f.dataType for f in wanted.fields}
+    out = None
+    for names, files in named:
+        given = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+        part = spark.read.options(**options).option("header", True).option("enforceSchema", False).schema(given).csv(files)
+        part = part.select(
+            *(F.col(quote(f.name)) if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted.fields)
+        )
+        out = part if out is None else out.unionAll(part)
+    return spark.createDataFrame([], wanted) if out is None else out
 
 
 def read_json_records(

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tablewright.functions.logs import log_fields
+from tablewright.functions.logs import MARK, log_fields
 from tablewright.functions.numbers import DECIMAL, WHOLE
 from tablewright.names import qualified, quote, sql_text
-from tablewright.operators.choice import open_records, record_schema
-
-_RECORD_SCHEMA = "tablewright.record_schema"
-
+from tablewright.operators.choice import open_records
 
 def table_property(spark: SparkSession, name: str, prop: str) -> str | None:
     for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
@@ -34,13 +32,14 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def read_table(spark: SparkSession, db: str, table: str) -> DataFrame:
-    """A catalog table. JSON tables come with one column per field, choices as VARIANT."""
-    name = qualified(db, table)
-    df = spark.table(name)
+def read_table(spark: SparkSession, db: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """A catalog table. JSON tables come with one column per field, choices as VARIANT.
+
+    The fields are those that the files have now, found by one pass; with a schema only its fields are
+    read, without that pass.
+    """
+    df = spark.table(qualified(db, table))
     if [f.dataType for f in df.schema.fields] == [T.VariantType()]:
-        stored = table_property(spark, name, _RECORD_SCHEMA)
-        schema = T.StructType.fromDDL(stored) if stored else None
         return open_records(df, df.columns[0], schema)
     return df
 
@@ -49,15 +48,15 @@ def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str)
     """Make files under a path a catalog table, finding columns and partitions.
 
     parquet and orc bring their schema, csv takes its names from the header and types nothing, text
-    has one column per line. JSON becomes one VARIANT column; the field types found now are stored
-    with the table. Registering again replaces the entry and leaves the files alone; a table that owns
+    has one column per line. JSON becomes one VARIANT column; its fields are found when it is read. A
+    CSV file with another header than the table's fails the query that meets it. Registering again replaces the entry and leaves the files alone; a table that owns
     its files is not replaced.
     """
     name = qualified(db, table)
     options = {
         "parquet": "",
         "orc": "",
-        "csv": "OPTIONS (header 'true')",
+        "csv": "OPTIONS (header 'true', enforceSchema 'false')",
         "text": "",
         "json": "OPTIONS (singleVariantColumn 'record')",
     }
@@ -69,10 +68,6 @@ def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str)
             raise ValueError(f"{name} exists and owns its files; drop it first")
         spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} {columns} USING {fmt} {options[fmt]} LOCATION {sql_text(path)}")
-    if fmt == "json":
-        fields = record_schema(spark.table(name), "record")
-        ddl = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in fields.fields)
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({sql_text(_RECORD_SCHEMA)} = {sql_text(ddl)})")
     if partition_columns(spark, name):
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
@@ -81,22 +76,29 @@ def register_log(spark: SparkSession, db: str, table: str, path: str, pattern: s
     """Make log files queryable as a table with one typed column per capture of the pattern.
 
     The lines are the table `<table>_lines`; the typed columns are a view over it, so that files that
-    arrive later are included and a query takes apart only the captures it uses. Lines that do not
-    fit are not in the view; parse_log tells which ones they are.
+    arrive later are included. As in parse_log a line is matched once, and then taken apart at marks.
+    Lines that do not fit are not in the view; parse_log tells which ones they are.
     """
     lines, view = f"{table}_lines", qualified(db, table)
     register_path(spark, db, lines, path, "text")
     regex, fields = log_fields(pattern)
     columns = []
     for i, (name, dtype) in enumerate(fields, start=1):
-        text = f"regexp_extract(value, {sql_text(regex)}, {i})"
+        text = f"captures[{i - 1}]"
         if dtype != "string":
             guard = DECIMAL if dtype in ("double", "float") else WHOLE
             text = f"CASE WHEN {text} RLIKE {sql_text(guard)} THEN try_cast({text} AS {dtype}) END"
         columns.append(f"{text} AS {quote(name)}")
+    match, mark, template = sql_text(regex), sql_text(MARK), sql_text(MARK + MARK.join(f"${i + 1}" for i in range(len(fields))))
+    one_by_one = ", ".join(f"regexp_extract(value, {match}, {i + 1})" for i in range(len(fields)))
+    captures = (
+        f"CASE WHEN contains(value, {mark}) THEN CASE WHEN value RLIKE {match} THEN array(array({one_by_one})) END "
+        f"WHEN startswith(laid_out, {mark}) THEN array(split(substr(laid_out, 2), {mark}, -1)) END"
+    )
     spark.sql(
-        f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(columns)} FROM {qualified(db, lines)} "
-        f"WHERE value RLIKE {sql_text(regex)}"
+        f"CREATE OR REPLACE VIEW {view} AS SELECT {', '.join(columns)} FROM "
+        f"(SELECT value, regexp_replace(value, {match}, {template}) AS laid_out FROM {qualified(db, lines)}) "
+        f"LATERAL VIEW explode({captures}) AS captures"
     )
 
 
@@ -118,6 +120,12 @@ def is_at(location: str, path: str) -> bool:
     return re.sub(r"\.v/[0-9a-f]{32}$", "", folder) == re.sub(r"\.v/[0-9a-f]{32}$", "", other)
 
 
+def partition_values(folder: str) -> dict[str, str]:
+    """The values that a partition's name (a=1/b=x) stands for."""
+    pairs = (part.split("=", 1) for part in folder.split("/"))
+    return {unquote(key): unquote(value) for key, value in pairs}
+
+
 def partition_clause(values: dict[str, str]) -> str:
     return "PARTITION (" + ", ".join(f"{quote(k)} = {sql_text(v)}" for k, v in values.items()) + ")"
 

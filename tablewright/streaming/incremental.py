@@ -14,11 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.names import identifier, qualified, quote, sql_text
+from tablewright.sources.files import read_csv_named
 from tablewright.sources.sinks import add_missing_columns, clustered, create_table, table_order
 
 LOAD_ID = "load_id"
 _RESETS = "job string, ctx string, at timestamp"
 
+# The columns of Spark's binary file source, and its options about which files there are.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+_FINDING = ("pathGlobFilter", "recursiveFileLookup", "maxFileAge", "maxFilesPerTrigger", "latestFirst", "fileNameOnly")
+
 
 def _resets(spark: SparkSession, state_root: str) -> DataFrame:
     return spark.read.schema(_RESETS).parquet(f"{state_root.rstrip('/')}/resets")
@@ -40,7 +45,7 @@ def reset_bookmark(spark: SparkSession, job: str, ctx: str, state_root: str) ->
     entry.coalesce(1).write.mode("append").parquet(f"{state_root.rstrip('/')}/resets")
 
 
-def _store(batch: DataFrame, db: str, table: str, path: str | None, partition_by: Sequence[str], load: str) -> None:
+def store_load(batch: DataFrame, db: str, table: str, path: str | None, partition_by: Sequence[str], load: str) -> None:
     """Write one load under its own partition value, replacing what a failed try of it left there."""
     spark, name = batch.sparkSession, qualified(db, table)
     if not spark.catalog.tableExists(name):
@@ -72,24 +77,35 @@ def incremental_load(
     partition_by: Sequence[str] = (),
     fmt: str = "csv",
     options: dict[str, str] | None = None,
-    max_files_per_batch: int | None = None,
+    max_files_per_batch: int = 10_000,
 ) -> int:
     """Load the new files under `source` through `transform` into a table; returns the batches written.
 
     The state advances only when a batch is in the table; after a failure the same files are read
     again under the same load_id, so nothing is lost or doubled. ctx=None keeps no state: every run
     loads everything. max_files_per_batch splits a large first load into restartable pieces.
+
+    CSV columns are matched by the header of each file (read_csv_named); with the option header=false
+    by position. The stream itself only carries the names of new files.
+
+    The seen files of a job stay in its checkpoint and in the driver's memory while it runs: give a
+    source of many millions of files one job per prefix.
     """
     options = {"header": "true", **(options or {})} if fmt == "csv" else dict(options or {})
+
+    def read(paths: str | list[str]) -> DataFrame:
+        if fmt == "csv" and options["header"].lower() == "true":
+            return read_csv_named(spark, paths, schema, options)
+        return spark.read.schema(schema).options(**options).format(fmt).load(paths)
+
     if ctx is None:
-        batch = transform(spark.read.schema(schema).options(**options).format(fmt).load(source))
-        _store(batch, db, table, path, partition_by, f"all_{uuid.uuid4().hex}")
+        batch = transform(read(source))
+        store_load(batch, db, table, path, partition_by, f"all_{uuid.uuid4().hex}")
         return 1
 
     # Without this age limit the source would skip files older than a week behind the newest one.
-    options = {"maxFileAge": "36500d", **options}
-    if max_files_per_batch:
-        options["maxFilesPerTrigger"] = str(max_files_per_batch)
+    finding = {"maxFileAge": "36500d", "maxFilesPerTrigger": str(max_files_per_batch)}
+    finding |= {k: v for k, v in options.items() if k in _FINDING}
     number = generation(spark, job, ctx, state_root)
     checkpoint = f"{state_root.rstrip('/')}/{identifier(job)}/{identifier(ctx)}/generation={number}"
     written = 0
@@ -101,10 +117,14 @@ def incremental_load(
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         if not query_id:
             raise RuntimeError("the streaming query has no id to file the load under")
-        _store(transform(batch), db, table, path, partition_by, f"{query_id.replace('-', '')}_{batch_id}")
+        # At most max_files_per_batch names.
+        files = sorted(row["path"] for row in batch.select("path").collect())
+        if not files:
+            return
+        store_load(transform(read(files)), db, table, path, partition_by, f"{query_id.replace('-', '')}_{batch_id}")
         written += 1
 
-    stream = spark.readStream.schema(schema).options(**options).format(fmt).load(source)
+    stream = spark.readStream.format("binaryFile").schema(_FILES).options(**finding).load(source).select("path")
     query = (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
