@@ -22,15 +22,14 @@ _SCHEMA = (
 
 def _table_row(spark: SparkSession, db: str, table: str) -> tuple:
     name = qualified(db, table)
-    location, provider = (table_detail(spark, name, item) for item in ("Location", "Provider"))
+    location = table_detail(spark, name, "Location")
     if not location:
         return (db, table, 0, None, None, None, None)
     partitioned = bool(partition_columns(spark, name))
     count = spark.sql(f"SHOW PARTITIONS {name}").count() if partitioned else 0
-    # Partitions may point outside the table's folder (after compaction), so ask the scan for them.
-    by_scan = partitioned and provider in ("parquet", "orc")
     try:
-        files = table_files(spark, db, table) if by_scan else listed_files(spark, location)
+        # Partitions may point outside the table's folder, so ask the table for its files.
+        files = table_files(spark, db, table) if partitioned else listed_files(spark, location)
         number, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("file_size"), F.lit(0))).first()
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
@@ -43,7 +42,8 @@ def table_inventory(spark: SparkSession, databases: Sequence[str] | None = None,
     """One row per table: partitions, location, has_data, files, bytes. Views have no location.
 
     The counting is one Spark job per table, a few at a time; one row per table reaches the driver.
-    has_data is False for a table whose location is empty or gone.
+    has_data is False for a table whose location is empty or gone. A database without tables has one row
+    without table_name.
     """
     databases = [d.name for d in spark.catalog.listDatabases()] if databases is None else list(databases)
     names = [
@@ -54,13 +54,16 @@ def table_inventory(spark: SparkSession, databases: Sequence[str] | None = None,
     ]
     with ThreadPoolExecutor(max_workers=concurrency) as pool:
         rows = list(pool.map(lambda n: _table_row(spark, *n), names))
+    filled = {db for db, _ in names}
+    rows += [(db, None, 0, None, None, 0, 0) for db in map(identifier, databases) if db not in filled]
     return spark.createDataFrame(rows, _SCHEMA)
 
 
 def inventory_report(inventory: DataFrame) -> DataFrame:
     """The inventory as lines of text, in order of database and table; write it with .write.text."""
     return inventory.orderBy("database", "table_name").select(
-        F.concat(
+        F.when(F.col("table_name").isNull(), F.concat("database", F.lit(": no tables")))
+        .otherwise(F.concat(
             F.format_string(
                 "%s.%s: %d partitions, location=%s",
                 F.col("database"),
@@ -69,5 +72,6 @@ def inventory_report(inventory: DataFrame) -> DataFrame:
                 F.coalesce("location", F.lit("(none)")),
             ),
             F.when(~F.col("has_data"), " <-- WARNING: no data at the location").otherwise(""),
-        ).alias("value")
+        ))
+        .alias("value")
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from itertools import accumulate
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,26 +16,69 @@ from tablewright.sources.tables import (
     next_version,
     partition_clause,
     partition_columns,
+    partition_values,
     table_detail,
 )
 
+# Fixed value: how the folder of a partition without value is called.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-def table_files(spark: SparkSession, db: str, table: str) -> DataFrame:
-    """One row per data file: partition values, file_path, file_size, rows.
 
-    Reads file footers only: no data column is in the scan's schema.
+def table_files(spark: SparkSession, db: str, table: str, rows: bool = False) -> DataFrame:
+    """One row per data file: partition values (as text), file_path, file_size; with `rows` their number, too.
+
+    The files are those that Spark has listed to read the table, wherever its partitions are. Their sizes
+    come from listing their folders; nothing in them is read unless rows are asked for.
     """
     name = qualified(db, table)
-    groups = [quote(c) for c in partition_columns(spark, name)]
-    meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size")]
-    return spark.table(name).groupBy(*groups, *meta).agg(F.count(F.lit(1)).alias("rows"))
+    parts = partition_columns(spark, name)
+    if rows:
+        groups = [F.col(quote(c)).cast("string").alias(c) for c in parts]
+        meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size")]
+        return spark.table(name).groupBy(*groups, *meta).agg(F.count(F.lit(1)).alias("rows"))
+    listed = files_in_use(spark, db, table)
+    text = "folder string" + "".join(f", {quote(p)} string" for p in parts)
+    folders = sorted({path.rpartition("/")[0] for path in listed})
+    known = spark.createDataFrame([(f, *_partition_of(f, parts)) for f in folders], text)
+    if not folders:
+        return known.select(*(quote(p) for p in parts), F.col("folder").alias("file_path"), F.lit(0).cast("long").alias("file_size"))
+    found = spark.read.format("binaryFile").load([unquote(f) for f in folders])
+    meta = [F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size")]
+    found = found.select(*meta).withColumn("folder", F.regexp_replace("file_path", "/[^/]*$", ""))
+    same = F.regexp_replace(F.col("folder"), "^file:/+", "file:/")
+    return found.withColumn("folder", same).join(
+        known.withColumn("folder", F.regexp_replace("folder", "^file:/+", "file:/")), "folder"
+    ).select(*(quote(p) for p in parts), "file_path", "file_size")
+
+
+def files_in_use(spark: SparkSession, db: str, table: str) -> list[str]:
+    """The files that a scan of the table would read now."""
+    name = qualified(db, table)
+    spark.catalog.refreshTable(name)
+    try:
+        return spark.table(name).inputFiles()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
+        return []
+
 
+def _partition_of(folder: str, parts: Sequence[str]) -> list[str | None]:
+    """The partition values that a folder's name spells (file names in a URI are escaped twice)."""
+    pairs = dict(unquote(step).split("=", 1) for step in folder.split("/") if "=" in step)
+    values = [unquote(pairs[p]) if p in pairs else None for p in parts]
+    return [None if v == DEFAULT_PARTITION else v for v in values]
 
-def _fragmented(files: DataFrame, parts: Sequence[str], target_bytes: int) -> DataFrame:
-    """Partitions with at least twice the files their bytes need, and the number they need."""
+
+def _fragmented(files: DataFrame, parts: Sequence[str], target_bytes: int, factor: float, every: bool) -> DataFrame:
+    """Partitions with `factor` times the files their bytes need, and the number they need; or every one."""
     needed = F.greatest(F.ceil(F.sum("file_size") / F.lit(target_bytes)), F.lit(1)).cast("int")
     totals = files.groupBy(*(quote(p) for p in parts)).agg(F.count("*").alias("files"), needed.alias("needed"))
-    return totals.filter("files >= 2 * needed")
+    return totals if every else totals.where((F.col("files") > F.col("needed")) & (F.col("files") >= F.col("needed") * factor))
+
+
+class ConcurrentWrite(RuntimeError):
+    """The table's files changed while a copy of them was written."""
 
 
 def compact_table(
@@ -43,14 +87,16 @@ def compact_table(
     table: str,
     target_bytes: int = 256 * 1024 * 1024,
     sort_by: Sequence[str] = (),
+    factor: float = 2.0,
 ) -> int:
-    """Rewrite partitions that hold twice the files their size needs; returns the files it aims at.
+    """Rewrite partitions that hold `factor` times the files their size needs; returns the files it aims at.
 
-    Partitions that are fine already are not read. The new files go to a fresh folder; then the
+    Partitions that are fine already are not read. With sort_by every partition is rewritten, its rows
+    clustered by those columns, however many files it has. The new files go to a fresh folder; then the
     table, or each rewritten partition, is pointed there. Old folders stay until the caller removes
-    them, so running readers finish undisturbed and a failed run changes nothing. Writers have to
-    wait: what they add while this runs is not in the copy. sort_by also clusters the rows of each
-    partition by those columns.
+    them, so running readers finish undisturbed and a failed run changes nothing. The files of the table
+    are listed before and after the copy is made: if a writer has changed them meanwhile, the table stays
+    as the writer left it and ConcurrentWrite is raised.
 
     The rows of a partition are spread over its files by a hash of the row's place in its old file.
     That is even whatever the values are, and the same when a lost task is run again.
@@ -60,7 +106,13 @@ def compact_table(
     if provider != "parquet":
         raise ValueError(f"{name} is a {provider} table; only Parquet tables are compacted")
     parts = partition_columns(spark, name)
-    work = _fragmented(table_files(spark, db, table), parts, target_bytes)
+    before = sorted(files_in_use(spark, db, table))
+    work = _fragmented(table_files(spark, db, table), parts, target_bytes, factor, bool(sort_by))
+
+    def unchanged() -> None:
+        if sorted(files_in_use(spark, db, table)) != before:
+            raise ConcurrentWrite(f"the files of {name} changed during compaction; it is left as it is")
+
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     rows = spark.table(name)
     target = next_version(location)
@@ -79,6 +131,7 @@ def compact_table(
             # Whole scan tasks are joined up: no shuffle.
             out = rows.coalesce(count)
         out.write.parquet(target)
+        unchanged()
         spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_text(target)}")
         spark.catalog.refreshTable(name)
         return count
@@ -101,6 +154,7 @@ def compact_table(
             out = placed.repartitionById(count, "__file")
         out = out.sortWithinPartitions(*keys, *order).drop("__place", "__file")
         out.write.mode("append").partitionBy(*parts).parquet(target)
+    unchanged()
     _point_partitions(spark, db, table, target)
     return sum(row["needed"] for row in chosen)
 
@@ -112,16 +166,17 @@ def _with_target_file(rows: DataFrame, parts: Sequence[str], chosen: Sequence[Ro
     the short list then picks the exact combinations.
     """
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    listed = rows.sparkSession.createDataFrame(
+    text = rows.sparkSession.createDataFrame(
         [
             (*(row[p] for p in parts), row["needed"], first)
             for row, first in zip(chosen, accumulate((row["needed"] for row in chosen), initial=0), strict=False)
         ],
-        ", ".join(f"{quote(p)} {types[p]}" for p in parts) + ", needed int, first int",
+        ", ".join(f"{quote(p)} string" for p in parts) + ", needed int, first int",
     )
+    listed = text.select(*(F.col(quote(p)).cast(types[p]).alias(p) for p in parts), "needed", "first")
     for p in parts:
         values = {row[p] for row in chosen}
-        wanted = F.col(quote(p)).isin([v for v in values if v is not None])
+        wanted = F.col(quote(p)).isin([F.lit(v).cast(types[p]) for v in values if v is not None])
         rows = rows.filter(wanted | F.col(quote(p)).isNull() if None in values else wanted)
     left, right = rows.alias("rows"), listed.alias("work")
     on = [F.col(f"rows.{quote(p)}").eqNullSafe(F.col(f"work.{quote(p)}")) for p in parts]
@@ -143,7 +198,6 @@ def _point_partitions(spark: SparkSession, db: str, table: str, target: str) ->
     finally:
         spark.sql(f"DROP TABLE {probe}")
     for folder in folders:
-        pairs = (part.split("=", 1) for part in folder.split("/"))
-        clause = partition_clause({unquote(key): unquote(value) for key, value in pairs})
+        clause = partition_clause(partition_values(folder))
         spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION {sql_text(f'{target}/{folder}')}")
     spark.catalog.refreshTable(name)

@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.names import qualified, quote, sql_text
 from tablewright.operators.latest import latest_per_key
 from tablewright.session import fresh_path
 from tablewright.sources.files import listed_files
-from tablewright.sources.sinks import add_missing_columns, table_order
+from tablewright.sources.sinks import add_missing_columns, clustered, table_order
 from tablewright.sources.tables import next_version, partition_clause, table_property
 
 _BUCKET = "key_bucket"
@@ -39,9 +39,9 @@ def upsert_keyed(
     Among rows of the batch with the same key the first by `order_by` (names descending) is the last
     write. Attributes may come and go between batches. A NULL key fails the job.
 
-    The table is partitioned by a hash of the key into `buckets` parts. Their number is fixed when it
-    is created, by default at one per 64 MB of the first batch, so that parts stay easy to rewrite
-    while the table grows tenfold; give it if much more is to come.
+    The table is partitioned by a hash of the key into `buckets` parts, by default one per 64 MB of the
+    first batch. A part is written by as many tasks, and into as many files, as its size asks for, so a
+    table may outgrow their number; `rebucket_keyed` changes it, so that upserts touch less.
 
     An upsert reads and rewrites only the parts its keys fall into, into a new folder, and then
     points those partitions there. A job that dies before leaves the table as it was; one that dies
@@ -70,16 +70,12 @@ def upsert_keyed(
 
     if exists:
         add_missing_columns(batch, name)
-        merged = _merged(spark.table(name).filter(F.col(_BUCKET).isin(touched)), table_order(batch, name), key, buckets)
+        merged = _merged(spark.table(name).filter(F.col(_BUCKET).isin(touched)), table_order(batch, name), key)
         merged.write.partitionBy(_BUCKET).parquet(target)
     else:
-        batch.repartitionById(buckets, _BUCKET).write.partitionBy(_BUCKET).parquet(target)
-        properties = f"{sql_text(_COUNT)} = {sql_text(str(buckets))}, {sql_text(_KEY)} = {sql_text(key)}"
+        clustered(batch, [_BUCKET]).write.partitionBy(_BUCKET).parquet(target)
         columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in batch.schema.fields)
-        spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({_BUCKET}) "
-            f"LOCATION {sql_text(path)} TBLPROPERTIES ({properties})"
-        )
+        _create(spark, name, columns, path, key, buckets)
 
     known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     added = []
@@ -94,13 +90,34 @@ def upsert_keyed(
     spark.catalog.refreshTable(name)
 
 
-def _merged(old: DataFrame, new: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Old rows without a new row of the same key, and the new rows, each part in one task.
+def _merged(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Old rows without a new row of the same key, and the new rows.
 
-    Keys are unique on both sides, so parts are even. Bringing a part together is the only shuffle:
-    it serves the choice per key and the write, whose order by part the window has already made.
+    Rows are brought together by key, which is even, and then by part for the write; a part too large for
+    one task is split among several.
     """
-    both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
-    window = Window.partitionBy(_BUCKET, quote(key)).orderBy(F.desc("__new"))
-    ranked = both.repartitionById(buckets, _BUCKET).withColumn("__row", F.row_number().over(window))
-    return ranked.filter("__row <= 1").drop("__row", "__new")
+    kept = old.join(new.select(quote(key)), key, "left_anti").select(*(quote(c) for c in new.columns))
+    return clustered(kept.unionAll(new), [_BUCKET])
+
+
+def rebucket_keyed(spark: SparkSession, db: str, table: str, path: str, buckets: int) -> None:
+    """Divide a keyed table into another number of parts, by writing it anew beside the old files."""
+    name = qualified(db, table)
+    key = table_property(spark, name, _KEY)
+    if key is None:
+        raise ValueError(f"{name} is no keyed table")
+    rows = read_keyed(spark, db, table).withColumn(_BUCKET, F.pmod(F.xxhash64(quote(key)), F.lit(buckets)).cast("int"))
+    target = next_version(path)
+    clustered(rows, [_BUCKET]).write.partitionBy(_BUCKET).parquet(target)
+    columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    spark.sql(f"DROP TABLE {name}")
+    _create(spark, name, columns, target, key, buckets)
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
+def _create(spark: SparkSession, name: str, columns: str, path: str, key: str, buckets: int) -> None:
+    properties = f"{sql_text(_COUNT)} = {sql_text(str(buckets))}, {sql_text(_KEY)} = {sql_text(key)}"
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({_BUCKET}) "
+        f"LOCATION {sql_text(path)} TBLPROPERTIES ({properties})"
+    )
