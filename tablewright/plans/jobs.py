@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.operators.choice import resolve_choice
+from tablewright.operators.choice import CLASSES, choice_columns, resolve_choice
 from tablewright.session import materialize
 from tablewright.sources.sinks import write_table
 from tablewright.sources.tables import read_table
@@ -19,23 +18,21 @@ def fan_out(
 ) -> list[object]:
     """Run several actions or writes on one frame, computing the frame once.
 
-    By default it is kept on the executors, spilling to their disks, and dropped afterwards. With a
-    staging path it is written there instead: better when it is larger than the cluster's disks or
-    expensive to recompute after the loss of an executor.
+    It is written once, below the staging path or the shared folder, so that all sinks see the same rows
+    and the loss of an executor costs a re-read only.
     """
-    if staging_path:
-        staged = materialize(df, staging_path)
-        return [sink(staged) for sink in sinks]
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return [sink(kept) for sink in sinks]
-    finally:
-        kept.unpersist()
+    staged = materialize(df, staging_path, label="fan_out")
+    return [sink(staged) for sink in sinks]
 
 
 def export_table(spark: SparkSession, db: str, table: str, out_db: str, root: str, mode: str = "append") -> None:
-    """Any table to cataloged Parquet without knowledge of its schema; choices become structs."""
-    df = resolve_choice(read_table(spark, db, table), choice="make_struct")
+    """Any table to cataloged Parquet without knowledge of its schema; choices become structs.
+
+    The structs have a field for every class there is, so their type stays the same when values of
+    another class arrive.
+    """
+    df = read_table(spark, db, table)
+    df = resolve_choice(df, choice="make_struct", types=dict.fromkeys(choice_columns(df), CLASSES))
     write_table(df, out_db, table, f"{root.rstrip('/')}/{table}", mode=mode)
 
 

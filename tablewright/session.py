@@ -19,10 +19,9 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# For a large cluster: start with many small shuffle partitions and let AQE merge them up to
-# the advisory size, so that no reducer outgrows executor memory whatever the input size.
+# For a large cluster: start with many small shuffle partitions and let AQE merge them up to the advisory
+# size. The number to start with follows the input's bytes, see partitions_for.
 CLUSTER_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Splitting a hot key is worth the shuffle it may cost after the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -34,12 +33,25 @@ CLUSTER_SETTINGS = {
 _LOCAL_FOLDER = "tablewright.local.folder"
 
 
-def build_session(app: str, master: str | None = None, cluster: bool = False, **conf: str) -> SparkSession:
-    """A session with the settings above; `conf` keys use '__' for '.' and win over them."""
+def partitions_for(input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions to start with, so that one holds about `partition_bytes` if all input is shuffled."""
+    return max(200, -(-input_bytes // partition_bytes))
+
+
+def build_session(
+    app: str, master: str | None = None, cluster: bool = False, input_bytes: int = 1 << 40, **conf: str
+) -> SparkSession:
+    """A session with the settings above; `conf` keys use '__' for '.' and win over them.
+
+    On a cluster, input_bytes is what the job reads at most (1 TB if nothing is said; 100 TB start with
+    819,200 partitions, which AQE merges to what the data really needs).
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     chosen = {**SETTINGS, **(CLUSTER_SETTINGS if cluster else {})}
+    if cluster:
+        chosen["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions_for(input_bytes))
     chosen.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in chosen.items():
         builder = builder.config(key, value)
