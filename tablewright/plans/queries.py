@@ -7,9 +7,11 @@ below the shared folder, in a database of their own, and read back what they wro
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from tablewright.operators import (
     preview,
     relationalize,
     resolve_choice,
+    schema_report,
     split_rejects,
     stringify,
     summarize,
@@ -29,7 +32,8 @@ from tablewright.operators import (
     with_counters,
 )
 from tablewright.operators.choice import value_class
-from tablewright.plans.inventory import table_inventory
+from tablewright.names import sql_text
+from tablewright.plans.inventory import inventory_report, table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
 from tablewright.plans.maintenance import compact_table, table_files
 from tablewright.plans.programs import SERVICE_LOG_PATTERN, clicks_from_records
@@ -50,7 +54,7 @@ from tablewright.sources import (
     write_parquet,
     write_table,
 )
-from tablewright.streaming import incremental_load, read_loaded, reset_bookmark
+from tablewright.streaming import incremental_load, read_loaded, reset_bookmark, store_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,13 +78,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _scratch(spark: SparkSession) -> tuple[str, str]:
     """A database of its own and a folder for its tables."""
     path, db = fresh_path(spark, "queries"), f"q_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {db} LOCATION '{path}/db'")
+    spark.sql(f"CREATE DATABASE {db} LOCATION {sql_text(f'{path}/db')}")
     return db, path
 
 
 # Orders as a raw text table: blanks in the names, unreadable and empty totals, a comma in a status.
 
+# Raw order columns and what they become.
 RAW_SCHEMA = "`order id` string, `cust id` string, `order total` string, `order date` string, status string"
+# The mapping of those columns.
 MAPPING = [
     ("order id", "string", "order_id", "bigint"),
     ("cust id", "string", "customer_id", "string"),
@@ -120,7 +126,7 @@ WITH raw AS (
   FROM orders)
 """
 MAPPED = "SELECT order_id, customer_id, order_total, order_date, status FROM raw"
-TOTAL = "CAST(sum(CAST(order_total AS DECIMAL(18,2))) AS DOUBLE)"
+TOTAL = "round(sum(order_total), 2)"
 
 
 @query(RAW + MAPPED)
@@ -364,10 +370,81 @@ def enrich_latest(spark, sf_dir):
     return out.select("o_custkey", "o_orderkey", "o_totalprice", "c_name", "nation")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query(
+    "SELECT key, c_name FROM (SELECT c_custkey AS key, c_name FROM customer UNION ALL SELECT -c_custkey, c_name FROM customer) "
+    "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = key)"
+)
 def customers_without_orders(spark, sf_dir):
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return unmatched(customers, _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+    """Every customer has orders in these tables; each stands for a second one without, too."""
+    customers = _table(spark, sf_dir, "customer")
+    both = customers.selectExpr("c_custkey AS key", "c_name").unionByName(customers.selectExpr("-c_custkey AS key", "c_name"))
+    return unmatched(both, _table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "key"), "key")
+
+
+def _nation_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Customers, some with a nation that isn't there; nations by key, some without customers."""
+    customers = _table(spark, sf_dir, "customer").selectExpr("c_custkey", "if(c_custkey % 3 = 0, -c_nationkey - 1, c_nationkey) AS key")
+    nations = _table(spark, sf_dir, "nation").selectExpr("n_nationkey AS key", "n_name")
+    return customers, nations.unionByName(nations.selectExpr("key + 100 AS key", "n_name"))
+
+
+NATION_SIDES = """
+WITH l AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN -c_nationkey - 1 ELSE c_nationkey END AS key FROM customer),
+r AS (SELECT n_nationkey AS key, n_name FROM nation UNION ALL SELECT n_nationkey + 100, n_name FROM nation)
+"""
+
+
+@query(NATION_SIDES + "SELECT key, c_custkey, n_name FROM l JOIN r USING (key)")
+def enrich_inner(spark, sf_dir):
+    left, right = _nation_sides(spark, sf_dir)
+    return enrich(left, right, "key", ["n_name"], how="inner").select("key", "c_custkey", "n_name")
+
+
+@query(NATION_SIDES + "SELECT key, c_custkey, n_name FROM l RIGHT JOIN r USING (key)")
+def enrich_right(spark, sf_dir):
+    left, right = _nation_sides(spark, sf_dir)
+    return enrich(left, right, "key", ["n_name"], how="right").select("key", "c_custkey", "n_name")
+
+
+@query(NATION_SIDES + "SELECT key, c_custkey, n_name FROM l FULL JOIN r USING (key)")
+def enrich_full(spark, sf_dir):
+    left, right = _nation_sides(spark, sf_dir)
+    return enrich(left, right, "key", ["n_name"], how="full").select("key", "c_custkey", "n_name")
+
+
+@query(
+    "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM lineitem "
+    "GROUP BY l_returnflag, l_linestatus"
+)
+def lineitem_summary(spark, sf_dir):
+    measures = {"n": F.count("*"), "total": money_sum("l_extendedprice")}
+    return summarize(_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], measures)
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, key, p_name FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS key "
+    "FROM lineitem) LEFT JOIN part ON p_partkey = key"
+)
+def enrich_skewed_lineitem(spark, sf_dir):
+    """A third of the order lines name the same part."""
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "if(l_orderkey % 3 = 0, 1, l_partkey) AS key"
+    )
+    parts = _table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "key")
+    return enrich(lines, parts, "key", ["p_name"])
+
+
+@query(
+    RAW + "SELECT 'order_id' AS column_name, 'bigint' AS type, count(order_id) AS filled FROM raw UNION ALL "
+    "SELECT 'customer_id', 'string', count(customer_id) FROM raw UNION ALL SELECT 'order_total', 'double', count(order_total) FROM raw "
+    "UNION ALL SELECT 'order_date', 'string', count(order_date) FROM raw UNION ALL SELECT 'status', 'string', count(status) FROM raw",
+    name="schema_report",
+)
+def columns_with_values(spark, sf_dir):
+    """The schema report, with the number of values that each column has."""
+    orders = _mapped(spark, sf_dir)
+    filled = orders.agg(*(F.count(c).alias(c) for c in orders.columns)).unpivot([], orders.columns, "column_name", "filled")
+    return schema_report(orders).select("column_name", "type").join(filled, "column_name")
 
 
 @query(
@@ -524,9 +601,10 @@ def _early(df: DataFrame) -> Column:
     return F.col("order date") < "1998-07-01"
 
 
-def _load(spark: SparkSession, db: str, path: str, ctx: str | None) -> int:
+def _load(spark: SparkSession, db: str, path: str, ctx: str | None, transform: Callable[[DataFrame], DataFrame] | None = None) -> int:
+    usual = lambda batch: _yearly(apply_mapping(batch, MAPPING))
     return incremental_load(
-        spark, f"{path}/in", RAW_SCHEMA, lambda batch: _yearly(apply_mapping(batch, MAPPING)), db, "orders",
+        spark, f"{path}/in", RAW_SCHEMA, transform or usual, db, "orders",
         job="orders", ctx=ctx, state_root=f"{path}/state", path=f"{path}/orders", partition_by=["order_year"],
     )
 
@@ -547,6 +625,46 @@ def incremental_two_loads(spark, sf_dir):
     return read_loaded(spark, db, "orders")
 
 
+@query(RAW + YEARLY)
+def incremental_reordered_columns(spark, sf_dir):
+    """The second arrival has its columns in another order, and one more."""
+    db, path = _scratch(spark)
+    raw = _raw_orders(spark, sf_dir)
+    _arrive(raw.filter(_early(raw)), path)
+    _load(spark, db, path, "in")
+    late = raw.filter(~_early(raw)).withColumn("note", F.lit("late"))
+    _arrive(late.select("status", "note", "order total", "order id", "order date", "cust id"), path)
+    _load(spark, db, path, "in")
+    return read_loaded(spark, db, "orders")
+
+
+@query(RAW + f"{YEARLY} UNION ALL {YEARLY}")
+def batch_then_incremental(spark, sf_dir):
+    """The batch job and the incremental job fill one table."""
+    db, path = _scratch(spark)
+    store_load(_yearly(_mapped(spark, sf_dir)), db, "orders", f"{path}/orders", ["order_year"], "batch")
+    _arrive(_raw_orders(spark, sf_dir), path)
+    _load(spark, db, path, "in")
+    return read_loaded(spark, db, "orders")
+
+
+@query(RAW + YEARLY)
+def incremental_failed_then_replayed(spark, sf_dir):
+    """A load that fails on some row is done again; its rows are there once."""
+    db, path = _scratch(spark)
+    raw = _raw_orders(spark, sf_dir)
+    _arrive(raw, path)
+
+    def dies(batch: DataFrame) -> DataFrame:
+        failure = F.raise_error(F.lit("lost")).cast("string")
+        return _yearly(apply_mapping(batch, MAPPING)).withColumn("status", F.when(F.col("status") == "pending", failure).otherwise(F.col("status")))
+
+    with contextlib.suppress(PySparkException):
+        _load(spark, db, path, "in", dies)
+    _load(spark, db, path, "in")
+    return read_loaded(spark, db, "orders")
+
+
 @query(RAW + f"{YEARLY} UNION ALL {YEARLY}")
 def incremental_reset(spark, sf_dir):
     db, path = _scratch(spark)
@@ -578,7 +696,7 @@ def keyed_upsert(spark, sf_dir):
     early = F.col("order_date") < "1998-07-01"
     for batch in (orders.filter(early).drop("status"), orders.filter(~early)):
         latest = latest_per_key(batch, "customer_id", ["order_date", "order_id"])
-        upsert_keyed(stringify(latest), db, "latest_orders", "customer_id", f"{path}/latest", buckets=8)
+        upsert_keyed(stringify(latest), db, "latest_orders", "customer_id", f"{path}/latest")
     return read_keyed(spark, db, "latest_orders").select("customer_id", "order_id", "order_date", "status")
 
 
@@ -670,7 +788,7 @@ def log_levels(spark, sf_dir):
 
 
 @query(
-    f"SELECT {LEVEL} AS level, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM events "
+    f"SELECT {LEVEL} AS level, count(*) AS n, round(sum(value), 2) AS amount FROM events "
     "WHERE event_type <> 'click' GROUP BY 1"
 )
 def registered_log(spark, sf_dir):
@@ -684,7 +802,7 @@ KPIS = """
 SELECT CAST(ts AS DATE) AS event_date, count(DISTINCT user_id) AS active_users,
   count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'click') AS clicks,
   count(*) FILTER (event_type = 'purchase') AS purchases,
-  CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS revenue,
+  round(coalesce(sum(CASE WHEN event_type = 'purchase' THEN value END), 0), 2) AS revenue,
   CAST(count(*) FILTER (event_type = 'purchase') AS DOUBLE) / nullif(count(*) FILTER (event_type = 'view'), 0) AS conversion
 FROM events GROUP BY 1
 """
@@ -748,12 +866,22 @@ def compacted_sorted_partitions(spark, sf_dir):
     return read_table(spark, db, "events")
 
 
+@query("SELECT event_id, user_id, CAST(row_number() OVER (ORDER BY user_id, event_id) AS BIGINT) AS place FROM events")
+def compacted_sorted_single_file(spark, sf_dir):
+    """A table of one unsorted file is sorted all the same: ids in the order of their place in the file."""
+    db, path = _scratch(spark)
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id")
+    write_table(events.coalesce(1), db, "events", f"{path}/events")
+    compact_table(spark, db, "events", sort_by=["user_id", "event_id"], target_bytes=1 << 40)
+    return read_table(spark, db, "events").select("event_id", "user_id", (F.col("_metadata.row_index") + 1).alias("place"))
+
+
 @query("SELECT event_type, CAST(1 AS BIGINT) AS files, count(*) AS n FROM events GROUP BY event_type")
 def file_counts(spark, sf_dir):
     """Files per partition after compaction: one each while a partition is below the target size."""
     db, _ = _small_files(spark, sf_dir, ["event_type"])
     compact_table(spark, db, "events", target_bytes=1 << 40)
-    files = table_files(spark, db, "events")
+    files = table_files(spark, db, "events", rows=True)
     return files.groupBy("event_type").agg(F.count("*").alias("files"), F.sum("rows").alias("n"))
 
 
@@ -770,6 +898,88 @@ def inventory(spark, sf_dir):
     return table_inventory(spark, [db]).select("table_name", "partitions", "has_data")
 
 
+@query(
+    "SELECT 'orders' AS table_name, CAST(2 AS BIGINT) AS partitions, CAST(2 AS BIGINT) AS files, count(*) AS n FROM orders "
+    "WHERE o_orderstatus IN ('F', 'O')"
+)
+def inventory_relocated_partitions(spark, sf_dir):
+    """A CSV table of two partitions, one of them outside the table's folder."""
+    db, path = _scratch(spark)
+    orders = _table(spark, sf_dir, "orders")
+    for status, folder in (("F", f"{path}/orders/status=F"), ("O", f"{path}/elsewhere")):
+        part = orders.where(F.col("o_orderstatus") == status).select("o_orderkey")
+        part.coalesce(1).write.option("header", True).csv(folder)
+    spark.sql(
+        f"CREATE TABLE {db}.orders (o_orderkey bigint, status string) USING csv OPTIONS (header 'true') "
+        f"PARTITIONED BY (status) LOCATION {sql_text(f'{path}/orders')}"
+    )
+    spark.sql(f"ALTER TABLE {db}.orders ADD PARTITION (status = 'F') PARTITION (status = 'O') LOCATION {sql_text(f'{path}/elsewhere')}")
+    found = table_inventory(spark, [db]).select("table_name", "partitions", "files")
+    return found.join(read_table(spark, db, "orders").agg(F.count("*").alias("n")), F.lit(True))
+
+
+@query(
+    "SELECT 'customers: ' || count(DISTINCT c_mktsegment) || ' partitions' AS line FROM customer "
+    "UNION ALL SELECT 'no_orders: 0 partitions <-- WARNING: no data at the location' UNION ALL SELECT 'orders: 0 partitions' "
+    "UNION ALL SELECT 'database: no tables'",
+    name="inventory_report",
+)
+def reported_inventory(spark, sf_dir):
+    db, path = _scratch(spark)
+    empty, _ = _scratch(spark)
+    write_table(_table(spark, sf_dir, "customer"), db, "customers", f"{path}/customers", ["c_mktsegment"])
+    write_table(_table(spark, sf_dir, "orders"), db, "orders", f"{path}/orders")
+    create_table(spark, db, "no_orders", MANAGED, f"{path}/no_orders")
+    report = fresh_path(spark, "report")
+    inventory_report(table_inventory(spark, [db, empty])).write.text(report)
+    line = F.regexp_replace(F.regexp_replace("value", r", location=\S+", ""), rf"^({db}\.|{empty})", "")
+    return spark.read.text(report).select(F.when(line.startswith(":"), F.concat(F.lit("database"), line)).otherwise(line).alias("line"))
+
+
+@query(
+    f"SELECT event_id, {LONG} AS longs, {DOUBLE} AS doubles, CASE WHEN event_type = 'error' THEN 'new' END AS added FROM events"
+)
+def json_table_new_field(spark, sf_dir):
+    """Files that arrive after the registration bring another field and another type of number."""
+    db, path = _scratch(spark)
+    events = _table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    first = F.format_string('{"event_id": %d, "points": %d}', F.col("event_id"), F.col("user_id"))
+    events.where(kind == "click").select(first).write.text(f"{path}/events")
+    register_path(spark, db, "events", f"{path}/events", "json")
+    points = F.when(kind == "purchase", F.col("value").cast("string")).otherwise(F.lit("null"))
+    note = F.when(kind == "error", F.lit('"new"')).otherwise(F.lit("null"))
+    later = F.format_string('{"event_id": %d, "points": %s, "added": %s}', F.col("event_id"), points, note)
+    events.where(kind != "click").select(later).write.mode("append").text(f"{path}/events")
+    spark.catalog.refreshTable(f"{db}.events")
+    struct = resolve_choice(read_table(spark, db, "events"), specs=[("points", "make_struct")], types={"points": ["long", "double"]})
+    return struct.select("event_id", F.col("points.long").alias("longs"), F.col("points.double").alias("doubles"), "added")
+
+
+@query(f"SELECT event_id, {LONG} AS a_long, {STRING} AS a_string FROM events")
+def choice_in_map(spark, sf_dir):
+    """Values of mixed types inside a map."""
+    events = _choices(spark, sf_dir).select("event_id", F.create_map(F.lit("a"), F.col("points")).alias("m"))
+    out = resolve_choice(events, specs=[("m{}", "make_struct")], types={"m{}": KINDS["points"]})
+    value = F.element_at("m", "a")
+    return out.select("event_id", value["long"].alias("a_long"), value["string"].alias("a_string"))
+
+
+@query("SELECT o_orderkey AS orders_id, CAST(0 AS INTEGER) AS \"index\", o_custkey AS id FROM orders")
+def relationalize_same_field_name(spark, sf_dir):
+    """The elements have a field that is called like the key of the records."""
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.array(F.struct(F.col("o_custkey").alias("id"))).alias("parts")
+    )
+    return relationalize(orders, "orders", "id")["orders_parts"]
+
+
+@query("SELECT event_type, round(sum(value / 1000), 2) AS total FROM events GROUP BY event_type")
+def sum_of_small_amounts(spark, sf_dir):
+    """Amounts with more than two decimals are added exactly and rounded once."""
+    return summarize(_table(spark, sf_dir, "events"), "event_type", {"total": money_sum(F.col("value") / 1000)})
+
+
 @query(
     f"SELECT 'events' AS table_name, count(*) AS n, count({LONG}) AS longs, count({STRING}) AS strings FROM events "
     "UNION ALL SELECT 'orders', count(*), NULL, NULL FROM orders",

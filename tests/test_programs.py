@@ -30,7 +30,7 @@ def test_map_filter_summarize(spark, lake):
 
 def test_orders_to_table(spark, lake):
     programs.orders_to_table(spark, f"{lake['root']}/out")
-    out = read_table(spark, "processed", "orders")
+    out = read_loaded(spark, "processed", "orders")
     assert out.dtypes == [("customer_id", "string"), ("order_total", "double"), ("status", "string"), ("order_date", "string")]
     assert tuples(out) == sorted(((c, t, s, d) for c, t, d, s in ORDERS), key=repr)
     assert spark.sql("SHOW PARTITIONS processed.orders").count() == len({o[2] for o in ORDERS})
@@ -88,6 +88,14 @@ def test_incremental_orders(spark, lake):
     assert read_loaded(spark, "processed", "inc").count() == 164
 
 
+def test_batch_and_incremental_loads_share_the_table(spark, lake):
+    programs.orders_to_table(spark, f"{lake['root']}/out")
+    n = read_loaded(spark, "processed", "orders").count()
+    assert programs.incremental_orders(spark, lake["orders"], f"{lake['root']}/out", f"{lake['root']}/state") == 1
+    programs.orders_to_table(spark, f"{lake['root']}/out")
+    assert read_loaded(spark, "processed", "orders").count() == 3 * n
+
+
 def test_diagnosed_orders(spark, lake):
     programs.diagnosed_orders(spark, f"{lake['root']}/diag")
     expected = []

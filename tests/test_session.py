@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tablewright.session import fresh_path, shared_folder
+from tablewright.session import fresh_path, partitions_for, shared_folder
 
 
 class Conf(dict):
@@ -25,3 +25,7 @@ def test_only_a_local_master_gets_a_temporary_folder():
     assert shared_folder(local) == shared_folder(local) != shared_folder(session("local[2]"))
     with pytest.raises(ValueError):
         shared_folder(session("spark://host:7077"))
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert partitions_for(0) == 200 and partitions_for(100 << 40) == 819_200
