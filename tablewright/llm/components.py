@@ -12,7 +12,8 @@ def _starred(edges: DataFrame, large: bool) -> DataFrame:
     """Hang each node's larger (or smaller) neighbours on the least node around it."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     around = both if large else both.where("v < u")
-    least = around.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least"))
+    # Written first: behind an aggregation in the same stage Spark could not split the join at a hub.
+    least = materialize(around.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("least")), label="least")
     chosen = around.where("v > u") if large else around.unionAll(around.select("u", F.col("u").alias("v")).distinct())
     moved = chosen.join(least, "u").select(F.col("least").alias("u"), "v").where("u <> v")
     return moved.distinct()

@@ -136,7 +136,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     docs = _keys(docs)
     every = blocks(docs, window)
-    shared = every.groupBy("anchor").count().where("count > 1").select("anchor")
+    # What a frequent minimizer or window is joined with is written first: behind an aggregation in the same
+    # stage Spark could not split the join.
+    shared = materialize(every.groupBy("anchor").count().where("count > 1").select("anchor"), label="shared")
     # Of blocks whose minimizer occurs nowhere else nothing more is needed.
     some = materialize(every.join(shared, "anchor", "left_semi"), label="blocks")
     release(spark)
@@ -146,9 +148,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     place = F.struct("doc", "place")
     whole = again.where(~(place == F.col("first"))).select("doc", "place")
     # Reference blocks that share a minimizer with another one: windows at the boundaries of factors.
-    several = index.groupBy("anchor").count().where("count > 1").select("anchor")
+    several = materialize(index.groupBy("anchor").count().where("count > 1").select("anchor"), label="several")
     edges = index.join(several, "anchor", "left_semi").select("first.doc", "first.place")
     lists = edges.groupBy(F.col("doc").alias("_doc"), _tag_of(F.col("place")).alias("_tag")).agg(F.collect_list(_span_of(F.col("place"))).alias("spans"))
+    # The texts go through a shuffle twice; what was shuffled before is released first.
+    lists = materialize(lists, label="lists")
+    release(spark)
     joined = packed(docs, "_doc", "_tag").join(lists, ["_doc", "_tag"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +176,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     single = materialize(joined.mapInArrow(windows, "one long, two long, doc long, place long"), label="windows")
     release(spark)
     firsts = single.groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = materialize(firsts, label="firsts")
     parts = single.join(firsts, ["one", "two"]).where(~(place == F.col("first"))).select("doc", "place")
     found = whole.unionAll(parts).groupBy(F.col("doc").alias("_doc"), _tag_of(F.col("place")).alias("_tag"))
-    return found.agg(F.collect_set(_span_of(F.col("place"))).alias("spans"))
+    found = materialize(found.agg(F.collect_set(_span_of(F.col("place"))).alias("spans")), label="spans")
+    release(spark)
+    return found
 
 
 def _removed(batch: pa.RecordBatch, first: np.ndarray, window: int) -> np.ndarray:
