@@ -8,10 +8,12 @@ probability Jaccard similarity of the weighted shingles. Registers are banded; t
 compared by the Jaccard similarity of their shingle sets, and linked at `threshold` or more. Classes are the
 connected components of the links.
 
-Texts of equal words are one node from the start (by a 64-bit hash of the words). Inside a band no group is
-compared pair by pair: a pivot is compared with the nodes of the group that aren't connected to it yet; pivots
-double from round to round until the nodes left are all connected or have been pivots. So every two texts
-that share a band are compared or connected, whatever the size of the group, and nothing is capped.
+Texts of equal words are one node from the start (by a 64-bit hash of the words). Of the texts that share a
+band no pair is handed on before their signatures are compared, in blocks of bounded size inside the tasks.
+First each block hands on a spanning forest of its similar pairs, the most similar first, which is as many
+pairs as it has texts at most; they are verified and connected. Then the pairs follow that could still link
+two components. A pair is passed over only if its signatures agree in less than `LEAST_ESTIMATE` of the
+registers, which at the threshold is four standard deviations off; nothing is capped.
 
 Null and empty texts have no words and are copies of each other. Rows repeated or of equal doc_id are rows
 of their own. A class is named by its least doc_id (null if none of its rows has one). An empty table gives
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.components import components
@@ -34,7 +36,10 @@ from tablewright.session import materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 20, 4
+# A pair at the threshold shares no band with probability 0.0001, one at 0.3 shares one with 0.02.
+BANDS, ROWS = 30, 6
+LEAST_ESTIMATE = 0.68
+BLOCK = 1024
 
 _LOW = np.uint64((1 << 44) - 1)
 
@@ -88,7 +93,7 @@ def signatures(doc: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int, re
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, x (a hash of the text), node (of its words), bands (null: no words): one row per document."""
+    """doc_id, x (a hash of the text), node (of its words; 0: none), bands, signature (16 bits a register)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -100,12 +105,14 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 keys = mixed(keys + found[:, i::rows])
             keys = mixed(keys + np.arange(bands, dtype=np.uint64)[None, :])
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * bands, pa.int32()), pa.array(keys.ravel().view(np.int64)))
+            short = pa.array([row.tobytes() for row in (found & np.uint64(0xFFFF)).astype(np.uint16)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("x"), pa.array(whole.view(np.int64)), lists], names=["doc_id", "x", "node", "bands"]
+                [batch.column("doc_id"), batch.column("x"), pa.array(whole.view(np.int64)), lists, short],
+                names=["doc_id", "x", "node", "bands", "signature"],
             )
 
     keyed = docs.select(F.col("doc_id").cast("long"), text_hash().alias("x"), "text")
-    return keyed.mapInArrow(run, "doc_id long, x long, node long, bands array<long>")
+    return keyed.mapInArrow(run, "doc_id long, x long, node long, bands array<long>, signature binary")
 
 
 def text_hash():
@@ -136,57 +143,105 @@ def _similar(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
+def _forest(similar: np.ndarray, n: int) -> list[int]:
+    """Which of the pairs (rows of two numbers below n, best first) connect what is not connected yet."""
+    parent = list(range(n))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for i, (a, b) in enumerate(similar.tolist()):
+        a, b = root(a), root(b)
+        if a != b:
+            parent[a] = b
+            kept.append(i)
+    return kept
+
+
+def _candidates(members: DataFrame, registers: int, forest: bool) -> DataFrame:
+    """Pairs u < v of different components that share a band and whose signatures agree often enough.
+
+    `members` has band, n (texts in the band), node, component, signature. A band is cut into blocks of
+    about BLOCK texts, and each two blocks of it meet in one task.
+    """
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), parts).cast("int")
+    # A text goes to the cells of its block with every block of the band.
+    cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))
+    dealt = members.select("band", "node", "component", "signature", mine.alias("block"), F.explode(cells).alias("cell"))
+    dealt = dealt.select("band", "cell.i", "cell.j", "block", "node", "component", "signature")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = key[1].as_py(), key[2].as_py()
+        node, component = table["node"].to_numpy(), table["component"].to_numpy()
+        block = table["block"].to_numpy()
+        found = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(len(node), registers)
+        least = int(np.ceil(LEAST_ESTIMATE * registers))
+        pairs, agree = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
+        left = np.flatnonzero(block == i)
+        right = np.flatnonzero(block == j)
+        for a in left:
+            others = right[right > a] if i == j else right
+            others = others[component[others] != component[a]]
+            same = (found[others] == found[a]).sum(axis=1)
+            near = same >= least
+            pairs.append(np.c_[np.full(int(near.sum()), a), others[near]])
+            agree.append(same[near])
+        pair, score = np.concatenate(pairs), np.concatenate(agree)
+        if forest:
+            pair = pair[np.argsort(-score, kind="stable")]
+            pair = pair[_forest(pair, len(node))]
+        u, v = node[pair[:, 0]], node[pair[:, 1]]
+        return pa.table([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(compare, "u long, v long").distinct()
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, x, node, component: the class of each row. Rows of one component are near duplicates."""
     spark = docs.sparkSession
     every = materialize(signed(docs, bands, rows), label="signatures")
-    member = every.where("node <> 0").select(F.explode("bands").alias("band"), "node").distinct()
-    groups = member.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1").select("band", "pivot")
-    member = materialize(member.join(groups, "band"), label="groups")
-    # One document stands for each node that is to be compared.
-    nodes = member.select("node").distinct()
-    chosen = every.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "x")).alias("row"))
-    chosen = chosen.select("node", F.col("row.doc_id").alias("_id"), F.col("row.x").alias("_x"))
-    texts = packed(docs.select(F.col("doc_id").cast("long").alias("_id"), text_hash().alias("_x"), "text"), "_id", "_x")
+    # One document stands for each node: that of least doc_id.
+    order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "x")
+    nodes = every.where("node <> 0").groupBy("node").agg(F.min_by(F.struct("bands", "signature", "doc_id", "x"), order).alias("row"))
+    nodes = materialize(nodes.select("node", "row.*"), label="nodes")
+    member = nodes.select("node", F.explode("bands").alias("band"))
+    # Written first: behind an aggregation in the same stage Spark could not split the join on a band that
+    # many share.
+    groups = materialize(member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), label="bands")
+    member = materialize(member.join(groups, "band"), label="members")
+    release(spark)
+    compared = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "x")
+    chosen = compared.select("node", F.col("doc_id").alias("_id"), F.col("x").alias("_x"))
     same = F.col("t._id").eqNullSafe(F.col("c._id")) & (F.col("t._x") == F.col("c._x"))
+    texts = packed(docs.select(F.col("doc_id").cast("long").alias("_id"), text_hash().alias("_x"), "text"), "_id", "_x")
     texts = texts.alias("t").join(chosen.alias("c"), same).select("node", "_text").groupBy("node").agg(F.first("_text").alias("_text"))
     texts = materialize(texts, label="texts")
     release(spark)
-    pairs = member.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"))
-    active = member.where("node <> pivot").select("band", "node")
-    links, most = None, 1
-    while True:
-        found = materialize(_similar(pairs.distinct(), texts, threshold), label="links")
-        links = found if links is None else links.unionAll(found)
-        label = materialize(components(links), label="components")
-        active, pairs = _next_round(active, label, most)
-        if pairs is None:
-            break
-        most *= 2
-        release(spark)
+    signature = nodes.select("node", "signature")
+    alone = member.join(signature, "node").withColumn("component", F.col("node"))
+    links = materialize(_similar(_candidates(alone, bands * rows, True), texts, threshold), label="links")
+    label = materialize(components(links), label="components")
+    release(spark)
+    named = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = named.groupBy("band").agg((F.min("component") < F.max("component")).alias("several")).where("several").select("band")
+    several = materialize(several, label="several")
+    named = named.join(several, "band", "left_semi").join(signature, "node")
+    more = materialize(_similar(_candidates(named, bands * rows, False), texts, threshold), label="links")
+    label = materialize(components(links.unionAll(more)), label="components")
+    release(spark)
     return every.join(label, "node", "left").select("doc_id", "x", "node", F.coalesce("component", "node").alias("component"))
 
 
-def _next_round(active: DataFrame, label: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
-    """What is still to be compared in groups whose remaining nodes lie in several components, and the pairs."""
-    named = active.join(label, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    sizes = named.groupBy("band", "component").agg(F.count("*").alias("n"))
-    mixed_bands = sizes.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("largest"))
-    left = materialize(named.join(mixed_bands.where("parts > 1").drop("parts"), "band"), label="active")
-    if left.isEmpty():
-        return left, None
-    order = Window.partitionBy("band").orderBy("node")
-    pivots = left.where("component <> largest").withColumn("i", F.row_number().over(order)).where(F.col("i") <= most)
-    pivots = pivots.select("band", F.col("node").alias("pivot"), F.col("component").alias("other"))
-    pairs = left.join(pivots, "band").where("component <> other").select(F.least("node", "pivot").alias("u"), F.greatest("node", "pivot").alias("v"))
-    rest = left.join(pivots.select("band", F.col("pivot").alias("node")), ["band", "node"], "left_anti").select("band", "node")
-    return rest, pairs
-
-
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (the least doc_id of the class): one row per document."""
-    found = classes(docs, threshold)
+    found = materialize(classes(docs, threshold), label="classes")
     least = found.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    least = materialize(least, label="least")
     return found.select("doc_id", "component").join(least, "component").select("doc_id", "class_id")
 
 
