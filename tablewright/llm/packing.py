@@ -37,7 +37,8 @@ from tablewright.session import materialize
 CAPACITY = 4096
 SINGLES_PER_BIN = 8
 
-ROWS_PER_PARTITION = 50_000
+ROWS_PER_PARTITION = 100_000
+FEW_PARTITIONS = 64
 
 _SWEPT = "part int, kind string, idx long, item long, size int, bin long, gap int, last boolean"
 
@@ -148,9 +149,19 @@ def _round(spark: SparkSession, items: DataFrame, bins: DataFrame, rows: int) ->
     both = items.select("size", F.lit(False).alias("is_gap"), F.col("item").alias("id")).unionAll(
         bins.select(F.col("gap").alias("size"), F.lit(True).alias("is_gap"), F.col("bin").alias("id"))
     )
-    order = ["size", "is_gap", "id"]
+    # Size, kind and a hash of the id as one number: equal sizes are ordered, and split, by the hash.
+    key = F.shiftleft(F.col("size").cast("long"), 40) + F.when(F.col("is_gap"), 1 << 39).otherwise(0)
+    both = both.withColumn("key", key + F.xxhash64("id").bitwiseAND((1 << 39) - 1))
     parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PARTITION))
-    ranged = both.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    if parts <= FEW_PARTITIONS:
+        # So few bounds can be compared one by one, which gives exactly as many partitions as rows ask for.
+        share = [i / parts for i in range(1, parts)]
+        bounds = both.agg(F.percentile_approx("key", share, 10_000)).first()[0] if share else []
+        number = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("key"))) if bounds else F.lit(0)
+        ranged = both.repartitionById(parts, number)
+    else:
+        ranged = both.repartitionByRange(parts, "key")
+    ranged = ranged.sortWithinPartitions("key")
     swept = materialize(ranged.mapInArrow(_sweep, _SWEPT), label="sweep")
     # One row per partition, however many pieces there are.
     counts = swept.where("kind <> 'pair'").groupBy("part").agg(F.count_if(F.col("kind") == "piece"), F.count_if(F.col("kind") == "gap"))
