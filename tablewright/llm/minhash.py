@@ -1,12 +1,12 @@
 """Near-duplicate classes by ProbMinHash signatures, banding and verification.
 
-Shingles are `SHINGLE` consecutive words (words as they stand; a text of fewer words is one shingle). A
-shingle's weight is 1 + log(number of occurrences). Each shingle is a Poisson process whose rate is its
-weight; every arrival falls on one register of the signature, which keeps the earliest. A process ends as
-soon as its next arrival is later than all registers hold. Two signatures agree in a register with the
-probability Jaccard similarity of the weighted shingles. Registers are banded; texts that agree in a band are
-compared by the Jaccard similarity of their shingle sets, and linked at `threshold` or more. Classes are the
-connected components of the links.
+Shingles are `SHINGLE` consecutive words (words as they stand; a text of fewer words is one shingle). Each
+shingle is a Poisson process whose rate is its weight; every arrival falls on one register of the signature,
+which keeps the earliest. A process ends as soon as its next arrival is later than all registers hold. Two
+signatures agree in a register with the probability Jaccard similarity of the weighted shingles. Texts are
+signed with equal weights, however often a shingle occurs: then that is the Jaccard similarity of their
+shingle sets, by which texts that agree in a band of registers are compared, and linked at `threshold` or
+more. Classes are the connected components of the links.
 
 Texts of equal words are one node from the start (by a 64-bit hash of the words). Of the texts that share a
 band no pair is handed on before their signatures are compared, in blocks of bounded size inside the tasks.
@@ -98,8 +98,8 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             doc, code, whole = shingles(*flat_text(batch.column("text")))
-            doc, code, count = distinct(doc, code)
-            found = signatures(doc, code, 1 + np.log(count), batch.num_rows, bands * rows)
+            doc, code, _ = distinct(doc, code)
+            found = signatures(doc, code, np.ones(len(doc)), batch.num_rows, bands * rows)
             keys = np.zeros((batch.num_rows, bands), np.uint64)
             for i in range(rows):
                 keys = mixed(keys + found[:, i::rows])

@@ -62,6 +62,31 @@ def test_chains_inside_a_band_are_followed(spark):
     assert sorted(map(tuple, minhash.near_duplicates(docs).collect()), key=str) == _brute(rows)
 
 
+def _repeating(seed, groups=24):
+    """Near copies that differ in how often their lines repeat: in one copy only, or other lines in each."""
+    draw = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        lines = [" ".join(f"g{g}l{i}w{k}" for k in range(30)) for i in range(10)]
+        often = draw.choice([10, 30, 100])
+        rows.append((len(rows), "\n".join(lines)))
+        rows.append((len(rows), "\n".join([*lines[:7], "\n".join(lines[7:] * often)])))
+        # Each of these two ends with a line of its own.
+        own = draw.choice([3, 20, 60])
+        ends = [" ".join(f"g{g}e{e}w{k}" for k in range(own)) for e in range(2)]
+        rows += [(len(rows) + e, "\n".join([f"g{g}start", *lines[::-1], *[end] * often])) for e, end in enumerate(ends)]
+    return rows
+
+
+def test_copies_that_repeat_their_lines_otherwise(spark):
+    """Similarity is that of sets, so how often a line stands in a text must not cut its links."""
+    rows = _repeating(5)
+    want = _brute(rows)
+    assert len({c for _, c in want}) < len(rows) - 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, minhash.near_duplicates(docs).collect()), key=str) == want
+
+
 def test_one_of_each_class_stays(spark, corpus, nothing):
     rows = [*_variants(3), (900, None), (901, ""), (903, "a b"), (903, "a b"), (903, "a  b"), (None, "x y z"), (None, "x y z"), (904, "b a")]
     docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, row string")
