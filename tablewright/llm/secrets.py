@@ -8,8 +8,11 @@ with the verdict of a reviewer. `label_findings` stands in for reviewers: provid
 assigned to secret names are findings, numbers, checksums, identifiers, paths and placeholders are not;
 made-up findings of both sorts widen the sample, so that the forest knows what a corpus lacks.
 
-Dictionary, letter pairs and forest come from bounded samples (`SAMPLE_DOCS`, `SAMPLE_FINDINGS`, chosen by
-hash); candidates are searched in whole texts. Positions count code points. Null and empty texts have no
+Dictionary and letter pairs are counted over all documents. A dictionary word stands in `WORD_SHARE` of them
+(and in `WORD_DOCS`), so there are at most as many as a document has different words on average, divided by
+that share; a letter pair that makes up less than `PAIR_SHARE` of all counts as unseen, so at most 1 /
+`PAIR_SHARE` are kept. Only the forest is fitted on a bounded sample (`SAMPLE_FINDINGS`, chosen by hash).
+Candidates are searched in whole texts. Positions count code points. Null and empty texts have no
 candidates; overlapping ones don't occur. Repeated rows give repeated findings. Extra columns pass through.
 """
 
@@ -24,14 +27,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.flat import slices
+from tablewright.session import materialize
 
-SAMPLE_DOCS = 1000
 SAMPLE_FINDINGS = 4000
-DICTIONARY_WORDS = 20_000
+WORD_DOCS, WORD_SHARE, PAIR_SHARE = 3, 1e-4, 1e-6
+# Words that a task counts before it hands on what it has.
+HELD_WORDS = 500_000
 TREES, DEPTH, LEAF = 40, 8, 3
 
 # Names whose values are secrets, prefixes that providers give theirs, words before other long values, words
@@ -48,6 +54,8 @@ CANDIDATE = re.compile(
     r"|(?<![A-Za-z0-9+/_\-])(?P<bare>(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2})(?![A-Za-z0-9+/_\-])"
 )
 _WORDS = re.compile(r"[^\W\d_]+")
+# What stands between words, as Arrow writes it.
+_BETWEEN = r"[^\p{L}\p{Nl}\p{No}]+"
 _RUNS = re.compile(r"[a-z]+|[A-Z]+|[0-9]+|[^A-Za-z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 
@@ -93,13 +101,15 @@ class Language:
     rare: float = -9.0
 
     @classmethod
-    def of(cls, counts: dict[str, int]) -> Language:
-        pairs: Counter[str] = Counter()
-        for word, n in counts.items():
-            for a, b in zip(word, word[1:], strict=False):
-                pairs[a + b] += n
-        total = sum(pairs.values()) or 1
-        return cls(frozenset(counts), {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total))
+    def of(cls, counts: dict[str, int], pairs: dict[str, int] | None = None, total: int = 0) -> Language:
+        """From dictionary words and letter pairs, of `total` in all; without pairs they are those of the words."""
+        if pairs is None:
+            pairs = Counter()
+            for word, n in counts.items():
+                for a, b in zip(word, word[1:], strict=False):
+                    pairs[a + b] += n
+        total = total or sum(pairs.values()) or 1
+        return cls(frozenset(counts), {p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 * max(1 / total, PAIR_SHARE)))
 
     def usual(self, text: str) -> float:
         """Mean logarithm of the frequencies of its letter pairs."""
@@ -292,22 +302,47 @@ def _rows(batch: pa.RecordBatch, path: str) -> Iterator[tuple[int, str, str]]:
             yield i, text, str(where or "")
 
 
-def train(docs: DataFrame, path: str = "source", sample_docs: int = SAMPLE_DOCS, sample_findings: int = SAMPLE_FINDINGS) -> Scanner:
-    """Dictionary, letter pairs and forest from samples of `docs` and from made-up findings."""
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+def language_of(docs: DataFrame) -> Language:
+    """Dictionary and letter pairs by the number of documents that each word stands in, over all of `docs`."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            counts: Counter[str] = Counter()
-            for text in batch.column("text").to_pylist():
-                counts.update({w for w in _WORDS.findall((text or "").lower()) if 2 < len(w) <= 20})
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        # Under '' the number of documents.
+        counts: Counter[str] = Counter()
 
-    # At most `sample_docs` ids.
-    counts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text").mapInArrow(words, "word string, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n >= 3").orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS)
-    language = Language.of({r["word"]: r["n"] for r in counts.collect()})
+        def handed_on() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
+        for batch in slices(batches):
+            lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(batch.column("text"), "")), _BETWEEN)
+            found = lists.flatten()
+            doc = pc.list_parent_indices(lists).to_numpy()
+            size = pc.utf8_length(found)
+            good = pc.and_(pc.greater(size, 2), pc.less_equal(size, 20))
+            coded = found.filter(good).dictionary_encode()
+            doc, n = doc[good.to_numpy(zero_copy_only=False)], max(len(coded.dictionary), 1)
+            once = np.unique(doc.astype(np.int64) * n + coded.indices.to_numpy())
+            counts.update(dict(zip(coded.dictionary.to_pylist(), np.bincount(once % n, minlength=n).tolist(), strict=False)))
+            counts[""] += batch.num_rows
+            if len(counts) > HELD_WORDS:
+                yield handed_on()
+                counts.clear()
+        yield handed_on()
+
+    counts = docs.select("text").mapInArrow(words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = materialize(counts, label="words")
+    at = F.explode(F.sequence(F.lit(1), F.length("word") - 1))
+    pairs = counts.where("word <> ''").select("word", "n", at.alias("at")).groupBy(F.expr("substr(word, at, 2)").alias("pair")).agg(F.sum("n").alias("n"))
+    pairs = materialize(pairs, label="letter-pairs")
+    n_docs = sum(r["n"] for r in counts.where("word = ''").collect())
+    total = pairs.agg(F.sum("n").alias("n")).first()["n"] or 0
+    dictionary = counts.where("word <> ''").where(F.col("n") >= max(WORD_DOCS, WORD_SHARE * n_docs)).collect()
+    usual = pairs.where(F.col("n") >= PAIR_SHARE * total).collect()
+    return Language.of({r["word"]: r["n"] for r in dictionary}, {r["pair"]: r["n"] for r in usual}, total)
+
+
+def train(docs: DataFrame, path: str = "source", sample_findings: int = SAMPLE_FINDINGS) -> Scanner:
+    """Dictionary and letter pairs from all of `docs`, the forest from a sample of findings and made-up ones."""
+    language = language_of(docs)
     names = ["kind", "text", "before", "behind", "path"]
 
     def all_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 from tablewright.llm import secrets
 
 KEY = "AKIA" + "Q2W3E4R5T6Y7U2I3"
@@ -39,3 +42,20 @@ def test_dictionary_coverage():
     language = secrets.Language.of({"open": 5, "door": 3})
     assert language.covered("opendoor") == 1.0 and language.covered("zzopen") == 4 / 6 and language.covered("123") == 0.0
     assert language.usual("open") > language.usual("zqxj")
+
+
+def test_dictionary_and_pairs_come_from_all_documents(spark):
+    """Words of a source that is a small part of a larger table count, as do repeated rows, null ids and texts."""
+    letters = "abcdefghijklmnopqrst"
+    rare = ["zöq" + letters[i % 20] + letters[i // 20] for i in range(400)]
+    rows = [(i, f"common Words of_every text{i} it {'x' * 30} ² common") for i in range(12_000)]
+    rows += [(20_000 + i, " ".join(rare)) for i in range(3)] + [(None, "nameless words"), (None, None), (7, "words")] + [(1, "words")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    counts = Counter(w for _, text in rows for w in set(secrets._WORDS.findall((text or "").lower())) if 2 < len(w) <= 20)
+    pairs = Counter()
+    for word, n in counts.items():
+        for a, b in zip(word, word[1:], strict=False):
+            pairs[a + b] += n
+    language = secrets.train(docs).language
+    assert language.words == {w for w, n in counts.items() if n >= 3} and set(rare) <= language.words
+    assert language.pairs == {p: math.log(n / pairs.total()) for p, n in pairs.items() if n >= 1e-6 * pairs.total()}
