@@ -1,11 +1,12 @@
 """Secret scans: broad candidate patterns, and a random forest that takes out false positives.
 
-Candidates are values assigned to a name like `password` or `token`, long runs of letters, digits and
-`+ / _ -` with a digit, and private key blocks. The forest sees each candidate's length, character
+Candidates are values assigned to a name like `password`, `DB_PASSWORD`, `client_secret` or `accessToken`,
+passwords in URLs, credentials of Authorization headers, long runs of letters, digits and `+ / _ -` with a
+digit, and private key blocks. The forest sees each candidate's length, character
 transitions (changes of class, and how usual its letter pairs are), how much of it dictionary words cover,
 the path it came from or stands in, and the words around it. It is trained from labelled findings: candidates
-with the verdict of a reviewer. `label_findings` stands in for reviewers: provider formats and random values
-assigned to secret names are findings, numbers, checksums, identifiers, paths and placeholders are not;
+with the verdict of a reviewer. `label_findings` stands in for reviewers: provider formats, random values
+assigned to secret names or beside them, and credentials in URLs and headers are findings, numbers, checksums, identifiers, paths and placeholders are not;
 made-up findings of both sorts widen the sample, so that the forest knows what a corpus lacks.
 
 Dictionary and letter pairs are counted over all documents. A dictionary word stands in `WORD_SHARE` of them
@@ -48,11 +49,22 @@ OTHER_WORDS = ("commit", "sha", "sha1", "sha256", "md5", "checksum", "hash", "uu
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "dummy", "sample", "xxxx", "redacted", "12345678", "todo", "none", "null")
 SAMPLE_PATHS = ("test", "example", "fixture", "sample", "mock", "doc")
 
+# A name stands alone, or is joined to other words by `_`, `-`, `.` or a capital. Of several names in one the
+# last counts, so no part is read twice. The letters that names begin with are only asked for to save time.
+_NAME_BEGINS = r"(?=[pstac][aweorpcu])(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"
+_NAME_ENDS = r"(?![A-Za-z0-9])"
+_MORE = r"(?:[_.\-](?!" + NAMES + _NAME_ENDS + r")[A-Za-z0-9]+)*+"
 CANDIDATE = re.compile(
     r"(?P<block>-----BEGIN [A-Z ]*PRIVATE KEY-----(?s:.*?)-----END [A-Z ]*PRIVATE KEY-----)"
-    r"|(?i:\b(?P<name>" + NAMES + r")\b)[\"']?\s*[:=]\s*[\"']?(?P<value>[^\s\"']{6,})"
+    r"|(?i:" + _NAME_BEGINS + r"(?P<name>" + NAMES + r")" + _NAME_ENDS + _MORE + r")[\"']?\s*[:=]\s*[\"']?(?i:(?:bearer|basic)[ \t]+)?(?P<value>[^\s\"']{6,})"
+    r"|://[^\s/:@\"']*:(?P<url>[^\s/@\"']+)@"
+    r"|(?i:\bbearer|\bauthorization[\"']?\s*[:=]\s*[\"']?(?:basic|token))[ \t]+(?P<header>[A-Za-z0-9._~+/\-]{8,}={0,2})"
     r"|(?<![A-Za-z0-9+/_\-])(?P<bare>(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2})(?![A-Za-z0-9+/_\-])"
 )
+_SECRET_NAME = re.compile(r"(?i:" + _NAME_BEGINS + NAMES + _NAME_ENDS + r")")
+_OTHER_NAME = re.compile(r"(?i:(?<![A-Za-z0-9])(?:" + "|".join(OTHER_WORDS) + r")(?![A-Za-z0-9]))")
+# Where a digit follows a letter or a letter a digit: often in random values, seldom in names and paths.
+_CHANGES = re.compile(r"(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])")
 _WORDS = re.compile(r"[^\W\d_]+")
 # What stands between words, as Arrow writes it.
 _BETWEEN = r"[^\p{L}\p{Nl}\p{No}]+"
@@ -80,6 +92,8 @@ FEATURES = (
     "other_word_near",
     "placeholder",
     "quoted",
+    "changes",
+    "credential",
 )
 
 
@@ -133,11 +147,20 @@ class Language:
         return done / total if total else 0.0
 
 
+def nearest_name(before: str) -> str:
+    """Which sort of name comes last in the few words before a candidate: secret, other or none ('')."""
+    beside = before[-40:]
+    at = {sort: max((m.end() for m in name.finditer(beside)), default=-1) for sort, name in (("secret", _SECRET_NAME), ("other", _OTHER_NAME))}
+    if max(at.values()) < 0:
+        return ""
+    return "secret" if at["secret"] >= at["other"] else "other"
+
+
 def features(kind: str, text: str, before: str, behind: str, path: str, language: Language) -> list[float]:
     n = len(text)
     counts = Counter(text)
     runs = _RUNS.findall(text)
-    words = [w.lower() for w in _WORDS.findall(before)[-3:]]
+    near = nearest_name(before)
     lower = text.lower()
     token = before[-1:] in ("/", ":", ".") or behind[:1] in ("/", ".") and behind[1:2].strip() != ""
     return [
@@ -157,10 +180,12 @@ def features(kind: str, text: str, before: str, behind: str, path: str, language
         float(kind == "block"),
         float(token or text.count("/") > 1),
         float(any(p in path.lower() for p in SAMPLE_PATHS)),
-        float(any(re.fullmatch(NAMES, w) for w in words)),
-        float(any(w in OTHER_WORDS for w in words)),
+        float(near == "secret"),
+        float(near == "other"),
         float(any(p in lower for p in PLACEHOLDERS)),
         float(before[-1:] in ("'", '"')),
+        len(_CHANGES.findall(text)) / n,
+        float(kind in ("url", "header")),
     ]
 
 
@@ -215,7 +240,9 @@ def fit_forest(rows: np.ndarray, labels: np.ndarray, trees: int = TREES, depth:
             impurity = np.where(cut, a * (1 - a / n) + b * (1 - b / (len(at) - n)), np.inf)
             i = int(impurity.argmin())
             if impurity[i] < best[0]:
-                best = (impurity[i], int(f), (value[i] + value[i + 1]) / 2)
+                # Between neighbouring floats the mean may be the upper one.
+                middle = (value[i] + value[i + 1]) / 2
+                best = (impurity[i], int(f), middle if middle < value[i + 1] else value[i])
         if best[1] >= 0:
             down = rows[at, best[1]] <= best[2]
             nodes[me][:2] = [best[1], best[2]]
@@ -240,6 +267,14 @@ def label_findings(kind: str, text: str, before: str) -> bool:
     mixed = any(c.isdigit() for c in text) and any(c.isalpha() for c in text)
     if text.startswith(PREFIXES) and mixed and len(text) >= 16:
         return True
+    if kind == "url":
+        return len(text) >= 6 and len(set(text)) >= 4 and not text.isdigit() and text[0] not in "${<%[" and not _SECRET_NAME.fullmatch(text)
+    if kind == "header":
+        return mixed and len(set(text)) >= 6
+    if kind == "bare":
+        # A random value: many different characters, digits and letters that change often.
+        random_value = len(set(text)) >= 8 and len(_CHANGES.findall(text)) >= max(3, len(text) / 8)
+        return random_value and nearest_name(before) == "secret"
     return kind == "value" and mixed and len(text) >= 8 and len(set(text)) >= 6
 
 
@@ -264,6 +299,17 @@ def made_up(seed: int = 11, n: int = 60) -> list[tuple[str, bool]]:
             (f"secret='{some(alnum + '+/', 44)}'", True),
             (f"push with ghp_{some(alnum, 36)} now", True),
             (f"-----BEGIN RSA PRIVATE KEY-----\n{some(alnum + '+/', 256)}\n-----END RSA PRIVATE KEY-----", True),
+            (f"export DB_PASSWORD={some(alnum, draw.randint(9, 14))}", True),
+            (f'"refreshToken": "{some(alnum, draw.randint(16, 40))}",', True),
+            (f"redis://cache:{some(alnum, draw.randint(8, 20))}@10.0.0.1:6379", True),
+            (f"the bearer {some(alnum, draw.randint(20, 60))} was sent", True),
+            (f"our secret is {some(draw.choice([alnum, hexes]), draw.randint(20, 44))} now", True),
+            (f"token {some(alnum + '+/', 40)}", True),
+            (f"http://{{user}}:{draw.choice(['${PASS}', '<password>', 'password', '%s', 'secret', 'changeme'])}@host.example", False),
+            (f"the secret of /srv/data/part-{some(digits, 5)}/file_{some(digits, 3)}-final", False),
+            (f"token at commit {some(hexes, 40)}", False),
+            ("bearer " + draw.choice(["certificates", "instruments", "securities", "authentication"]), False),
+            ("max-token-count: " + draw.choice(["unlimited", "409600", "1000000", "default"]), False),
             (f"see commit {some(hexes, 40)} for it", False),
             (f"sha256 {some(hexes, 64)} file", False),
             (f"uuid {uuid} and", False),

@@ -1,6 +1,9 @@
 import math
+import random
 from collections import Counter
 
+import numpy as np
+
 from tablewright.llm import secrets
 
 KEY = "AKIA" + "Q2W3E4R5T6Y7U2I3"
@@ -59,3 +62,61 @@ def test_dictionary_and_pairs_come_from_all_documents(spark):
     language = secrets.train(docs).language
     assert language.words == {w for w, n in counts.items() if n >= 3} and set(rare) <= language.words
     assert language.pairs == {p: math.log(n / pairs.total()) for p, n in pairs.items() if n >= 1e-6 * pairs.total()}
+
+
+def test_names_joined_to_others_urls_and_headers():
+    lines = {
+        "DB_PASSWORD=hunter2pass9": "hunter2pass9",
+        "export AWS_SECRET_ACCESS_KEY=abc/def+1": "abc/def+1",
+        "client_secret: s3cr3tPw9": "s3cr3tPw9",
+        'GITHUB_TOKEN = "a1b2c3d4"': "a1b2c3d4",
+        '{"dbPassword": "hunter2pass9"}': "hunter2pass9",
+        "spring.datasource.password.prod=hunter2pass9": "hunter2pass9",
+        "postgres://app:s3cr3tPw9@db": "s3cr3tPw9",
+        "Authorization: Bearer abc.def-123": "abc.def-123",
+        "authorization: Basic dXNlcjpwYXNz": "dXNlcjpwYXNz",
+        "auth: Bearer abcdef123456": "abcdef123456",
+    }
+    assert {line: [c[2] for c in secrets.candidates(line)] for line in lines} == {line: [value] for line, value in lines.items()}
+    for line in ("passwords=hunter2", "author: somebody", "http://host:8080/a@b", "tokenized: whatever"):
+        assert list(secrets.candidates(line)) == []
+    # No time that grows with the square of the text.
+    assert list(secrets.candidates("token_" * 50_000)) == []
+
+
+def test_templates_that_training_never_saw(spark, corpus):
+    draw = random.Random(77)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def some(letters, k):
+        return "".join(draw.choice(letters) for _ in range(k))
+
+    lines = []
+    for _ in range(40):
+        lines += [
+            (f"AWS_SECRET_ACCESS_KEY={some(alnum, 40)}", True),
+            (f"  client_secret: {some(alnum, 24)}", True),
+            (f"ENV SMTP_PASSWD {some(alnum, 24)}", True),
+            (f"postgres://app:{some(alnum, 10)}@db/main", True),
+            (f"curl -H 'Authorization: Bearer {some(alnum, 32)}' host", True),
+            (f"MYSQL_ROOT_PASSWORD: {some(alnum, 12)}", True),
+            (f"merge commit {some('0123456789abcdef', 40)}", False),
+            (f"md5 of the dump {some('0123456789abcdef', 32)}", False),
+            (f"invoice id {some('0123456789', 18)}", False),
+            (f"/var/lib/app/release-{some('0123456789', 4)}/bin/run_{some('0123456789', 2)}", False),
+            ("csrf_token: disabled", False),
+            ("ftp://user:changeme@host", False),
+        ]
+    scanner = secrets.train(corpus)
+    verdicts = [(line.split()[0], wanted, f[3] > scanner.threshold) for line, wanted in lines for f in scanner.findings(line, "")]
+    assert len(verdicts) == len(lines)
+    wrong = Counter(v for v in verdicts if v[1] != v[2])
+    assert wrong.total() <= 0.03 * len(verdicts), wrong
+
+
+def test_no_split_leaves_a_side_empty():
+    """Between neighbouring floats there is no mean; a leaf without rows would score NaN."""
+    low = 0.1
+    rows = np.array([[low], [np.nextafter(low, 1)]] * 20)
+    forest = secrets.fit_forest(rows, np.array([0.0, 1.0] * 20))
+    assert np.isfinite(forest.share).all() and forest.score(rows[:2]).round().tolist() == [0.0, 1.0]
