@@ -116,7 +116,7 @@ def test_templates_that_training_never_saw(spark, corpus):
 
 def test_no_split_leaves_a_side_empty():
     """Between neighbouring floats there is no mean; a leaf without rows would score NaN."""
-    low = 0.1
+    low = np.nextafter(0.1, 1)
     rows = np.array([[low], [np.nextafter(low, 1)]] * 20)
     forest = secrets.fit_forest(rows, np.array([0.0, 1.0] * 20))
     assert np.isfinite(forest.share).all() and forest.score(rows[:2]).round().tolist() == [0.0, 1.0]
