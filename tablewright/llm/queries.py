@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, fingerprint, minhash, packing, secrets, substring, topk, toxicity, warc
+from tablewright.llm import bpe, chat, fim, fingerprint, minhash, packing, secrets, substring, topk, toxicity, warc
 from tablewright.session import fresh_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,30 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return secrets.scan(docs, secrets.train(docs))
+
+
+@query(
+    """
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+        ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d
+), c AS (
+    SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+        array_to_string(u[b + 1:n], '') AS suffix FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p
+"""
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_table(spark, sf_dir, "documents"))
