@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import bpe, chat, fim, fingerprint, minhash, packing, secrets, substring, topk, toxicity, warc
+from tablewright.llm import bpe, chat, fim, fingerprint, jaccard, minhash, negatives, packing, secrets, substring, topk, toxicity, warc
 from tablewright.session import fresh_path, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,3 +177,56 @@ FROM p
 )
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(_table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, list_inner_product(a.e, v.e)::BIGINT AS score
+    FROM v AS a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id AND len(a.e) = len(v.e)
+), p AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same
+), n AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INT AS rank
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.place <= 5 AND NOT s.same
+        AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, lambda vec_id: vec_id % 100 == 0, positives=5, k=5, low=80, high=100, scale=256)
+
+
+@query(
+    """
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), g AS (
+    SELECT DISTINCT r, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS gram
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT r, count(*) AS n FROM g GROUP BY r
+), o AS (
+    SELECT a.r AS u, b.r AS v, count(*) AS shared FROM g AS a JOIN g AS b ON a.gram = b.gram AND a.r <> b.r GROUP BY a.r, b.r
+), l AS (
+    SELECT u, v FROM o JOIN n AS a ON a.r = u JOIN n AS b ON b.r = v WHERE 100 * shared >= 90 * (a.n + b.n - shared)
+), c AS (
+    SELECT r AS node, r AS other FROM d UNION SELECT c.node, l.v FROM c JOIN l ON c.other = l.u
+), m AS (
+    SELECT node, min(doc_id) AS component_id FROM c JOIN d ON d.r = c.other GROUP BY node
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id, (SELECT count(*) FROM l WHERE l.u = d.r)::BIGINT AS n_links
+FROM d JOIN m ON m.node = d.r LEFT JOIN n ON n.r = d.r
+"""
+)
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(_table(spark, sf_dir, "documents"), percent=90, width=3)

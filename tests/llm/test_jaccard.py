@@ -1,0 +1,169 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tablewright.llm import jaccard
+from tablewright.llm.flat import mixed
+
+
+def _set(text, width):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall("[^\x20\x09-\x0d]+", lower)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
+
+
+def _brute(rows, percent=90, width=3):
+    sets = [_set(t, width) for _, t in rows]
+    near = [[] for _ in rows]
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            if a != b and x and y and 100 * len(x & y) >= percent * len(x | y):
+                near[a].append(b)
+    want = []
+    for a, (i, _) in enumerate(rows):
+        seen, going = {a}, [a]
+        while going:
+            for b in near[going.pop()]:
+                if b not in seen:
+                    seen.add(b)
+                    going.append(b)
+        ids = [rows[b][0] for b in seen if rows[b][0] is not None]
+        want.append((i, len(sets[a]), min(ids, default=None), len(near[a])))
+    return sorted(want, key=str)
+
+
+def _found(spark, rows, **how):
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in jaccard.join(table, **how).collect()), key=str)
+
+
+def _texts(seed, groups=12):
+    """Groups of edited copies, chains of them, subsets, and texts that share a passage only."""
+    draw = random.Random(seed)
+    texts = []
+    passage = [f"p{i}" for i in range(60)]
+    for g in range(groups):
+        words = [f"g{g}w{draw.randrange(40)}" for _ in range(draw.choice((12, 14, 25, 60, 200)))]
+        for _ in range(draw.randrange(1, 25)):
+            for _ in range(draw.randrange(0, 3)):
+                words[draw.randrange(len(words))] = f"n{draw.randrange(10**6)}"
+            cut = draw.randrange(0, 2)
+            texts.append(" ".join(words[cut:]).replace("g", draw.choice("gG")))
+        texts.append(" ".join(passage + [f"q{g}x{i}" for i in range(30)]))
+    return texts
+
+
+EDGES = [None, "", " \n\t", "one", "One", "one two", "two one", "one  two\nthree", "ONE TWO THREE", "é É", "É É", "a b c a b c a b c", "x " * 3000, "y" * 70_000]
+
+
+@pytest.mark.parametrize("percent", [90, 50, 100])
+def test_against_brute_force(spark, percent):
+    texts = _texts(percent) + EDGES
+    rows = list(enumerate(texts)) + [(None, texts[3]), (None, None), (None, "only here without id"), (5, texts[40]), (5, texts[40]), (7, "id again")]
+    want = _brute(rows, percent)
+    assert _found(spark, rows, percent=percent) == want
+    assert len({w[2] for w in want}) < len(want) * 0.9
+
+
+@pytest.mark.parametrize("width", [1, 5])
+def test_other_widths(spark, width):
+    rows = list(enumerate(_texts(width, 6) + EDGES))
+    assert _found(spark, rows, percent=80, width=width) == _brute(rows, 80, width)
+
+
+def test_many_pieces_strips_and_slabs(spark, monkeypatch):
+    for name, value in (("ROWS", 7), ("GRAMS", 900), ("STRIP", 3), ("SLAB", 5), ("ENTRIES", 11)):
+        monkeypatch.setattr(jaccard, name, value)
+    rows = list(enumerate(_texts(8, 10)))
+    assert _found(spark, rows) == _brute(rows)
+    assert _found(spark, rows, percent=60) == _brute(rows, 60)
+
+
+def test_a_large_group(spark):
+    """Two thousand edited copies of one text: links and components, but no pair is a row."""
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(1500):
+        words = list(base)
+        for _ in range(draw.randrange(0, 5)):
+            words[draw.randrange(150)] = f"n{draw.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(2000 + i, " ".join(base)) for i in range(500)]
+    got = _found(spark, rows)
+    sets = [_set(t, 3) for _, t in rows]
+    found = {g[0]: g for g in got}
+    for a in range(0, 2000, 97):
+        near = [rows[b][0] for b in range(2000) if b != a and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+        assert found[rows[a][0]][3] == len(near)
+        assert {found[i][2] for i in near} <= {found[rows[a][0]][2]}
+        assert near or found[rows[a][0]][2] == rows[a][0]
+
+
+def test_nothing(spark, nothing):
+    assert jaccard.join(nothing).collect() == []
+    extra = spark.createDataFrame([(1, "a b c d", 3, 4, "z")], "doc_id long, text string, n int, id int, part string")
+    assert [tuple(r) for r in jaccard.join(extra).collect()] == [(1, 2, 1, 0)]
+    with pytest.raises(ValueError, match="percent"):
+        jaccard.join(nothing, percent=0)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(1, 400), st.integers(0, 40), st.integers(0, 40), st.integers(0, 2**32), st.sampled_from([50, 80, 90, 95]))
+def test_linked_sets_share_a_part(size, less, more, seed, percent):
+    draw = np.random.default_rng(seed)
+    codes = mixed(draw.integers(0, 1 << 63, size + more).astype(np.uint64))
+    a, b = codes[:size], codes[min(less, size - 1) :]
+    shared = len(np.intersect1d(a, b))
+    linked = (100 + percent) * shared >= percent * (len(a) + len(b))
+    owner = np.repeat([0, 1], [len(a), len(b)])
+    text, hashes = jaccard.parts(owner, np.r_[a, b], np.array([len(a), len(b)]), jaccard.Classes(percent))
+    common = np.intersect1d(hashes[text == 0], hashes[text == 1])
+    assert not linked or len(common) or sorted(a) == sorted(b)
+
+
+def test_sets_with_many_empty_parts():
+    """Sets whose columns fall into few parts take part with their empty parts, too."""
+    classes = jaccard.Classes(90)
+    codes = mixed(np.arange(200_000, dtype=np.uint64))
+    level, _ = classes.of(np.array([40]))
+    part = ((mixed(codes + jaccard._ONE) >> jaccard._HALF) * classes.parts[level].astype(np.uint64)) >> jaccard._HALF
+    codes = codes[part < 2][:42]
+    a, b = codes[:40], codes[1:41]
+    text, hashes = jaccard.parts(np.repeat([0, 1], 40), np.r_[a, b], np.array([40, 40]), classes)
+    assert len(np.intersect1d(hashes[text == 0], hashes[text == 1]))
+
+
+def test_product():
+    draw = np.random.default_rng(9)
+    for nl, nr, columns in ((1, 1, 3), (30, 50, 40), (5, 2, 4000), (70, 70, 3000)):
+        left, right = draw.random((nl, columns)) < 0.05, draw.random((nr, columns)) < 0.05
+        left[:, 0] = right[:, 0] = True
+        want = left.astype(int) @ right.T.astype(int)
+        assert (jaccard.overlaps(np.nonzero(left), np.nonzero(right), nl, nr) == want).all()
+
+
+def test_forest():
+    draw = np.random.default_rng(10)
+    links = draw.random((40, 40)) < 0.03
+    links |= links.T
+    np.fill_diagonal(links, False)
+    for found, want in ((jaccard.forest(links, True), links), (jaccard.forest(links[:, :25], False), None)):
+        assert len(found) < 65
+        if want is not None:
+            reach = np.eye(40, dtype=bool) | want
+            for _ in range(6):
+                reach = (reach.astype(int) @ reach.astype(int)) > 0
+            own = np.eye(40, dtype=bool)
+            for a, b in found:
+                assert want[a, b]
+                own[a, b] = own[b, a] = True
+            for _ in range(6):
+                own = (own.astype(int) @ own.astype(int)) > 0
+            assert (own == reach).all()
