@@ -120,8 +120,8 @@ def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
 
 
-def _sets(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """doc_id, x (a hash of the text), n (n-grams), one and two (hashes of the set), parts."""
+def _sets(docs: DataFrame, percent: int, width: int, with_parts: bool) -> DataFrame:
+    """doc_id, x (a hash of the text), n (n-grams), one and two (hashes of the set), and parts if wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(percent)
@@ -134,13 +134,13 @@ def _sets(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 key = size.astype(np.uint64)
                 np.add.at(key, owner, mixed(code + salt))
                 keys.append(pa.array(mixed(key).view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("x"), pa.array(size, pa.int64()), *keys, _lists(*parts(owner, code, size, classes), n)],
-                names=["doc_id", "x", "n", "one", "two", "parts"],
-            )
+            columns, names = [batch.column("doc_id"), batch.column("x"), pa.array(size, pa.int64()), *keys], ["doc_id", "x", "n", "one", "two"]
+            if with_parts:
+                columns, names = [*columns, _lists(*parts(owner, code, size, classes), n)], [*names, "parts"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("x"), "text")
-    return keyed.mapInArrow(run, "doc_id long, x long, n long, one long, two long, parts array<long>")
+    return keyed.mapInArrow(run, "doc_id long, x long, n long, one long, two long" + (", parts array<long>" if with_parts else ""))
 
 
 def overlaps(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], nl: int, nr: int) -> np.ndarray:
@@ -184,19 +184,13 @@ def overlaps(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nd
 class Side:
     """Some rows of a cell: their sets, and the row blocks they are in, as (row, entry) pairs."""
 
-    def __init__(self, table: pa.Table, before: int) -> None:
+    def __init__(self, table: pa.Table, before: int, width: int) -> None:
         order = np.argsort(table["n"].to_numpy(), kind="stable")
         table = table.take(pa.array(order))
         self.id, self.n, self.copies = (table[c].to_numpy() for c in ("id", "n", "copies"))
-        self.entries = {}
-        for name in ("grams", "pivots"):
-            column = table[name].combine_chunks()
-            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-            values, count = column.flatten().to_numpy(), column.value_lengths().to_numpy()
-            row = np.repeat(np.arange(len(count)), count)
-            if name == "pivots":
-                row, values = row[values < before], values[values < before]
-            self.entries[name] = row, values
+        pivots = table["pivots"].to_pylist()
+        row, pivot = np.repeat(np.arange(len(pivots)), [len(p) for p in pivots]), np.array([x for p in pivots for x in p], np.int64)
+        self.entries = {"grams": _grams(table["_text"], width), "pivots": (row[pivot < before], pivot[pivot < before])}
 
     def __len__(self) -> int:
         return len(self.id)
@@ -207,6 +201,18 @@ class Side:
         return row[a:b], value[a:b]
 
 
+def _grams(packed_texts: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of each n-gram of compressed texts, a few megabytes of text at a time."""
+    rows, codes, before = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    batches = pa.table([packed_texts], names=["_text"]).to_batches()
+    for batch in unpacked(iter(batches)):
+        row, code = shingles(*flat_text(batch.column("text")), width)
+        rows.append(row + before)
+        codes.append(code)
+        before += batch.num_rows
+    return np.concatenate(rows), np.concatenate(codes)
+
+
 def linked(left: Side, right: Side, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Which rows link, and which pairs have not met in an earlier row block (left by right)."""
     links, fresh = np.zeros((len(left), len(right)), bool), np.ones((len(left), len(right)), bool)
@@ -248,12 +254,12 @@ def forest(links: np.ndarray, same: bool) -> list[tuple[int, int]]:
     return found
 
 
-def _cell(percent: int):
+def _cell(percent: int, width: int):
     def product(key: tuple, table: pa.Table) -> pa.Table:
         pivot, i, j = (k.as_py() for k in key)
         block = table["block"].to_numpy()
-        left = Side(table.take(pa.array(np.flatnonzero(block == i))), pivot)
-        right = left if i == j else Side(table.take(pa.array(np.flatnonzero(block == j))), pivot)
+        left = Side(table.take(pa.array(np.flatnonzero(block == i))), pivot, width)
+        right = left if i == j else Side(table.take(pa.array(np.flatnonzero(block == j))), pivot, width)
         links, fresh = linked(left, right, percent)
         if i == j:
             np.fill_diagonal(links, False)
@@ -278,9 +284,10 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     if not 1 <= percent <= 100:
         raise ValueError("percent is from 1 to 100")
     spark = docs.sparkSession
-    every = materialize(_sets(docs, percent, width), label="sets")
+    every = materialize(_sets(docs, percent, width, False), label="sets")
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "x")
-    nodes = every.where("n > 0").groupBy("one", "two").agg(F.min_by(F.struct("doc_id", "x", "n", "parts"), order).alias("row"), F.count("*").alias("copies"))
+    # The parts are a tenth of all n-grams; computing the sets again is cheaper than keeping those of copies.
+    nodes = _sets(docs, percent, width, True).where("n > 0").groupBy("one", "two").agg(F.min_by(F.struct("doc_id", "x", "n", "parts"), order).alias("row"), F.count("*").alias("copies"))
     nodes = materialize(nodes.select(F.monotonically_increasing_id().alias("id"), "one", "two", "copies", "row.*"), label="nodes")
     release(spark)
     entries = nodes.select("id", "n", F.explode("parts").alias("part"))
@@ -291,13 +298,13 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     release(spark)
     pieces = F.greatest(F.ceil(F.count("*") / ROWS), F.ceil(F.sum("n") / GRAMS)).cast("int")
     pieces = materialize(members.groupBy("pivot").agg(pieces.alias("pieces")), label="pieces")
-    sets = _grams(docs, nodes, members, width)
+    texts = _texts(docs, every, nodes, members)
     mine = F.pmod(F.xxhash64("id"), "pieces").cast("int")
     # A row goes to the cells of its piece with every piece of the block.
     cells = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))
     dealt = members.select("pivot", "id").join(pieces, "pivot").select("pivot", "id", mine.alias("block"), F.explode(cells).alias("cell"))
-    dealt = dealt.select("pivot", "cell.i", "cell.j", "block", "id").join(sets, "id")
-    found = dealt.groupBy("pivot", "i", "j").applyInArrow(_cell(percent), "u long, v long, links long")
+    dealt = dealt.select("pivot", "cell.i", "cell.j", "block", "id").join(texts, "id")
+    found = dealt.groupBy("pivot", "i", "j").applyInArrow(_cell(percent, width), "u long, v long, links long")
     found = materialize(found, label="products")
     release(spark)
     label = components(found.where("v IS NOT NULL").select("u", "v"))
@@ -314,24 +321,16 @@ def join(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     return filled.unionAll(alone)
 
 
-def _grams(docs: DataFrame, nodes: DataFrame, members: DataFrame, width: int) -> DataFrame:
-    """id, n, copies, grams, pivots (the row blocks) of all sets that share a block with another."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in unpacked(batches):
-            owner, code = shingles(*flat_text(batch.column("text")), width)
-            names = ["id", "n", "copies", "pivots"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), _lists(owner, code, batch.num_rows)], names=[*names, "grams"])
-
-    spark = docs.sparkSession
+def _texts(docs: DataFrame, every: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """id, n, copies, pivots (the row blocks), _text (compressed) of all sets that share a block with another."""
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_id"), F.col("x").alias("_x")]
     blocks = members.groupBy("id").agg(F.collect_list("pivot").alias("pivots"))
-    chosen = nodes.select("id", F.col("doc_id").alias("_id"), F.col("x").alias("_x"), "n", "copies").join(blocks, "id")
-    chosen = materialize(chosen, label="chosen")
-    keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_x"), "text")
-    same = F.col("t._id").eqNullSafe(F.col("c._id")) & (F.col("t._x") == F.col("c._x"))
-    texts = packed(keyed, "_id", "_x").alias("t").join(chosen.alias("c"), same).select("id", "n", "copies", "pivots", "_text")
-    # Rows repeated as a whole are one set.
-    texts = texts.dropDuplicates(["id"]).select("id", "n", "copies", "pivots", "_text")
-    sets = materialize(texts.mapInArrow(run, "id long, n long, copies long, pivots array<long>, grams array<long>"), label="grams")
-    release(spark)
-    return sets
+    chosen = materialize(nodes.select("id", *key, "n", "copies").join(blocks, "id"), label="chosen")
+    keyed = docs.withColumn("x", F.xxhash64(F.coalesce("text", F.lit("")))).select(*key, "text")
+    texts = packed(keyed, "_id", "_x").join(chosen, ["_id", "_x"]).select("id", "n", "copies", "pivots", "_text")
+    # Rows repeated as a whole are one set; where there are none, nothing has to be looked for.
+    if not every.groupBy(*key).count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["id"])
+    texts = materialize(texts, label="texts")
+    release(docs.sparkSession)
+    return texts
