@@ -327,7 +327,8 @@ def _texts(docs: DataFrame, every: DataFrame, nodes: DataFrame, members: DataFra
     blocks = members.groupBy("id").agg(F.collect_list("pivot").alias("pivots"))
     chosen = materialize(nodes.select("id", *key, "n", "copies").join(blocks, "id"), label="chosen")
     keyed = docs.withColumn("x", F.xxhash64(F.coalesce("text", F.lit("")))).select(*key, "text")
-    texts = packed(keyed, "_id", "_x").join(chosen, ["_id", "_x"]).select("id", "n", "copies", "pivots", "_text")
+    # What is chosen grows with the input, so it is not broadcast at any size.
+    texts = packed(keyed, "_id", "_x").join(chosen.hint("merge"), ["_id", "_x"]).select("id", "n", "copies", "pivots", "_text")
     # Rows repeated as a whole are one set; where there are none, nothing has to be looked for.
     if not every.groupBy(*key).count().where("count > 1").isEmpty():
         texts = texts.dropDuplicates(["id"])
