@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions.numbers import parse_double, parse_long
 from tablewright.names import has_variant, quote
+from tablewright.operators.census import record_schema
 
 # The classes a value of a choice can belong to, in the order of output columns.
 CLASSES = ("long", "double", "string", "boolean", "struct", "array")
@@ -214,73 +214,6 @@ def resolve_choice(
     return out
 
 
-_TYPE_WORDS = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bVOID\b(?!:)|\bDECIMAL\(\d+,\s*\d+\)")
-
-
-def _spark_type(variant_type: str) -> T.DataType:
-    """The type a variant reports, as a Spark type; never-filled fields are text, fractions double.
-
-    Whole numbers beyond bigint stay decimals, so that they keep their digits.
-    """
-
-    def word(match: re.Match[str]) -> str:
-        text = match.group()
-        if text.startswith("`"):
-            return text
-        if text[0] == "D" and text.rstrip(")").split(",")[1].strip() == "0":
-            return text
-        return {"O": "STRUCT<", "V": "STRING", "D": "DOUBLE"}[text[0]]
-
-    return T.DataType.fromDDL(_TYPE_WORDS.sub(word, variant_type))
-
-
-def record_schema(df: DataFrame, column: str) -> T.StructType:
-    """The fields of the JSON records in a VARIANT column, by one distributed aggregation.
-
-    Fields with mixed types come out as VARIANT, and so do those with whole and fractional numbers (long
-    and double are classes of their own), which takes a second pass where there are fractions. Inside
-    arrays such numbers become double.
-    """
-    found = df.agg(F.schema_of_variant_agg(F.col(quote(column)))).first()[0]
-    schema = _spark_type(found) if found else T.StructType()
-    if not isinstance(schema, T.StructType) or not schema.fields:
-        raise ValueError(f"column {column!r} holds no JSON objects but {found}")
-    fractions = _fraction_paths(schema, ())
-    if not fractions:
-        return schema
-    record = F.col(quote(column))
-    flags = df.agg(
-        *(
-            F.coalesce(F.bool_or(F.schema_of_variant(F.variant_get(record, "$" + "".join(_step(p) for p in path), "variant")) == "BIGINT"), F.lit(False))
-            for path in fractions
-        )
-    ).first()
-    return _opened(schema, (), {path for path, whole in zip(fractions, flags, strict=True) if whole})
-
-
-def _fraction_paths(schema: T.StructType, path: tuple[str, ...]) -> list[tuple[str, ...]]:
-    """Where fractions stand, reached through structs."""
-    found = []
-    for f in schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            found.append((*path, f.name))
-        elif isinstance(f.dataType, T.StructType):
-            found += _fraction_paths(f.dataType, (*path, f.name))
-    return found
-
-
-def _opened(schema: T.StructType, path: tuple[str, ...], choices: set[tuple[str, ...]]) -> T.StructType:
-    """The schema with the fields at the given places as choices."""
-
-    def kind(f: T.StructField) -> T.DataType:
-        here = (*path, f.name)
-        if here in choices:
-            return T.VariantType()
-        return _opened(f.dataType, here, choices) if isinstance(f.dataType, T.StructType) else f.dataType
-
-    return T.StructType([T.StructField(f.name, kind(f)) for f in schema.fields])
-
-
 def _step(field: str) -> str:
     mark = '"' if "'" in field else "'"
     return f"[{mark}{field}{mark}]"

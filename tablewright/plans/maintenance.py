@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.names import qualified, quote, sql_text
 from tablewright.sources.tables import (
+    DEFAULT_PARTITION,
     next_version,
     partition_clause,
     partition_columns,
@@ -20,10 +21,6 @@ from tablewright.sources.tables import (
     table_detail,
 )
 
-# Fixed value: how the folder of a partition without value is called.
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
 def table_files(spark: SparkSession, db: str, table: str, rows: bool = False) -> DataFrame:
     """One row per data file: partition values (as text), file_path, file_size; with `rows` their number, too.
 

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions import money_sum, parse_double, parse_log, strict_double, to_cents
@@ -47,6 +47,7 @@ from tablewright.sources import (
     read_keyed,
     read_log,
     read_table,
+    rebucket_keyed,
     register_log,
     register_path,
     upsert_keyed,
@@ -868,21 +869,26 @@ def compacted_sorted_partitions(spark, sf_dir):
 
 @query("SELECT event_id, user_id, CAST(row_number() OVER (ORDER BY user_id, event_id) AS BIGINT) AS place FROM events")
 def compacted_sorted_single_file(spark, sf_dir):
-    """A table of one unsorted file is sorted all the same: ids in the order of their place in the file."""
+    """A table is sorted over all its files, one or many: ids in the order of their place in the table."""
     db, path = _scratch(spark)
-    events = _table(spark, sf_dir, "events").select("event_id", "user_id")
-    write_table(events.coalesce(1), db, "events", f"{path}/events")
-    compact_table(spark, db, "events", sort_by=["user_id", "event_id"], target_bytes=1 << 40)
-    return read_table(spark, db, "events").select("event_id", "user_id", (F.col("_metadata.row_index") + 1).alias("place"))
+    write_table(_table(spark, sf_dir, "events").select("event_id", "user_id"), db, "events", f"{path}/events")
+    compact_table(spark, db, "events", sort_by=["user_id", "event_id"])
+    rows = read_table(spark, db, "events").select("event_id", "user_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    # The files hold one range each; only a row for each of them is put in order here.
+    files = rows.groupBy("file").agg(F.count("*").alias("n"), F.min(F.struct("user_id", "event_id")).alias("first"))
+    before = F.sum("n").over(Window.orderBy("first").rowsBetween(Window.unboundedPreceding, -1))
+    files = files.select("file", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(files, "file").select("event_id", "user_id", (F.col("before") + F.col("row") + 1).alias("place"))
 
 
-@query("SELECT event_type, CAST(1 AS BIGINT) AS files, count(*) AS n FROM events GROUP BY event_type")
+@query("SELECT event_type, true AS as_few_as_bytes_need, count(*) AS n FROM events GROUP BY event_type")
 def file_counts(spark, sf_dir):
-    """Files per partition after compaction: one each while a partition is below the target size."""
+    """Files per partition after compaction: as many as the bytes of the partition ask for."""
     db, _ = _small_files(spark, sf_dir, ["event_type"])
-    compact_table(spark, db, "events", target_bytes=1 << 40)
-    files = table_files(spark, db, "events", rows=True)
-    return files.groupBy("event_type").agg(F.count("*").alias("files"), F.sum("rows").alias("n"))
+    compact_table(spark, db, "events")
+    files = table_files(spark, db, "events", rows=True).groupBy("event_type")
+    needed = F.greatest(F.ceil(F.sum("file_size") / F.lit(256 * 1024 * 1024)), F.lit(1))
+    return files.agg((F.count("*") <= needed).alias("as_few_as_bytes_need"), F.sum("rows").alias("n"))
 
 
 @query(
@@ -898,24 +904,23 @@ def inventory(spark, sf_dir):
     return table_inventory(spark, [db]).select("table_name", "partitions", "has_data")
 
 
-@query(
-    "SELECT 'orders' AS table_name, CAST(2 AS BIGINT) AS partitions, CAST(2 AS BIGINT) AS files, count(*) AS n FROM orders "
-    "WHERE o_orderstatus IN ('F', 'O')"
-)
+@query("SELECT 'orders' AS table_name, count(DISTINCT o_orderstatus) AS partitions, true AS every_file, count(*) AS n FROM orders")
 def inventory_relocated_partitions(spark, sf_dir):
-    """A CSV table of two partitions, one of them outside the table's folder."""
+    """A CSV table with a partition for each order status, one of them outside the table's folder."""
     db, path = _scratch(spark)
-    orders = _table(spark, sf_dir, "orders")
-    for status, folder in (("F", f"{path}/orders/status=F"), ("O", f"{path}/elsewhere")):
-        part = orders.where(F.col("o_orderstatus") == status).select("o_orderkey")
-        part.coalesce(1).write.option("header", True).csv(folder)
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    inside = f"{path}/orders"
+    orders.where("status <> 'O'").write.option("header", True).partitionBy("status").csv(inside)
+    orders.where("status = 'O'").drop("status").write.option("header", True).csv(f"{path}/elsewhere")
     spark.sql(
         f"CREATE TABLE {db}.orders (o_orderkey bigint, status string) USING csv OPTIONS (header 'true') "
-        f"PARTITIONED BY (status) LOCATION {sql_text(f'{path}/orders')}"
+        f"PARTITIONED BY (status) LOCATION {sql_text(inside)}"
     )
-    spark.sql(f"ALTER TABLE {db}.orders ADD PARTITION (status = 'F') PARTITION (status = 'O') LOCATION {sql_text(f'{path}/elsewhere')}")
+    spark.sql(f"MSCK REPAIR TABLE {db}.orders")
+    spark.sql(f"ALTER TABLE {db}.orders ADD PARTITION (status = 'O') LOCATION {sql_text(f'{path}/elsewhere')}")
     found = table_inventory(spark, [db]).select("table_name", "partitions", "files")
-    return found.join(read_table(spark, db, "orders").agg(F.count("*").alias("n")), F.lit(True))
+    rows = read_table(spark, db, "orders").agg(F.count("*").alias("n"), F.count_distinct("_metadata.file_path").alias("read"))
+    return found.join(rows, F.lit(True)).select("table_name", "partitions", (F.col("files") == F.col("read")).alias("every_file"), "n")
 
 
 @query(
@@ -1023,3 +1028,156 @@ def fan_out_sinks(spark, sf_dir):
     )
     sinks = [spark.read.parquet(f"{path}/{s}").select(F.lit(s).alias("sink"), "*") for s in ("all", "large")]
     return sinks[0].unionByName(sinks[1])
+
+
+# Schemas that grow, tables taken up again, files that change.
+
+@query(
+    "SELECT o_orderkey AS id, o_orderstatus AS status, NULL AS priority, o_custkey AS n, NULL AS day, o_custkey AS number FROM orders "
+    "UNION ALL SELECT -o_orderkey, o_orderstatus, o_orderpriority, o_custkey * 10000000000, strftime(o_orderdate, '%Y-%m-%d'), "
+    "o_custkey * 10000000000 FROM orders"
+)
+def table_nested_growth(spark, sf_dir):
+    """The second batch has new fields in a struct and in the structs of an array, and larger numbers there."""
+    db, path = _scratch(spark)
+    orders = _table(spark, sf_dir, "orders")
+    small, large = F.col("o_custkey").cast("int"), F.col("o_custkey").cast("bigint") * 10_000_000_000
+    first = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.struct(F.col("o_orderstatus").alias("status")).alias("info"),
+        F.array(F.struct(small.alias("n"))).alias("items"),
+        small.alias("number"),
+    )
+    second = orders.select(
+        large.alias("number"),
+        F.array(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), large.alias("n"))).alias("items"),
+        F.struct(F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status")).alias("info"),
+        (-F.col("o_orderkey")).alias("id"),
+    )
+    for batch in (first, second):
+        write_table(batch, db, "orders", f"{path}/orders")
+    item = F.col("items")[0]
+    return read_table(spark, db, "orders").select("id", "info.status", "info.priority", item["n"].alias("n"), item["day"].alias("day"), "number")
+
+
+@query(
+    "SELECT c_custkey, c_name, c_nationkey FROM customer UNION ALL SELECT -c_custkey, c_name, c_nationkey FROM customer"
+)
+def table_readopted(spark, sf_dir):
+    """A dropped table whose files stayed, with numbers as partitions, goes on with the next batch."""
+    db, path = _scratch(spark)
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    write_table(customers, db, "customers", f"{path}/customers", ["c_nationkey"])
+    drop_table(spark, db, "customers")
+    write_table(customers.withColumn("c_custkey", -F.col("c_custkey")), db, "customers", f"{path}/customers", ["c_nationkey"])
+    return read_table(spark, db, "customers")
+
+
+@query(
+    f"SELECT event_id, {LONG} AS points_long, {DOUBLE} AS points_double, event_id + 123456789012345678 AS first_long, "
+    "value + 0.125 AS second_double, CASE WHEN event_type = 'error' THEN user_id END AS inner_long, "
+    "CASE WHEN event_type = 'view' THEN value + 0.125 END AS inner_double FROM events"
+)
+def choice_long_and_double(spark, sf_dir):
+    """Whole numbers and fractions in one field, in one array, and in the structs of an array."""
+    events, kind = _table(spark, sf_dir, "events"), F.col("event_type")
+    fraction = (F.col("value") + 0.125).cast("string")
+    points = F.when(kind == "click", F.col("user_id").cast("string")).when(kind == "purchase", F.col("value").cast("string")).otherwise("null")
+    inner = F.when(kind == "error", F.col("user_id").cast("string")).when(kind == "view", fraction).otherwise("null")
+    record = F.format_string(
+        '{"event_id": %d, "points": %s, "list": [%d, %s], "rows": [{"n": %s}]}',
+        F.col("event_id"), points, F.col("event_id") + 123456789012345678, fraction, inner,
+    )
+    path = fresh_path(spark, "numbers")
+    events.select(record).write.text(path)
+    out = resolve_choice(read_json_records(spark, path), choice="make_struct")
+    number = F.col("rows")[0]["n"]
+    return out.select(
+        "event_id", F.col("points.long").alias("points_long"), F.col("points.double").alias("points_double"),
+        F.col("list")[0]["long"].alias("first_long"), F.col("list")[1]["double"].alias("second_double"),
+        number["long"].alias("inner_long"), number["double"].alias("inner_double"),
+    )
+
+
+@query(
+    f"SELECT event_id, {LONG} AS longs, {STRING} AS strings, CASE WHEN event_type = 'error' THEN value > 10 END AS truths FROM events"
+)
+def json_table_new_type(spark, sf_dir):
+    """A table is read, files with other types arrive, and it is read again: only those are looked into."""
+    db, path = _scratch(spark)
+    events, kind = _table(spark, sf_dir, "events"), F.col("event_type")
+    record = F.format_string('{"event_id": %d, "points": %s}', F.col("event_id"), _points_text())
+    truth = F.format_string('{"event_id": %d, "points": %s}', F.col("event_id"), (F.col("value") > 10).cast("string"))
+    events.where(kind == "click").select(record).write.text(f"{path}/events")
+    register_path(spark, db, "events", f"{path}/events", "json")
+    if dict(read_table(spark, db, "events").dtypes)["points"] != "bigint":
+        raise AssertionError("the first files hold whole numbers only")
+    for later in (events.where((kind != "click") & (kind != "error")).select(record), events.where(kind == "error").select(truth)):
+        later.write.mode("append").text(f"{path}/events")
+        spark.catalog.refreshTable(f"{db}.events")
+        struct = resolve_choice(read_table(spark, db, "events"), specs=[("points", "make_struct")], types={"points": ["long", "string", "boolean"]})
+    return struct.select(
+        "event_id", F.col("points.long").alias("longs"), F.col("points.string").alias("strings"), F.col("points.boolean").alias("truths")
+    )
+
+
+@query(
+    f"SELECT 'events' AS table_name, 2 * count(*) AS n, 2 * count({LONG}) AS longs, count(*) FILTER (event_type = 'error') AS truths FROM events "
+    "UNION ALL SELECT 'orders', 2 * count(*), NULL, NULL FROM orders"
+)
+def export_tables_twice(spark, sf_dir):
+    """The second export brings a class of value that the first did not have."""
+    db, path = _scratch(spark)
+    out_db, _ = _scratch(spark)
+    events, kind = _table(spark, sf_dir, "events"), F.col("event_type")
+    _raw_orders(spark, sf_dir).write.option("header", True).csv(f"{path}/orders")
+    for truth in ("null", "true"):
+        points = F.when(kind == "error", F.lit(truth)).otherwise(_points_text())
+        record = F.format_string('{"event_id": %d, "points": %s}', F.col("event_id"), points)
+        events.select(record).write.mode("overwrite").text(f"{path}/events")
+        register_path(spark, db, "orders", f"{path}/orders", "csv")
+        register_path(spark, db, "events", f"{path}/events", "json")
+        export_tables(spark, db, out_db, f"{path}/out")
+    out = read_table(spark, out_db, "events")
+    nothing = F.lit(None).cast("bigint")
+    return out.agg(
+        F.lit("events").alias("table_name"), F.count("*").alias("n"), F.count("points.long").alias("longs"), F.count("points.boolean").alias("truths")
+    ).unionByName(
+        read_table(spark, out_db, "orders").agg(
+            F.lit("orders").alias("table_name"), F.count("*").alias("n"), nothing.alias("longs"), nothing.alias("truths")
+        )
+    )
+
+
+@query(
+    RAW + ", ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC) AS rn FROM raw) "
+    "SELECT customer_id, order_id, order_date, status, 6 AS parts FROM ranked WHERE rn = 1"
+)
+def keyed_rebucket(spark, sf_dir):
+    """Parts that outgrow their size divide as they are written again; in the end the table gets six."""
+    db, path = _scratch(spark)
+    orders = _mapped(spark, sf_dir).select("customer_id", "order_id", "order_date", "status")
+    early = F.col("order_date") < "1998-07-01"
+    for batch in (orders.filter(early), orders.filter(~early)):
+        upsert_keyed(batch, db, "latest", "customer_id", f"{path}/latest", ["order_date", "order_id"], buckets=2, part_bytes=8192)
+    rebucket_keyed(spark, db, "latest", f"{path}/latest", 6)
+    return read_keyed(spark, db, "latest").withColumn("parts", F.lit(spark.sql(f"SHOW PARTITIONS {db}.latest").count()))
+
+
+@query(
+    "WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 = 0 THEN NULL "
+    "WHEN l_orderkey % 5 = 0 THEN -l_partkey ELSE l_partkey END AS key FROM lineitem), "
+    "r AS (SELECT p_partkey AS key, p_name FROM part UNION ALL SELECT p_partkey + 100000000, p_name FROM part "
+    "UNION ALL SELECT NULL, p_name FROM part) SELECT key, l_orderkey, l_linenumber, p_name FROM l FULL JOIN r USING (key)"
+)
+def enrich_full_skewed(spark, sf_dir):
+    """A third of the order lines name the same part; others name none, or one that isn't there."""
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        "CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 = 0 THEN NULL WHEN l_orderkey % 5 = 0 THEN -l_partkey ELSE l_partkey END AS key",
+    )
+    parts = _table(spark, sf_dir, "part")
+    every = parts.selectExpr("p_partkey AS key", "p_name").unionByName(parts.selectExpr("p_partkey + 100000000 AS key", "p_name"))
+    every = every.unionByName(parts.selectExpr("CAST(NULL AS BIGINT) AS key", "p_name"))
+    return enrich(lines, every, "key", ["p_name"], how="full").select("key", "l_orderkey", "l_linenumber", "p_name")

@@ -51,7 +51,9 @@ def build_session(
         builder = builder.master(master)
     chosen = {**SETTINGS, **(CLUSTER_SETTINGS if cluster else {})}
     if cluster:
-        chosen["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions_for(input_bytes))
+        # The same number where AQE starts and where a program asks how far it may divide its work.
+        for key in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.shuffle.partitions"):
+            chosen[key] = str(partitions_for(input_bytes))
     chosen.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in chosen.items():
         builder = builder.config(key, value)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.names import has_variant, identifier, qualified, quote, sql_text
-from tablewright.sources.tables import is_at, partition_clause, partition_columns, partition_values, table_detail
+from tablewright.sources.files import listed_files
+from tablewright.sources.schema import conformed, grow_schema
+from tablewright.sources.tables import DEFAULT_PARTITION, is_at, partition_columns, table_detail
 
 
 def _no_choices(df: DataFrame) -> None:
@@ -27,56 +33,9 @@ def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *(quote(p) for p in partition_by)) if partition_by else df
 
 
-# Types that a column may grow to without losing a value it holds.
-WIDER = {
-    "tinyint": ("smallint", "int", "bigint", "double"),
-    "smallint": ("int", "bigint", "double"),
-    "int": ("bigint", "double"),
-    "float": ("double",),
-    "date": ("timestamp_ntz",),
-}
-
-
-def _fits(have: str, given: str) -> bool:
-    """Whether every value of the given type has its place in a column of the type the table has."""
-    return have in WIDER.get(given, ())
-
-
-def add_missing_columns(df: DataFrame, name: str) -> None:
-    """Let the table's schema grow to the data's. Rows written before read NULL in new columns.
-
-    Data of a narrower type than the column is widened when it is written; a column narrower than the
-    data has to be widened first, by `widen_columns`.
-    """
-    spark = df.sparkSession
-    have = {f.name.lower(): f.dataType for f in spark.table(name).schema.fields}
-    new = []
-    for field in df.schema.fields:
-        known = have.get(field.name.lower())
-        if known is None:
-            new.append(f"{quote(field.name)} {field.dataType.simpleString()}")
-        elif known != field.dataType and not _fits(known.simpleString(), field.dataType.simpleString()):
-            raise TypeError(
-                f"column {field.name!r} is {field.dataType.simpleString()} but {known.simpleString()} in {name}"
-            )
-    if new:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
-
-
 def table_order(df: DataFrame, name: str, without: Sequence[str] = ()) -> DataFrame:
-    """Columns in the order of the table, absent ones NULL."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select(
-        *(
-            F.col(quote(have[f.name.lower()])).cast(f.dataType).alias(f.name)
-            if f.name.lower() in have and df.schema[have[f.name.lower()]].dataType != f.dataType
-            else F.col(quote(have[f.name.lower()])).alias(f.name)
-            if f.name.lower() in have
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in df.sparkSession.table(name).schema.fields
-            if f.name not in without
-        )
-    )
+    """Columns in the order and of the types of the table, absent ones NULL."""
+    return conformed(df, [f for f in df.sparkSession.table(name).schema.fields if f.name not in without])
 
 
 def write_table(
@@ -89,20 +48,22 @@ def write_table(
 ) -> None:
     """Write Parquet and create or update the catalog table.
 
-    New columns in the data are added to the table; data of a narrower type is widened to the column's,
-    and a column is widened to the data's type where the table is in the catalog (int to bigint and the
-    like; Parquet files written before are read with the wider type). Any other change of type is an
-    error, and so is a choice column. A path that already holds Parquet files becomes the table first,
-    and the mode then applies to those rows as well. Partition values NULL and '' share Spark's default
-    partition and read back NULL. mode is append or overwrite; overwrite replaces all rows, also where
-    the session overwrites partitions dynamically.
+    The table's schema grows to the data's, also inside structs, arrays and maps: new fields are added, and
+    a type becomes the least one that holds the old and the new values (int to bigint and the like, see
+    `schema.common_type`; Parquet files written before are read with the wider type, and data of a
+    narrower type is widened when written). Properties, comments and partitions of the table stay. Any
+    other change of type is an error, and so is a choice column. A path that already holds Parquet files
+    becomes the table first, and the mode then applies to those rows as well; a partition column takes
+    the data's type if every folder spells a value of it, else text. Partition values NULL and '' share
+    Spark's default partition and read back NULL. mode is append or overwrite; overwrite replaces all
+    rows, also where the session overwrites partitions dynamically.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown mode {mode!r}")
     _no_choices(df)
     spark, name = df.sparkSession, qualified(db, table)
     if path and not spark.catalog.tableExists(name):
-        _adopt(spark, name, path, partition_by)
+        _adopt(df, name, path, partition_by)
     if not spark.catalog.tableExists(name):
         writer = clustered(df, partition_by).write.format("parquet")
         if path:
@@ -117,37 +78,46 @@ def write_table(
     location = table_detail(spark, name, "Location")
     if path and not is_at(location, path):
         raise ValueError(f"{name} is at {location}, not at {path}")
-    widen_columns(df, name)
-    add_missing_columns(df, name)
-    _insert(table_order(clustered(df, existing), name), name, mode == "overwrite")
+    grow_schema(df, name, existing)
+    insert(table_order(clustered(df, existing), name), name, mode == "overwrite")
+
 
+def insert(df: DataFrame, name: str, overwrite: bool, partition: Mapping[str, str | None] | None = None) -> None:
+    """Append, or replace all rows whatever partitions the new ones have; `df` has the table's order.
 
-def _insert(df: DataFrame, name: str, overwrite: bool) -> None:
-    """Append, or replace all rows whatever partitions the new ones have."""
-    conf, mode = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(mode)
-    conf.set(mode, "static")
+    With `partition` only rows of its given values are replaced; columns without value (None) come from the
+    rows. How partitions are overwritten goes with the statement: the session's setting, which other
+    threads may use meanwhile, neither matters nor changes.
+    """
+    spark, view = df.sparkSession, f"insert_{uuid.uuid4().hex}"
+    values = [quote(k) if v is None else f"{quote(k)} = {sql_text(v)}" for k, v in (partition or {}).items()]
+    df.createOrReplaceTempView(view)
     try:
-        df.write.insertInto(name, overwrite=overwrite)
+        spark.sql(
+            f"INSERT {'OVERWRITE' if overwrite else 'INTO'} {name} WITH ('partitionOverwriteMode' = 'static') "
+            f"{f'PARTITION ({", ".join(values)})' if values else ''} SELECT * FROM {view}"
+        )
     finally:
-        conf.set(mode, before)
+        spark.catalog.dropTempView(view)
 
 
-def _adopt(spark: SparkSession, name: str, path: str, partition_by: Sequence[str]) -> None:
+def _adopt(df: DataFrame, name: str, path: str, partition_by: Sequence[str]) -> None:
     """Make Parquet files that already lie under a path a table; without files nothing happens."""
+    spark = df.sparkSession
     try:
-        found = spark.read.parquet(path)
+        found = _files_schema(spark, path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return
         raise
-    fields = {f.name: f for f in found.schema.fields}
+    fields = {f.name: f for f in found.fields}
     missing = [p for p in partition_by if p not in fields]
     if missing:
         raise ValueError(f"the files at {path} have no partition column {missing}")
-    # Partition folders name no type; text keeps every value as it is spelled.
+    given = {f.name: f.dataType for f in df.schema.fields}
+    spelled = _spelled(spark, path, {p: given[p] for p in partition_by if p in given})
     kept = [f"{quote(f.name)} {f.dataType.simpleString()}" for f in fields.values() if f.name not in partition_by]
-    kept += [f"{quote(p)} string" for p in partition_by]
+    kept += [f"{quote(p)} {given[p].simpleString() if p in spelled else 'string'}" for p in partition_by]
     text = f"CREATE TABLE {name} ({', '.join(kept)}) USING parquet"
     if partition_by:
         text += f" PARTITIONED BY ({', '.join(quote(p) for p in partition_by)})"
@@ -156,45 +126,35 @@ def _adopt(spark: SparkSession, name: str, path: str, partition_by: Sequence[str
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def widen_columns(df: DataFrame, name: str) -> None:
-    """Give the table's columns the wider types of the data, as far as Parquet can read old files so.
+def _files_schema(spark: SparkSession, path: str) -> T.StructType:
+    """All columns of the Parquet files under a path, by their footers.
 
-    The catalog of Spark changes no types, so the entry is made anew over the same files.
+    Where files differ in a type, one file's schema is taken: the table then grows by what is written.
     """
-    spark = df.sparkSession
-    given = {f.name.lower(): f.dataType for f in df.schema.fields}
-    fields = spark.table(name).schema.fields
-    parts = partition_columns(spark, name)
-    wider = {
-        f.name: given[f.name.lower()]
-        for f in fields
-        if f.name.lower() in given and f.name not in parts and _fits(given[f.name.lower()].simpleString(), f.dataType.simpleString())
-    }
-    if not wider or table_detail(spark, name, "Type") != "EXTERNAL":
-        return
-    places = spark.sql(f"SHOW PARTITIONS {name}").collect() if parts else []
-    location = table_detail(spark, name, "Location")
-    moved = {row[0]: _partition_location(spark, name, row[0]) for row in places}
-    ddl = ", ".join(f"{quote(f.name)} {wider.get(f.name, f.dataType).simpleString()}" for f in fields)
-    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-    spark.sql(f"DROP TABLE {name}")
-    text = f"CREATE TABLE {name} ({ddl}) USING parquet"
-    if parts:
-        text += f" PARTITIONED BY ({', '.join(quote(p) for p in parts)})"
-    text += f" LOCATION {sql_text(location)}"
-    own = {k: v for k, v in kept.items() if k.startswith("tablewright.")}
-    if own:
-        text += f" TBLPROPERTIES ({', '.join(f'{sql_text(k)} = {sql_text(v)}' for k, v in own.items())})"
-    spark.sql(text)
-    for at in range(0, len(moved), 500):
-        adds = [f"{partition_clause(partition_values(p))} LOCATION {sql_text(where)}" for p, where in list(moved.items())[at : at + 500]]
-        spark.sql(f"ALTER TABLE {name} ADD {' '.join(adds)}")
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path).schema
+    except (AnalysisException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+        return spark.read.parquet(path).schema
 
 
-def _partition_location(spark: SparkSession, name: str, folder: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition_clause(partition_values(folder))}").collect()
-    start = next(i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed Partition"))
-    return next(r["data_type"] for r in rows[start:] if r["col_name"] == "Location")
+def _spelled(spark: SparkSession, path: str, types: Mapping[str, T.DataType]) -> set[str]:
+    """Those partition columns whose folders all spell a value of the type, the way Spark spells it.
+
+    Folder names carry no type: 007 is text, though a number can be read from it. The folders are listed,
+    nothing in them is read.
+    """
+    if not types:
+        return set()
+    flags = []
+    for p, dtype in types.items():
+        raw = F.regexp_extract("path", f"/{re.escape(p)}=([^/]*)/", 1)
+        value = F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+        same = (value == DEFAULT_PARTITION) | (value.try_cast(dtype).cast("string") == value)
+        flags.append(F.coalesce(F.bool_and(F.coalesce(same, F.lit(False))), F.lit(True)).alias(p))
+    row = listed_files(spark, path).agg(*flags).first()
+    return {p for p, good in row.asDict().items() if good}
 
 
 def write_collection(frames: Mapping[str, DataFrame], db: str, path: str, mode: str = "append") -> None:
@@ -239,8 +199,7 @@ def insert_select(df: DataFrame, db: str, table: str, overwrite: bool = False) -
     unknown = {c.lower() for c in df.columns} - {c.lower() for c in df.sparkSession.table(name).columns}
     if unknown:
         raise ValueError(f"{name} has no column {sorted(unknown)}")
-    ordered = table_order(clustered(df, partition_columns(df.sparkSession, name)), name)
-    _insert(ordered, name, overwrite)
+    insert(table_order(clustered(df, partition_columns(df.sparkSession, name)), name), name, overwrite)
 
 
 def drop_table(spark: SparkSession, db: str, table: str, purge: bool = False) -> None:
@@ -253,5 +212,5 @@ def drop_table(spark: SparkSession, db: str, table: str, purge: bool = False) ->
     if not spark.catalog.tableExists(name):
         return
     if purge and table_detail(spark, name, "Type") == "EXTERNAL":
-        _insert(spark.createDataFrame([], spark.table(name).schema), name, True)
+        insert(spark.createDataFrame([], spark.table(name).schema), name, True)
     spark.sql(f"DROP TABLE {name}{' PURGE' if purge else ''}")

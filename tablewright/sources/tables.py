@@ -12,13 +12,17 @@ from pyspark.sql import types as T
 from tablewright.functions.logs import MARK, log_fields
 from tablewright.functions.numbers import DECIMAL, WHOLE
 from tablewright.names import qualified, quote, sql_text
+from tablewright.operators.census import files_schema
 from tablewright.operators.choice import open_records
 
-def table_property(spark: SparkSession, name: str, prop: str) -> str | None:
-    for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect():
-        if row["key"] == prop:
-            return row["value"]
-    return None
+# Fixed value: how the folder of a partition without value is called.
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Property that names the folder of a JSON table's census.
+CENSUS = "tablewright.census"
+
+
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {row["key"]: row["value"] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
 def table_detail(spark: SparkSession, name: str, item: str) -> str | None:
@@ -35,22 +39,27 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
 def read_table(spark: SparkSession, db: str, table: str, schema: T.StructType | None = None) -> DataFrame:
     """A catalog table. JSON tables come with one column per field, choices as VARIANT.
 
-    The fields are those that the files have now, found by one pass; with a schema only its fields are
-    read, without that pass.
+    The fields are those that the files have now. They come from the table's census, for which only files
+    are read that are new since the last reading; with a schema only its fields are read, without that.
     """
-    df = spark.table(qualified(db, table))
-    if [f.dataType for f in df.schema.fields] == [T.VariantType()]:
-        return open_records(df, df.columns[0], schema)
-    return df
+    name = qualified(db, table)
+    df = spark.table(name)
+    if [f.dataType for f in df.schema.fields] != [T.VariantType()]:
+        return df
+    folder = None if schema else table_properties(spark, name).get(CENSUS)
+    if folder:
+        schema = files_schema(spark, table_detail(spark, name, "Location"), folder)
+    return open_records(df, df.columns[0], schema)
 
 
 def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str) -> None:
     """Make files under a path a catalog table, finding columns and partitions.
 
     parquet and orc bring their schema, csv takes its names from the header and types nothing, text
-    has one column per line. JSON becomes one VARIANT column; its fields are found when it is read. A
-    CSV file with another header than the table's fails the query that meets it. Registering again replaces the entry and leaves the files alone; a table that owns
-    its files is not replaced.
+    has one column per line. JSON becomes one VARIANT column; its fields are found when it is read, and
+    what each file holds is kept in a folder of the database. A CSV file with another header than the
+    table's fails the query that meets it. Registering again replaces the entry and leaves the files
+    alone; a table that owns its files is not replaced.
     """
     name = qualified(db, table)
     options = {
@@ -70,6 +79,9 @@ def register_path(spark: SparkSession, db: str, table: str, path: str, fmt: str)
     spark.sql(f"CREATE TABLE {name} {columns} USING {fmt} {options[fmt]} LOCATION {sql_text(path)}")
     if partition_columns(spark, name):
         spark.sql(f"MSCK REPAIR TABLE {name}")
+    if fmt == "json":
+        folder = f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}.census/{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({sql_text(CENSUS)} = {sql_text(folder)})")
 
 
 def register_log(spark: SparkSession, db: str, table: str, path: str, pattern: str) -> None:

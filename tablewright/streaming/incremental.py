@@ -1,44 +1,54 @@
 """Incremental loads: each run reads only files that no earlier run of the same job has loaded.
 
-The file source of Structured Streaming keeps the list of seen files in its checkpoint; a bookmark
-is such a checkpoint, one per job, context and generation. Resetting starts a new generation.
+A bookmark is a ledger of loaded files, a table of its own for every job, context and generation. New files are
+those of the listing without a row in the ledger. They are planned as a load, written, and entered into the
+ledger; a planned load that is not entered is done again, with the same files and under the same name. Resetting
+starts a new generation.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.names import identifier, qualified, quote, sql_text
+from tablewright.names import identifier, qualified, quote
 from tablewright.sources.files import read_csv_named
-from tablewright.sources.sinks import add_missing_columns, clustered, create_table, table_order
+from tablewright.sources.schema import grow_schema
+from tablewright.sources.sinks import clustered, create_table, insert, table_order
 
 LOAD_ID = "load_id"
 _RESETS = "job string, ctx string, at timestamp"
+_LEDGER = "file string, modified timestamp, length bigint, name string"
 
-# The columns of Spark's binary file source, and its options about which files there are.
-_FILES = "path string, modificationTime timestamp, length bigint, content binary"
-_FINDING = ("pathGlobFilter", "recursiveFileLookup", "maxFileAge", "maxFilesPerTrigger", "latestFirst", "fileNameOnly")
+# Options of Spark's file sources about which files there are.
+_FINDING = ("pathGlobFilter", "recursiveFileLookup", "modifiedBefore", "modifiedAfter")
 
 
-def _resets(spark: SparkSession, state_root: str) -> DataFrame:
-    return spark.read.schema(_RESETS).parquet(f"{state_root.rstrip('/')}/resets")
+class LoadFailed(PySparkException):
+    """A planned load did not get into the table; the next run does it again."""
 
 
-def generation(spark: SparkSession, job: str, ctx: str, state_root: str) -> int:
-    """How often the bookmark has been reset."""
+def _read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What was written there, or nothing."""
     try:
-        return _resets(spark, state_root).filter((F.col("job") == job) & (F.col("ctx") == ctx)).count()
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in (error.getCondition() or ""):
-            return 0
+            return spark.createDataFrame([], schema)
         raise
 
 
+def generation(spark: SparkSession, job: str, ctx: str, state_root: str) -> int:
+    """How often the bookmark has been reset."""
+    resets = _read_state(spark, f"{state_root.rstrip('/')}/resets", _RESETS)
+    return resets.filter((F.col("job") == job) & (F.col("ctx") == ctx)).count()
+
+
 def reset_bookmark(spark: SparkSession, job: str, ctx: str, state_root: str) -> None:
     """Forget what the job has read: its next run loads all files again, beside the rows it has loaded."""
     entry = spark.sql("SELECT :job AS job, :ctx AS ctx, current_timestamp() AS at", {"job": job, "ctx": ctx})
@@ -54,13 +64,10 @@ def store_load(batch: DataFrame, db: str, table: str, path: str | None, partitio
         fields = plain + [partitions[p] for p in partition_by]
         ddl = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in fields)
         create_table(spark, db, table, f"{ddl}, {LOAD_ID} string", path, partition_by=[LOAD_ID, *partition_by])
-    add_missing_columns(batch, name)
-    view = f"load_{identifier(table)}_{load}"
-    table_order(clustered(batch, partition_by), name, without=[LOAD_ID]).createOrReplaceTempView(view)
-    dynamic = "".join(f", {quote(p)}" for p in partition_by)
-    # Static overwrite of one load_id: replaying a batch cannot double its rows, other loads stay.
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({LOAD_ID} = {sql_text(load)}{dynamic}) SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
+    grow_schema(batch, name, [LOAD_ID, *partition_by])
+    rows = table_order(clustered(batch, partition_by), name, without=[LOAD_ID])
+    # Static overwrite of one load_id, whatever the session says: replaying a batch cannot double its rows.
+    insert(rows, name, True, {LOAD_ID: load, **dict.fromkeys(partition_by)})
 
 
 def incremental_load(
@@ -81,15 +88,14 @@ def incremental_load(
 ) -> int:
     """Load the new files under `source` through `transform` into a table; returns the batches written.
 
-    The state advances only when a batch is in the table; after a failure the same files are read
-    again under the same load_id, so nothing is lost or doubled. ctx=None keeps no state: every run
-    loads everything. max_files_per_batch splits a large first load into restartable pieces.
+    The ledger grows only when a batch is in the table; after a failure the same files are read again
+    under the same load_id, so nothing is lost or doubled. ctx=None keeps no state: every run loads
+    everything. max_files_per_batch splits a large first load into restartable pieces, and is what the
+    driver holds of names at most. A file is known by its path: one that is overwritten is not loaded
+    again. Runs of one job and context must not overlap.
 
     CSV columns are matched by the header of each file (read_csv_named); with the option header=false
-    by position. The stream itself only carries the names of new files.
-
-    The seen files of a job stay in its checkpoint and in the driver's memory while it runs: give a
-    source of many millions of files one job per prefix.
+    by position.
     """
     options = {"header": "true", **(options or {})} if fmt == "csv" else dict(options or {})
 
@@ -103,43 +109,67 @@ def incremental_load(
         store_load(batch, db, table, path, partition_by, f"all_{uuid.uuid4().hex}")
         return 1
 
-    # Without this age limit the source would skip files older than a week behind the newest one.
-    finding = {"maxFileAge": "36500d", "maxFilesPerTrigger": str(max_files_per_batch)}
-    finding |= {k: v for k, v in options.items() if k in _FINDING}
     number = generation(spark, job, ctx, state_root)
-    checkpoint = f"{state_root.rstrip('/')}/{identifier(job)}/{identifier(ctx)}/generation={number}"
-    written = 0
-
-    def load(batch: DataFrame, batch_id: int) -> None:
-        nonlocal written
-        # The query id belongs to the checkpoint: the same after a restart, another one for every
-        # job, context and generation, so that loads into one table never replace each other.
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query_id:
-            raise RuntimeError("the streaming query has no id to file the load under")
-        # At most max_files_per_batch names.
-        files = sorted(row["path"] for row in batch.select("path").collect())
-        if not files:
-            return
-        store_load(transform(read(files)), db, table, path, partition_by, f"{query_id.replace('-', '')}_{batch_id}")
-        written += 1
-
-    stream = spark.readStream.format("binaryFile").schema(_FILES).options(**finding).load(source).select("path")
-    query = (
-        stream.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    state = f"{state_root.rstrip('/')}/{identifier(job)}/{identifier(ctx)}/generation={number}"
+    finding = {k: v for k, v in options.items() if k in _FINDING}
     try:
-        query.awaitTermination()
+        written = _finish(spark, state, read, transform, db, table, path, partition_by)
+        waiting = f"{state}/waiting/{uuid.uuid4().hex}"
+        _new_files(spark, source, state, finding).write.parquet(waiting)
+        while _plan(spark, state, waiting, max_files_per_batch):
+            written += _finish(spark, state, read, transform, db, table, path, partition_by)
     finally:
-        # Batches run in a session of their own; the caller's may still list files they replaced.
+        # The caller's session may still list files that were replaced.
         if spark.catalog.tableExists(qualified(db, table)):
             spark.catalog.refreshTable(qualified(db, table))
     return written
 
 
+def _new_files(spark: SparkSession, source: str, state: str, finding: dict[str, str]) -> DataFrame:
+    """The listed files that no load has taken: a join of two tables, not a list in the driver."""
+    files = spark.read.format("binaryFile").options(**finding).load(source)
+    files = files.select(F.col("_metadata.file_path").alias("file"), F.col("modificationTime").alias("modified"), "length")
+    return files.join(_ledger(spark, state).select("file"), "file", "left_anti")
+
+
+def _ledger(spark: SparkSession, state: str) -> DataFrame:
+    return _read_state(spark, f"{state}/ledger", _LEDGER)
+
+
+def _plan(spark: SparkSession, state: str, waiting: str, most: int) -> bool:
+    """Write down the files of the next load, oldest first; False if none are left."""
+    files = spark.read.parquet(waiting).join(_ledger(spark, state).select("file"), "file", "left_anti")
+    chosen = files.orderBy("modified", "file").limit(most).withColumn("name", F.lit(uuid.uuid4().hex))
+    chosen.write.mode("overwrite").parquet(f"{state}/planned")
+    return not spark.read.schema(_LEDGER).parquet(f"{state}/planned").isEmpty()
+
+
+def _finish(
+    spark: SparkSession,
+    state: str,
+    read: Callable[[list[str]], DataFrame],
+    transform: Callable[[DataFrame], DataFrame],
+    db: str,
+    table: str,
+    path: str | None,
+    partition_by: Sequence[str],
+) -> int:
+    """Do the planned load, unless it is in the ledger already."""
+    planned = _read_state(spark, f"{state}/planned", _LEDGER)
+    planned = planned.join(_ledger(spark, state).select("name").distinct(), "name", "left_anti").select("file", "modified", "length", "name")
+    # At most max_files_per_batch names.
+    rows = planned.collect()
+    if not rows:
+        return 0
+    files = sorted(unquote(row["file"]) for row in rows)
+    try:
+        store_load(transform(read(files)), db, table, path, partition_by, f"load_{rows[0]['name']}")
+    except Exception as error:
+        raise LoadFailed(f"load {rows[0]['name']} of {len(files)} files failed and will be repeated by the next run: {error}") from error
+    spark.createDataFrame(rows, _LEDGER).coalesce(1).write.mode("append").parquet(f"{state}/ledger")
+    return 1
+
+
 def read_loaded(spark: SparkSession, db: str, table: str) -> DataFrame:
     """The loaded rows, without the column that tells the loads apart."""
     return spark.table(qualified(db, table)).drop(LOAD_ID)

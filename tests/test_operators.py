@@ -25,6 +25,7 @@ from tablewright.operators import (
     unmatched,
     with_counters,
 )
+from tablewright.operators.joins import heavy_keys
 from tests import fixtures
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -377,3 +378,42 @@ def test_lenient_mapping_survives_what_breaks_a_plain_cast(spark):
     with pytest.raises(PySparkException):
         df.select(F.col("x").cast("double")).collect()
     assert apply_mapping(df, [("x", "string", "x", "double")]).first()[0] is None
+
+
+def test_digits_in_arrays_and_maps_stay(spark):
+    df = open_records(records(spark, [{"xs": [123456789012345678, 0.5], "o": [{"n": 1}, {"n": 1.5}], "w": [1, 2]}]))
+    assert dict(df.dtypes) == {"o": "array<struct<n:variant>>", "w": "array<bigint>", "xs": "array<variant>"}
+    out = resolve_choice(df, choice="make_struct").first()
+    assert [(x.long, x.double) for x in out.xs] == [(123456789012345678, None), (None, 0.5)]
+    assert [(x.n.long, x.n.double) for x in out.o] == [(1, None), (None, 1.5)]
+
+
+@pytest.mark.parametrize("hot", ["left", "right", "both", "neither"])
+def test_full_join_by_heavy_keys(spark, hot):
+    draw = random.Random(hot)
+    many = [(1, f"l{i % 3}") for i in range(700)] + [(2, "x")] * 90
+    few = [(i, f"r{i}") for i in (1, 1, 2, 2, 5, 6)]
+    left = [(draw.choice([None, *range(3, 40)]), f"a{i}") for i in range(60)] + (many if hot in ("left", "both") else few)
+    right = [(draw.choice([None, *range(20, 60)]), f"b{i}") for i in range(60)] + (many[:300] if hot in ("right", "both") else few)
+    a, b = spark.createDataFrame(left, "key int, l string").repartition(5), spark.createDataFrame(right, "key bigint, r string")
+    got = enrich(a, b, "key", ["r"], how="full")
+    want = a.join(b.select(F.col("key").cast("bigint").alias("key"), "r"), "key", "full")
+    assert got.columns == ["key", "l", "r"] and tuples(got) == tuples(want)
+
+
+def test_full_join_over_two_keys_cuts_a_hot_one(spark):
+    lines = spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, 1, id % 997) AS a", "if(id % 3 = 0, 'x', cast(id % 7 as string)) AS b", "id")
+    dim = spark.range(1000).selectExpr("id AS a", "'x' AS b", "id * 2 AS v")
+    assert list(heavy_keys(lines, ["a", "b"]).values()) == [-(-20_000 * 256 // 60_000)]
+    got = enrich(lines, dim, ["a", "b"], ["v"], how="full")
+    assert tuples(got) == tuples(lines.join(dim, ["a", "b"], "full"))
+    settings_ = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings_.items():
+        spark.conf.set(name, value)
+    try:
+        parts = got.where("a = 1 AND b = 'x'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for name in settings_:
+            spark.conf.unset(name)
+    # As even as eight partitions can be.
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 20_000 / 4

@@ -1,9 +1,11 @@
 import os
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.plans.inventory import inventory_report, table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
@@ -28,6 +30,11 @@ from tablewright.operators import resolve_choice
 from tablewright.sources.tables import is_at
 from tablewright.streaming import incremental_load, read_loaded, reset_bookmark
 from tablewright.plans.programs import SERVICE_LOG_PATTERN
+from tablewright.sources.files import file_heads, read_csv_named
+from tablewright.sources.keyed import divided, even_bits, parts_of
+from tablewright.sources.schema import common_type
+from tablewright.sources.tables import table_properties
+from tablewright.streaming import store_load
 from tests import fixtures
 from tests.test_operators import tuples
 
@@ -549,3 +556,226 @@ def test_log_view_matches_a_line_once(spark, lake):
     assert plan.count("regexp_replace(value") == 1
     parsed, _ = read_log(spark, lake["serverlog"], SERVICE_LOG_PATTERN)
     assert tuples(read_table(spark, "raw", "typed")) == tuples(parsed)
+
+
+# schemas that grow
+
+def _type(text):
+    return T.DataType.fromDDL(text)
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "want"),
+    [
+        ("int", "bigint", "bigint"),
+        ("tinyint", "smallint", "smallint"),
+        ("float", "int", "double"),
+        ("date", "timestamp_ntz", "timestamp_ntz"),
+        ("int", "decimal(5,2)", "decimal(12,2)"),
+        ("decimal(10,4)", "decimal(12,2)", "decimal(14,4)"),
+        ("struct<a:int,b:string>", "struct<B:string,c:date,A:bigint>", "struct<a:bigint,b:string,c:date>"),
+        ("array<struct<a:int>>", "array<struct<a:int,b:array<int>>>", "array<struct<a:int,b:array<int>>>"),
+        ("map<string,int>", "map<string,bigint>", "map<string,bigint>"),
+        ("void", "struct<a:int>", "struct<a:int>"),
+    ],
+)
+def test_common_types(a, b, want):
+    assert common_type(_type(a), _type(b)).simpleString().lower() == want
+    assert common_type(_type(b), _type(a)).simpleString().replace("B:", "b:").lower().count(":") == want.count(":")
+
+
+@pytest.mark.parametrize(("a", "b"), [("bigint", "double"), ("string", "int"), ("struct<x:string>", "struct<x:int>"), ("array<int>", "int"), ("decimal(38,0)", "decimal(38,10)")])
+def test_types_without_a_common_one(a, b):
+    with pytest.raises(TypeError, match="no type holds both"):
+        common_type(_type(a), _type(b), "c")
+
+
+@pytest.mark.parametrize("path", [True, False])
+def test_nested_growth_keeps_rows_and_properties(spark, db, tmp_path, path):
+    where = f"{tmp_path}/t" if path else None
+    location = f"LOCATION '{where}'" if path else ""
+    spark.sql(
+        f"CREATE TABLE {db}.t (s STRUCT<a: INT> COMMENT 'what it is', xs ARRAY<STRUCT<n: INT>>, m MAP<STRING, INT>, p STRING) USING parquet "
+        f"PARTITIONED BY (p) {location} TBLPROPERTIES ('owner_team' = 'sales')"
+    )
+    first = spark.sql("SELECT named_struct('a', 1) AS s, array(named_struct('n', 1), NULL) AS xs, map('k', 1) AS m, 'x' AS p")
+    write_table(first, db, "t", partition_by=["p"])
+    large = 1 << 40
+    second = spark.sql(
+        f"SELECT 'y' AS p, map('k', {large}L) AS m, array(named_struct('more', 'z', 'n', {large}L)) AS xs, named_struct('b', 'new', 'a', {large}L) AS s, 7 AS extra"
+    )
+    write_table(second, db, "t", partition_by=["p"])
+    write_table(first, db, "t", partition_by=["p"])
+    out = read_table(spark, db, "t")
+    assert out.schema.simpleString() == (
+        "struct<s:struct<a:bigint,b:string>,xs:array<struct<n:bigint,more:string>>,m:map<string,bigint>,extra:int,p:string>"
+    )
+    old = ((1, None), [(1, None), None], {"k": 1}, None, "x")
+    assert tuples(out) == sorted([old, old, ((large, "new"), [(large, "z")], {"k": large}, 7, "y")], key=repr)
+    assert table_properties(spark, f"{db}.t")["owner_team"] == "sales"
+    comments = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {db}.t").collect()}
+    assert comments["s"] == "what it is"
+    with pytest.raises(TypeError, match="s.a"):
+        write_table(second.withColumn("s", F.struct(F.lit("text").alias("a"))), db, "t", partition_by=["p"])
+
+
+def test_partition_types_of_files_that_are_there(spark, db, tmp_path):
+    df = spark.createDataFrame([(1, 7, "007", None), (2, 8, "8", 5)], "x int, n int, code string, k int")
+    write_table(df, db, "t", f"{tmp_path}/t", ["n", "code", "k"])
+    drop_table(spark, db, "t")
+    again = spark.createDataFrame([(3, 9, 9, 6)], "x int, n int, code int, k int")
+    write_table(again, db, "t", f"{tmp_path}/t", ["n", "code", "k"])
+    out = read_table(spark, db, "t")
+    # 007 is no number that Spark would spell so.
+    assert dict(out.dtypes) == {"x": "int", "n": "int", "code": "string", "k": "int"}
+    assert tuples(out) == [(1, 7, "007", None), (2, 8, "8", 5), (3, 9, "9", 6)]
+    with pytest.raises(TypeError, match="'n'"):
+        write_table(again.withColumn("n", F.lit("text")), db, "t", partition_by=["n", "code", "k"])
+
+
+def test_files_with_different_columns_become_a_table(spark, db, tmp_path):
+    spark.createDataFrame([(1, "a")], "x int, y string").write.parquet(f"{tmp_path}/t")
+    spark.createDataFrame([(2, True)], "x int, z boolean").write.mode("append").parquet(f"{tmp_path}/t")
+    write_table(spark.createDataFrame([(1 << 40,)], "x bigint"), db, "t", f"{tmp_path}/t")
+    assert tuples(read_table(spark, db, "t").select("x", "y", "z")) == [(1, "a", None), (1 << 40, None, None), (2, None, True)]
+
+
+def test_a_replayed_load_replaces_all_of_it_under_dynamic_overwrite(spark, db, tmp_path):
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")
+    try:
+        df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, p string")
+        store_load(df, db, "t", f"{tmp_path}/t", ["p"], "one")
+        store_load(df, db, "t", f"{tmp_path}/t", ["p"], "two")
+        store_load(df.where("p = 'a'"), db, "t", f"{tmp_path}/t", ["p"], "one")
+        assert spark.conf.get(mode) == "dynamic"
+    finally:
+        spark.conf.unset(mode)
+    assert tuples(spark.table(f"{db}.t").select("load_id", "x")) == [("one", 1), ("two", 1), ("two", 2)]
+
+
+# the census of JSON files
+
+def test_only_new_files_are_looked_into(spark, db, tmp_path):
+    _csv(tmp_path / "j/1.json", '{"a": 1 , "l": [{"n": 1}]}\n')
+    register_path(spark, db, "j", f"{tmp_path}/j", "json")
+    assert dict(read_table(spark, db, "j").dtypes) == {"a": "bigint", "l": "array<struct<n:bigint>>"}
+    # Another text of the same length and time would be noticed by reading it only.
+    first = tmp_path / "j/1.json"
+    seen = first.stat()
+    first.write_text('{"a":"x", "l": [{"n": 1}]}\n')
+    os.utime(first, ns=(seen.st_atime_ns, seen.st_mtime_ns))
+    _csv(tmp_path / "j/2.json", '{"a": 2, "l": [{"n": 0.5, "m": [123456789012345678, 0.5]}]}\n')
+    _csv(tmp_path / "j/empty.json", "")
+    spark.catalog.refreshTable(f"{db}.j")
+    assert dict(read_table(spark, db, "j").dtypes) == {"a": "bigint", "l": "array<struct<m:array<variant>,n:variant>>"}
+    os.utime(first, (2_000_000_000, 2_000_000_000))
+    spark.catalog.refreshTable(f"{db}.j")
+    assert dict(read_table(spark, db, "j").dtypes)["a"] == "variant"
+    first.unlink()
+    spark.catalog.refreshTable(f"{db}.j")
+    assert dict(read_table(spark, db, "j").dtypes)["a"] == "bigint"
+    assert read_table(spark, db, "j").count() == 1
+
+
+def test_census_of_a_path(spark, tmp_path):
+    _csv(tmp_path / "j/1.json", '{"a": {"b": [[1], [2, "x"]]}}\n')
+    for _ in range(2):
+        df = read_json_records(spark, f"{tmp_path}/j", census=f"{tmp_path}/census")
+        assert df.dtypes == [("a", "struct<b:array<array<variant>>>")]
+    deep = '{"v": ' * 9 + "1" + "}" * 9
+    _csv(tmp_path / "j/2.json", deep + "\n")
+    df = read_json_records(spark, f"{tmp_path}/j", census=f"{tmp_path}/census")
+    assert dict(df.dtypes)["v"].count("struct<v:") == 8
+    _csv(tmp_path / "none/1.json", "[1, 2]\n")
+    with pytest.raises(ValueError, match="no JSON objects"):
+        read_json_records(spark, f"{tmp_path}/none")
+
+
+# headers and loads
+
+def test_headers_come_from_the_heads_of_files(spark, tmp_path):
+    import gzip
+
+    _csv(tmp_path / "in/a b,ü.csv", "\ufeffx,y\r\n1,2\r\n")
+    (tmp_path / "in/z.csv.gz").write_bytes(gzip.compress(b"x,y\n3,4\n"))
+    _csv(tmp_path / "in/empty.csv", "")
+    assert {r.head for r in file_heads(spark, f"{tmp_path}/in").collect()} == {"x,y"}  # Spark lists no empty file
+    df = read_csv_named(spark, f"{tmp_path}/in", "x int, y int")
+    assert tuples(df) == [(1, 2), (3, 4)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "text" not in plan.replace(str(tmp_path), "").lower()
+
+
+def test_headers_where_python_cannot_open_the_store(spark, tmp_path, monkeypatch):
+    from tablewright.sources import files
+
+    _csv(tmp_path / "in/a.csv", "x,y\n1,2\n")
+    _csv(tmp_path / "in/b.csv", "\ufeffy,x\n4,3\n")
+    nothing = lambda batches: (pa.RecordBatch.from_arrays([b.column("file"), pa.nulls(b.num_rows, pa.string())], names=["file", "head"]) for b in batches)
+    monkeypatch.setattr(files, "_first_lines", nothing)
+    assert tuples(read_csv_text(spark, f"{tmp_path}/in")) == [("1", "2"), ("3", "4")]
+
+
+def test_a_failed_load_keeps_its_files_and_name(spark, db, tmp_path):
+    from tablewright.streaming import incremental
+
+    fixtures.write_orders(f"{tmp_path}/in", "1.csv", fixtures.orders(5))
+    with pytest.raises(incremental.LoadFailed, match="boom"):
+        load(spark, db, tmp_path, lambda df: df.withColumn("boom", F.raise_error(F.lit("boom")).cast("string")))
+    state = f"{tmp_path}/state/job/src/generation=0"
+    planned = spark.read.parquet(f"{state}/planned").collect()
+    # What arrives meanwhile is another load.
+    fixtures.write_orders(f"{tmp_path}/in", "2.csv", fixtures.orders(7))
+    assert load(spark, db, tmp_path) == 2
+    names = {r.load_id: r["count"] for r in spark.table(f"{db}.t").groupBy("load_id").count().collect()}
+    assert names[f"load_{planned[0].name}"] == 5 and sorted(names.values()) == [5, 7]
+    ledger = spark.read.parquet(f"{state}/ledger")
+    assert ledger.count() == 2 and ledger.select("name").distinct().count() == 2
+    plan = incremental._new_files(spark, f"{tmp_path}/in", state, {})._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and load(spark, db, tmp_path) == 0
+
+
+# parts of keyed tables
+
+def test_bits_of_parts():
+    assert even_bits(1) == [""] and even_bits(2) == ["0", "1"] and even_bits(3) == ["00", "01", "1"] and len(even_bits(6)) == 6
+    assert divided("01", 100, 100) == ["01"] and divided("01", 101, 100) == ["010", "011"] and len(divided("", 700, 100)) == 8
+
+
+def test_only_the_part_that_outgrew_its_size_divides(spark, db, tmp_path):
+    df = spark.range(4000).selectExpr("cast(id as string) AS k", "sha2(cast(id as string), 512) AS v")
+    upsert_keyed(df, db, "t", "k", f"{tmp_path}/t", buckets=4)
+    spark.sql(f"ALTER TABLE {db}.t SET TBLPROPERTIES ('owner_team' = 'sales')")
+    name = f"{db}.t"
+    before = {p.bits: p for p in parts_of(spark, name)}
+    assert list(before) == ["00", "01", "10", "11"] and min(p.bytes for p in before.values()) > 50_000
+    files = {r[0] for r in table_files(spark, db, "t").select("file_path").collect()}
+    upsert_keyed(df.limit(1), db, "t", "k", f"{tmp_path}/t", part_bytes=min(p.bytes for p in before.values()) // 2)
+    after = {p.bits: p for p in parts_of(spark, name)}
+    same = [b for b in before if after.get(b) == before[b]]
+    assert len(same) == 3 and len(after) == 7
+    assert len(files & {r[0] for r in table_files(spark, db, "t").select("file_path").collect()}) >= 3
+    assert table_properties(spark, name)["owner_team"] == "sales"
+    assert read_keyed(spark, db, "t").count() == read_keyed(spark, db, "t").select("k").distinct().count() == 4000
+    upsert_keyed(spark.createDataFrame([("5", "new"), ("x", "y")], "k string, v string"), db, "t", "k", f"{tmp_path}/t")
+    assert {r.k: r.v for r in read_keyed(spark, db, "t").where("k IN ('5', 'x')").collect()} == {"5": "new", "x": "y"}
+    assert read_keyed(spark, db, "t").count() == 4001
+
+
+def test_an_upsert_that_dies_changes_nothing(spark, db, tmp_path, monkeypatch):
+    from tablewright.sources import keyed
+
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(50)], "k string, v int")
+    upsert_keyed(df, db, "t", "k", f"{tmp_path}/t", buckets=3)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(keyed, "_commit", dies)
+    with pytest.raises(RuntimeError):
+        upsert_keyed(df.withColumn("v", -F.col("v")), db, "t", "k", f"{tmp_path}/t")
+    monkeypatch.undo()
+    assert tuples(read_keyed(spark, db, "t")) == tuples(df)
+    upsert_keyed(df.limit(1).withColumn("v", F.lit(-1)), db, "t", "k", f"{tmp_path}/t")
+    assert spark.table(f"{db}.t").count() == 50 and spark.sql(f"SHOW PARTITIONS {db}.t").count() == 3
