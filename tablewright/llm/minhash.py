@@ -3,17 +3,17 @@
 Shingles are `SHINGLE` consecutive words (words as they stand; a text of fewer words is one shingle). Each
 shingle is a Poisson process whose rate is its weight; every arrival falls on one register of the signature,
 which keeps the earliest. A process ends as soon as its next arrival is later than all registers hold. Two
-signatures agree in a register with the probability Jaccard similarity of the weighted shingles. Texts are
-signed with equal weights, however often a shingle occurs: then that is the Jaccard similarity of their
-shingle sets, by which texts that agree in a band of registers are compared, and linked at `threshold` or
-more. Classes are the connected components of the links.
-
-Texts of equal words are one node from the start (by a 64-bit hash of the words). Of the texts that share a
-band no pair is handed on before their signatures are compared, in blocks of bounded size inside the tasks.
-First each block hands on a spanning forest of its similar pairs, the most similar first, which is as many
-pairs as it has texts at most; they are verified and connected. Then the pairs follow that could still link
-two components. A pair is passed over only if its signatures agree in less than `LEAST_ESTIMATE` of the
-registers, which at the threshold is four standard deviations off; nothing is capped.
+signatures agree in a register with the probability Jaccard similarity of the weighted shingles. The weight is
+1 + ln of how often the shingle occurs; a text in which some occur again is signed a second time with equal
+weights, which estimates the Jaccard similarity of the shingle sets. (Without repetitions both are the same.)
+
+Texts of equal words are one node from the start (by 128 bits of hashes). Texts that agree in a band of
+registers, of either signature, form a block, named by the least of them. In each cell (two pieces of a block,
+bounded in texts and shingles) all pairs are verified: shared shingles are counted exactly, by a sparse matrix
+product, and pairs link whose shingle sets have a Jaccard similarity of `threshold` or more. A cell hands on a
+spanning forest of its verified links, no more than it has texts, so no group of copies becomes pairs; texts
+cross a shuffle once for each block that they are in, not for each pair. Nothing is capped or estimated after
+the bands. Classes are the connected components of the links.
 
 Null and empty texts have no words and are copies of each other. Rows repeated or of equal doc_id are rows
 of their own. A class is named by its least doc_id (null if none of its rows has one). An empty table gives
@@ -29,45 +29,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.llm import jaccard
 from tablewright.llm.components import components
 from tablewright.llm.flat import flat_text, mixed, rolling_hash, slices, span_hash, word_spans
-from tablewright.llm.substring import packed, release, unpacked
+from tablewright.llm.substring import release, unpacked
 from tablewright.session import materialize
 
 SHINGLE = 5
 THRESHOLD = 0.8
-# A pair at the threshold shares no band with probability 0.0001, one at 0.3 shares one with 0.02.
+# A pair at the threshold shares no band of a signature with probability 0.0001, one at 0.3 shares one with 0.02.
 BANDS, ROWS = 30, 6
-LEAST_ESTIMATE = 0.68
-BLOCK = 1024
+# Texts and shingles of a piece at most.
+PIECE_TEXTS, PIECE_SHINGLES = 4096, 1 << 20
 
-_LOW = np.uint64((1 << 44) - 1)
+_SALTS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_NO_WORDS = -1
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text and hash (44 bits) of every shingle, and a hash of each text's words (0: no words)."""
+def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Text and hash of every shingle, and two hashes of each text's words (0: no words)."""
     starts, ends, first = word_spans(data, offsets)
     words = span_hash(data, starts, ends)
     size = np.diff(first)
     doc = np.repeat(np.arange(len(size)), size)
-    whole = np.zeros(len(size), np.uint64)
     filled = size > 0
-    if filled.any():
-        place = (np.arange(len(words)) - first[doc]).astype(np.uint64)
-        summed = np.add.reduceat(mixed(words + mixed(place)), first[:-1][filled])
-        whole[filled] = mixed(summed + size[filled].astype(np.uint64))
+    place = (np.arange(len(words)) - first[doc]).astype(np.uint64)
+    wholes = []
+    for salt in _SALTS:
+        whole = np.zeros(len(size), np.uint64)
+        if filled.any():
+            summed = np.add.reduceat(mixed(words + mixed(place + salt)), first[:-1][filled])
+            whole[filled] = mixed(summed + size[filled].astype(np.uint64))
+        wholes.append(whole)
     at = np.flatnonzero(np.arange(len(words)) + SHINGLE <= first[1:][doc]) if len(words) else np.zeros(0, np.int64)
     short = np.flatnonzero(filled & (size < SHINGLE))
     found = rolling_hash(words, SHINGLE)[at] if len(at) else np.zeros(0, np.uint64)
-    return np.r_[doc[at], short], np.r_[found, whole[short]] & _LOW, whole
+    return np.r_[doc[at], short], np.r_[found, wholes[0][short]], wholes
 
 
 def distinct(doc: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each text's different shingles, in order, and how often they occur. Fewer than 2**20 texts."""
-    keys = np.sort((doc.astype(np.uint64) << np.uint64(44)) | code)
-    opens = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    kept = keys[opens]
-    return (kept >> np.uint64(44)).astype(np.int64), kept & _LOW, np.diff(np.r_[opens, len(keys)])
+    """Each text's different shingles, by text, and how often they occur."""
+    order = np.argsort(code)
+    small = np.uint16 if int(doc.max(initial=0)) < 1 << 16 else np.int64  # Numbers of 16 bits are sorted by radix.
+    order = order[np.argsort(doc[order].astype(small), kind="stable")]
+    doc, code = doc[order], code[order]
+    opens = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])]) if len(code) else np.zeros(0, np.int64)
+    return doc[opens], code[opens], np.diff(np.r_[opens, len(code)])
 
 
 def signatures(doc: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int, registers: int) -> np.ndarray:
@@ -92,171 +99,136 @@ def signatures(doc: np.ndarray, code: np.ndarray, weight: np.ndarray, n: int, re
     return winner.reshape(n, registers)
 
 
-def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, x (a hash of the text), node (of its words; 0: none), bands, signature (16 bits a register)."""
+def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A hash of each band of each signature."""
+    keys = np.zeros((len(signature), bands), np.uint64)
+    for i in range(rows):
+        keys = mixed(keys + signature[:, i::rows])
+    return mixed(keys + np.arange(bands, dtype=np.uint64)[None, :])
+
+
+def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, with_bands: bool = True) -> DataFrame:
+    """doc_id, x (a hash of the text), one and two (hashes of its words; 0: none), and n (shingles) and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            doc, code, whole = shingles(*flat_text(batch.column("text")))
-            doc, code, _ = distinct(doc, code)
-            found = signatures(doc, code, np.ones(len(doc)), batch.num_rows, bands * rows)
-            keys = np.zeros((batch.num_rows, bands), np.uint64)
-            for i in range(rows):
-                keys = mixed(keys + found[:, i::rows])
-            keys = mixed(keys + np.arange(bands, dtype=np.uint64)[None, :])
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * bands, pa.int32()), pa.array(keys.ravel().view(np.int64)))
-            short = pa.array([row.tobytes() for row in (found & np.uint64(0xFFFF)).astype(np.uint16)], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("x"), pa.array(whole.view(np.int64)), lists, short],
-                names=["doc_id", "x", "node", "bands", "signature"],
-            )
-
-    keyed = docs.select(F.col("doc_id").cast("long"), text_hash().alias("x"), "text")
-    return keyed.mapInArrow(run, "doc_id long, x long, node long, bands array<long>, signature binary")
+            doc, code, wholes = shingles(*flat_text(batch.column("text")))
+            columns = [batch.column("doc_id"), batch.column("x"), *(pa.array(w.view(np.int64)) for w in wholes)]
+            names = ["doc_id", "x", "one", "two"]
+            if with_bands:
+                doc, code, count = distinct(doc, code)
+                n = np.bincount(doc, minlength=batch.num_rows)
+                found = signatures(doc, code, np.ones(len(doc)), batch.num_rows, bands * rows)
+                texts, keys = [np.flatnonzero(n)], [band_keys(found, bands, rows)[n > 0]]
+                again = np.unique(doc[count > 1])  # texts with weights that are not all equal
+                own = np.isin(doc, again)
+                found = signatures(np.searchsorted(again, doc[own]), code[own], 1 + np.log(count[own]), len(again), bands * rows)
+                texts.append(again)
+                keys.append(band_keys(found, bands, rows))
+                owner = np.repeat(np.concatenate(texts), bands)
+                order = np.argsort(owner, kind="stable")
+                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=batch.num_rows))]
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).ravel()[order].view(np.int64)))
+                columns, names = [*columns, pa.array(n, pa.int64()), lists], [*names, "n", "bands"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("x"), "text")
+    return keyed.mapInArrow(run, "doc_id long, x long, one long, two long" + (", n long, bands array<long>" if with_bands else ""))
 
 
 def text_hash():
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (u, v) whose texts' shingle sets have at least that Jaccard similarity."""
+class Texts(jaccard.Side):
+    """Some texts of a cell, with their shingles."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in unpacked(batches):
-            sides = []
-            names = [n for n in batch.schema.names if n != "text"]
-            left = next(iter(unpacked(iter([pa.RecordBatch.from_arrays([batch.column("_left")], names=["_text"])]), 1 << 62)))
-            for column in (left.column("text"), batch.column("text")):
-                doc, code, _ = shingles(*flat_text(column))
-                sides.append(distinct(doc, code)[:2])
-            n = batch.num_rows
-            keys = np.sort(np.concatenate([(d.astype(np.uint64) << np.uint64(44)) | c for d, c in sides]))
-            shared = np.bincount((keys[1:][keys[1:] == keys[:-1]] >> np.uint64(44)).astype(np.int64), minlength=n)
-            total = sum(np.bincount(d, minlength=n) for d, _ in sides) - shared
-            good = pa.array(shared >= threshold * total - 1e-9)
-            del names
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(good) for c in ("u", "v")], names=["u", "v"])
-
-    left = pairs.join(texts.select(F.col("node").alias("u"), F.col("_text").alias("_left")), "u")
-    both = left.join(texts.select(F.col("node").alias("v"), "_text"), "v").select("u", "v", "_left", "_text")
-    return both.mapInArrow(run, "u long, v long")
-
-
-def _forest(similar: np.ndarray, n: int) -> list[int]:
-    """Which of the pairs (rows of two numbers below n, best first) connect what is not connected yet."""
-    parent = list(range(n))
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for i, (a, b) in enumerate(similar.tolist()):
-        a, b = root(a), root(b)
-        if a != b:
-            parent[a] = b
-            kept.append(i)
-    return kept
-
-
-def _candidates(members: DataFrame, registers: int, forest: bool) -> DataFrame:
-    """Pairs u < v of different components that share a band and whose signatures agree often enough.
-
-    `members` has band, n (texts in the band), node, component, signature. A band is cut into blocks of
-    about BLOCK texts, and each two blocks of it meet in one task.
-    """
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), parts).cast("int")
-    # A text goes to the cells of its block with every block of the band.
-    cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))
-    dealt = members.select("band", "node", "component", "signature", mine.alias("block"), F.explode(cells).alias("cell"))
-    dealt = dealt.select("band", "cell.i", "cell.j", "block", "node", "component", "signature")
-
-    def compare(key: tuple, table: pa.Table) -> pa.Table:
+    def __init__(self, table: pa.Table) -> None:
+        table = table.take(pa.array(np.argsort(table["n"].to_numpy(), kind="stable")))
+        self.id, self.n = table["id"].to_numpy(), table["n"].to_numpy()
+        rows, codes, before = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+        for batch in unpacked(iter(table.select(["_text"]).to_batches())):
+            row, code, _ = distinct(*shingles(*flat_text(batch.column("text")))[:2])
+            rows.append(row + before)
+            codes.append(code)
+            before += batch.num_rows
+        nothing = np.zeros(0, np.int64)
+        self.entries = {"grams": (np.concatenate(rows), np.concatenate(codes)), "pivots": (nothing, nothing)}
+
+
+def _verified(hundredths: int):
+    def links(key: tuple, table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
-        node, component = table["node"].to_numpy(), table["component"].to_numpy()
         block = table["block"].to_numpy()
-        found = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint16).reshape(len(node), registers)
-        least = int(np.ceil(LEAST_ESTIMATE * registers))
-        pairs, agree = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.int64)]
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block == j)
-        for a in left:
-            others = right[right > a] if i == j else right
-            others = others[component[others] != component[a]]
-            same = (found[others] == found[a]).sum(axis=1)
-            near = same >= least
-            pairs.append(np.c_[np.full(int(near.sum()), a), others[near]])
-            agree.append(same[near])
-        pair, score = np.concatenate(pairs), np.concatenate(agree)
-        if forest:
-            pair = pair[np.argsort(-score, kind="stable")]
-            pair = pair[_forest(pair, len(node))]
-        u, v = node[pair[:, 0]], node[pair[:, 1]]
-        return pa.table([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
-
-    return dealt.groupBy("band", "i", "j").applyInArrow(compare, "u long, v long").distinct()
-
-
-def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, x, node, component: the class of each row. Rows of one component are near duplicates."""
+        left = Texts(table.take(pa.array(np.flatnonzero(block == i))))
+        right = left if i == j else Texts(table.take(pa.array(np.flatnonzero(block == j))))
+        found, _ = jaccard.linked(left, right, hundredths)
+        if i == j:
+            np.fill_diagonal(found, False)
+        edges = np.array(jaccard.forest(found, i == j), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(left.id[edges[:, 0]]), pa.array(right.id[edges[:, 1]])], names=["u", "v"])
+
+    return links
+
+
+def _nodes(docs: DataFrame, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, x, one, two), and the nodes (one, two, component, and the least row: doc_id, x)."""
     spark = docs.sparkSession
-    every = materialize(signed(docs, bands, rows), label="signatures")
-    # One document stands for each node: that of least doc_id.
+    every = materialize(signed(docs, with_bands=False), label="words")
     order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "x")
-    nodes = every.where("node <> 0").groupBy("node").agg(F.min_by(F.struct("bands", "signature", "doc_id", "x"), order).alias("row"))
-    nodes = materialize(nodes.select("node", "row.*"), label="nodes")
-    member = nodes.select("node", F.explode("bands").alias("band"))
-    # Written first: behind an aggregation in the same stage Spark could not split the join on a band that
-    # many share.
-    groups = materialize(member.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), label="bands")
-    member = materialize(member.join(groups, "band"), label="members")
+    nodes = signed(docs, bands, rows).where("n > 0").groupBy("one", "two")
+    nodes = nodes.agg(F.min_by(F.struct("doc_id", "x", "n", "bands"), order).alias("row"), F.count("*").alias("copies"))
+    nodes = materialize(nodes.select(F.monotonically_increasing_id().alias("id"), "one", "two", "copies", "row.*"), label="nodes")
     release(spark)
-    compared = nodes.join(member.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "x")
-    chosen = compared.select("node", F.col("doc_id").alias("_id"), F.col("x").alias("_x"))
-    same = F.col("t._id").eqNullSafe(F.col("c._id")) & (F.col("t._x") == F.col("c._x"))
-    texts = packed(docs.select(F.col("doc_id").cast("long").alias("_id"), text_hash().alias("_x"), "text"), "_id", "_x")
-    texts = texts.alias("t").join(chosen.alias("c"), same).select("node", "_text").groupBy("node").agg(F.first("_text").alias("_text"))
-    texts = materialize(texts, label="texts")
+    entries = nodes.select("id", "n", F.explode("bands").alias("band"))
+    # Written first: behind an aggregation in the same stage Spark could not split the join on a band that many
+    # share.
+    blocks = materialize(entries.groupBy("band").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).where("size > 1"), label="bands")
+    members = materialize(entries.join(blocks, "band").select("pivot", "id", "n").distinct(), label="members")
     release(spark)
-    signature = nodes.select("node", "signature")
-    alone = member.join(signature, "node").withColumn("component", F.col("node"))
-    links = materialize(_similar(_candidates(alone, bands * rows, True), texts, threshold), label="links")
-    label = materialize(components(links), label="components")
+    # A text alone in its block (it agrees with itself in two bands) has no pair.
+    pieces = F.greatest(F.ceil(F.count("*") / PIECE_TEXTS), F.ceil(F.sum("n") / PIECE_SHINGLES)).cast("int")
+    pieces = materialize(members.groupBy("pivot").agg(pieces.alias("pieces"), F.count("*").alias("size")).where("size > 1").drop("size"), label="pieces")
+    texts = jaccard._texts(docs, every, nodes, members).drop("pivots", "copies")
+    mine = F.pmod(F.xxhash64("id"), "pieces").cast("int")
+    # A text goes to the cells of its piece with every piece of the block.
+    cells = F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda other: F.struct(F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))
+    dealt = members.select("pivot", "id").join(pieces, "pivot").select("pivot", "id", mine.alias("block"), F.explode(cells).alias("cell"))
+    dealt = dealt.select("pivot", "cell.i", "cell.j", "block", "id").join(texts, "id")
+    links = dealt.groupBy("pivot", "i", "j").applyInArrow(_verified(round(100 * threshold)), "u long, v long")
+    links = materialize(links, label="links")
     release(spark)
-    named = member.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = named.groupBy("band").agg((F.min("component") < F.max("component")).alias("several")).where("several").select("band")
-    several = materialize(several, label="several")
-    named = named.join(several, "band", "left_semi").join(signature, "node")
-    more = materialize(_similar(_candidates(named, bands * rows, False), texts, threshold), label="links")
-    label = materialize(components(links.unionAll(more)), label="components")
+    label = components(links).withColumnRenamed("node", "id")
+    named = nodes.select("id", "one", "two", "doc_id", "x").join(label, "id", "left")
+    named = materialize(named.select("one", "two", F.coalesce("component", "id").alias("component"), "doc_id", "x"), label="named")
     release(spark)
-    return every.join(label, "node", "left").select("doc_id", "x", "node", F.coalesce("component", "node").alias("component"))
+    return every, named
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class): one row per document."""
-    found = materialize(classes(docs, threshold), label="classes")
-    least = found.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    least = materialize(least, label="least")
-    return found.select("doc_id", "component").join(least, "component").select("doc_id", "class_id")
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class): one row per document. Threshold in hundredths."""
+    every, nodes = _nodes(docs, threshold, bands, rows)
+    least = materialize(nodes.groupBy("component").agg(F.min("doc_id").alias("class_id")), label="least")
+    named = nodes.select("one", "two", "component").join(least, "component").select("one", "two", "class_id")
+    alone = every.where("one = 0 AND two = 0").groupBy("one", "two").agg(F.min("doc_id").alias("class_id"))
+    named = materialize(named.unionAll(alone), label="classes")
+    return every.join(named, ["one", "two"]).select("doc_id", "class_id")
 
 
-def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """The rows of `docs`, one for each class: that of least doc_id, then of least text hash."""
-    found = materialize(classes(docs, threshold), label="classes")
-    order = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "x")
-    kept = found.groupBy("component").agg(F.min(order).alias("row")).select(F.col("row.doc_id").alias("_id"), F.col("row.x").alias("_x"))
+    every, nodes = _nodes(docs, threshold, bands, rows)
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "x")).alias("row")
+    alone = every.where("one = 0 AND two = 0").groupBy(F.lit(_NO_WORDS).cast("long").alias("component")).agg(order)
+    kept = nodes.groupBy("component").agg(order).unionAll(alone).select(F.col("row.doc_id").alias("_id"), F.col("row.x").alias("_x"))
+    kept = materialize(kept, label="kept")
     keyed = docs.withColumns({"_key_id": F.col("doc_id").cast("long"), "_key_x": text_hash()})
     same = F.col("_key_id").eqNullSafe(F.col("_id")) & (F.col("_key_x") == F.col("_x"))
-    rows = keyed.join(kept, same, "left_semi")
+    kept_rows = keyed.join(kept, same, "left_semi")
     # Rows repeated as a whole have the same key: where there are such, one stays.
-    repeated = found.groupBy("doc_id", "x").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("x").alias("_x"))
+    repeated = every.groupBy("doc_id", "x").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("x").alias("_x"))
     repeated = materialize(repeated, label="repeated")
     if not repeated.isEmpty():
-        single = rows.join(repeated, same, "left_semi").dropDuplicates(["_key_id", "_key_x"])
-        rows = rows.join(repeated, same, "left_anti").unionAll(single)
-    return rows.drop("_key_id", "_key_x")
+        single = kept_rows.join(repeated, same, "left_semi").dropDuplicates(["_key_id", "_key_x"])
+        kept_rows = kept_rows.join(repeated, same, "left_anti").unionAll(single)
+    return kept_rows.drop("_key_id", "_key_x")

@@ -33,6 +33,34 @@ def _brute(rows):
     return sorted(((doc_id, least.get(root(i))) for i, (doc_id, _) in enumerate(rows)), key=str)
 
 
+def test_recall_on_the_documents(spark):
+    """All pairs of different texts at 0.8 or more, found by an inverted index, against the classes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, tuple(WORDS.findall(r.text or ""))) for r in docs.collect()]
+    texts = sorted({w for _, w in rows if w})
+    sets = [{w[k : k + 5] for k in range(len(w) - 4)} or {w} for w in texts]
+    places = {}
+    for i, found in enumerate(sets):
+        for gram in found:
+            places.setdefault(gram, []).append(i)
+    shared = {}
+    for where in places.values():
+        for a in range(len(where)):
+            for b in range(a):
+                pair = where[b], where[a]
+                shared[pair] = shared.get(pair, 0) + 1
+    pairs = [(a, b) for (a, b), n in shared.items() if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    got = dict(map(tuple, minhash.near_duplicates(docs).collect()))
+    named = {w: got[i] for i, w in rows}
+    found = sum(named[texts[a]] == named[texts[b]] for a, b in pairs)
+    assert len(pairs) > 50 and found >= 0.999 * len(pairs)
+    near = {texts[i] for p in pairs for i in p}
+    least = {}
+    for i, w in rows:
+        least[w] = min(i, least.get(w, i))
+    assert all(got[i] == least[w] for i, w in rows if w not in near)
+
+
 def _variants(seed, groups=6, copies=12):
     """Texts in groups, some far from each other inside their group."""
     draw = random.Random(seed)
