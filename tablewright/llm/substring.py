@@ -12,8 +12,8 @@ can't hold a window that occurs elsewhere. So exactly those windows are found th
 Factoring every document against every block by suffix search would compare all pairs of blocks; the index
 by minimizer makes it a join. Blocks are compared by 128 bits of hashes, windows by 128 bits.
 
-Documents are ordered by doc_id, null first. Rows with the same id and different texts are told apart (by a
-hash of the text, which also orders them); rows repeated as a whole are one document and come out alike.
+Documents are ordered by doc_id, null first. Rows with the same id and different texts are told apart by 87 bits
+of hashes of the text, which also order them; rows repeated as a whole are one document and come out alike.
 Null text has no words. A text of any length is processed whole. Extra columns pass through.
 """
 
@@ -35,17 +35,34 @@ from tablewright.session import materialize
 WINDOW = 20
 ANCHOR = 5
 
-# A place in a document as one long, in this order: 23 bits of the text's hash, 35 bits of word number, 5 bits
-# of the number of windows.
+# A place in a document as one long, in this order: 23 bits of a second hash of the text, 35 bits of word number,
+# 5 bits of the number of windows.
 _TAG_BITS, _COUNT_BITS, _WORD_BITS = 23, 5, 35
+_ROW = ["_doc", "_wide", "_tag"]
 _BASE, _INVERSE = 0xA0761D6478BD642F, pow(0xA0761D6478BD642F, -1, 1 << 64)
 _SECOND = 0xE7037ED1A0B428DB
 
 
-def _keys(docs: DataFrame) -> DataFrame:
-    """`docs` with `_doc` and `_tag`, by which rows are told apart."""
-    tag = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND((1 << _TAG_BITS) - 1)
-    return docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_tag": tag})
+def _ids_repeat(docs: DataFrame) -> bool:
+    """Whether rows with one id (or none) have different texts."""
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), _text_hash().alias("x"))
+    several = rows.groupBy("_doc").agg(F.min("x").alias("least"), F.max("x").alias("most")).where("least <> most")
+    return not several.isEmpty()
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def _keys(docs: DataFrame, wide: bool) -> DataFrame:
+    """`docs` with `_doc`, `_wide` and `_tag`, by which rows are told apart.
+
+    Where every id has one text only, the id does that. Otherwise rows of one id differ by a hash of 64 bits,
+    which also orders them, and by some bits of a second one.
+    """
+    second = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(1)).bitwiseAND((1 << _TAG_BITS) - 1)
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return docs.withColumns({"_doc": doc, "_wide": _text_hash() if wide else F.lit(0).cast("long"), "_tag": second if wide else F.lit(0).cast("long")})
 
 
 def _blocks(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
@@ -78,16 +95,17 @@ def _blocks(data: np.ndarray, offsets: np.ndarray, window: int) -> tuple[np.ndar
 
 
 def blocks(docs: DataFrame, window: int) -> DataFrame:
-    """anchor, content, doc, place of every block of every document (with `_doc`, `_tag`)."""
+    """anchor, content, doc, wide, place of every block of every document (with `_doc`, `_wide`, `_tag`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             anchor, content, owner, word, count = _blocks(*flat_text(batch.column("text")), window)
-            tag, doc = batch.column("_tag").to_numpy()[owner], batch.column("_doc").to_numpy()[owner]
+            doc, wide, tag = (batch.column(c).to_numpy()[owner] for c in _ROW)
             place = (tag << (_WORD_BITS + _COUNT_BITS)) | (word << _COUNT_BITS) | count
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (anchor, content, doc, place)], names=["anchor", "content", "doc", "place"])
+            columns = [pa.array(x, pa.int64()) for x in (anchor, content, doc, wide, place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "doc", "wide", "place"])
 
-    return docs.select("_doc", "_tag", "text").mapInArrow(run, "anchor long, content long, doc long, place long")
+    return docs.select(*_ROW, "text").mapInArrow(run, "anchor long, content long, doc long, wide long, place long")
 
 
 def packed(docs: DataFrame, *more: str) -> DataFrame:
@@ -129,12 +147,12 @@ def _span_of(place: Column) -> Column:
     return place.bitwiseAND((1 << (_WORD_BITS + _COUNT_BITS)) - 1)
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """_doc, _tag, spans of the documents with words to remove; a span is first word * 32 + windows."""
+def repeated_windows(docs: DataFrame, window: int = WINDOW, wide: bool = True) -> DataFrame:
+    """_doc, _wide, _tag, spans of the documents with words to remove; a span is first word * 32 + windows."""
     if not ANCHOR <= window <= 31 + ANCHOR:
         raise ValueError(f"windows have from {ANCHOR} to {31 + ANCHOR} words")
     spark = docs.sparkSession
-    docs = _keys(docs)
+    docs = _keys(docs, wide)
     every = blocks(docs, window)
     # What a frequent minimizer or window is joined with is written first: behind an aggregation in the same
     # stage Spark could not split the join.
@@ -142,19 +160,19 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Of blocks whose minimizer occurs nowhere else nothing more is needed.
     some = materialize(every.join(shared, "anchor", "left_semi"), label="blocks")
     release(spark)
-    index = some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "place")).alias("first"), F.count("*").alias("n"))
+    index = some.groupBy("anchor", "content").agg(F.min(F.struct("doc", "wide", "place")).alias("first"), F.count("*").alias("n"))
     index = materialize(index, label="index")
     again = some.join(index.where("n > 1"), ["anchor", "content"])
-    place = F.struct("doc", "place")
-    whole = again.where(~(place == F.col("first"))).select("doc", "place")
+    place = F.struct("doc", "wide", "place")
+    whole = again.where(~(place == F.col("first"))).select("doc", "wide", "place")
     # Reference blocks that share a minimizer with another one: windows at the boundaries of factors.
     several = materialize(index.groupBy("anchor").count().where("count > 1").select("anchor"), label="several")
-    edges = index.join(several, "anchor", "left_semi").select("first.doc", "first.place")
-    lists = edges.groupBy(F.col("doc").alias("_doc"), _tag_of(F.col("place")).alias("_tag")).agg(F.collect_list(_span_of(F.col("place"))).alias("spans"))
+    edges = index.join(several, "anchor", "left_semi").select("first.doc", "first.wide", "first.place")
+    lists = edges.groupBy(F.col("doc").alias("_doc"), F.col("wide").alias("_wide"), _tag_of(F.col("place")).alias("_tag")).agg(F.collect_list(_span_of(F.col("place"))).alias("spans"))
     # The texts go through a shuffle twice; what was shuffled before is released first.
     lists = materialize(lists, label="lists")
     release(spark)
-    joined = packed(docs, "_doc", "_tag").join(lists, ["_doc", "_tag"])
+    joined = packed(docs, *_ROW).join(lists, _ROW)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
@@ -168,17 +186,18 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             word = gather(span >> _COUNT_BITS, count)
             owner = np.repeat(owner, count)
             at = first[owner] + word
-            tag, doc = batch.column("_tag").to_numpy()[owner], batch.column("_doc").to_numpy()[owner]
+            doc, wide, tag = (batch.column(c).to_numpy()[owner] for c in _ROW)
             place = (tag << (_WORD_BITS + _COUNT_BITS)) | (word << _COUNT_BITS) | 1
             one, two = rolling_hash(words, window)[at].view(np.int64), rolling_hash(words, window, _SECOND)[at].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (one, two, doc, place)], names=["one", "two", "doc", "place"])
+            columns = [pa.array(x, pa.int64()) for x in (one, two, doc, wide, place)]
+            yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "doc", "wide", "place"])
 
-    single = materialize(joined.mapInArrow(windows, "one long, two long, doc long, place long"), label="windows")
+    single = materialize(joined.mapInArrow(windows, "one long, two long, doc long, wide long, place long"), label="windows")
     release(spark)
     firsts = single.groupBy("one", "two").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     firsts = materialize(firsts, label="firsts")
-    parts = single.join(firsts, ["one", "two"]).where(~(place == F.col("first"))).select("doc", "place")
-    found = whole.unionAll(parts).groupBy(F.col("doc").alias("_doc"), _tag_of(F.col("place")).alias("_tag"))
+    parts = single.join(firsts, ["one", "two"]).where(~(place == F.col("first"))).select("doc", "wide", "place")
+    found = whole.unionAll(parts).groupBy(F.col("doc").alias("_doc"), F.col("wide").alias("_wide"), _tag_of(F.col("place")).alias("_tag"))
     found = materialize(found.agg(F.collect_set(_span_of(F.col("place"))).alias("spans")), label="spans")
     release(spark)
     return found
@@ -197,8 +216,9 @@ def _removed(batch: pa.RecordBatch, first: np.ndarray, window: int) -> np.ndarra
 
 
 def _with_spans(docs: DataFrame, window: int, *columns: str) -> DataFrame:
-    spans = repeated_windows(docs, window)
-    return packed(_keys(docs), "_doc", "_tag", *columns).join(spans, ["_doc", "_tag"], "left")
+    wide = _ids_repeat(docs)
+    spans = repeated_windows(docs, window, wide)
+    return packed(_keys(docs, wide), *_ROW, *columns).join(spans, _ROW, "left")
 
 
 def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:

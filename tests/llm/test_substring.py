@@ -65,3 +65,26 @@ def test_cut_text(spark, corpus, nothing):
     assert substring.remove_repeats(corpus).count() == corpus.count()
     assert substring.remove_repeats(nothing).collect() == []
     assert substring.digests(nothing).collect() == []
+
+
+@pytest.mark.parametrize("tag_bits", [23, 1])
+def test_many_rows_of_one_id_and_of_none(spark, monkeypatch, tag_bits):
+    """Thousands of texts under one id or none; with one bit the second hash collides all the time."""
+    monkeypatch.setattr(substring, "_TAG_BITS", tag_bits)
+    draw = random.Random(6)
+    passages = [" ".join(f"p{i}w{k}" for k in range(40)) for i in range(30)]
+    rows = [(draw.choice([None, 7]), f"{'a' * draw.randrange(9)} r{i} {draw.choice(passages)} {'z ' * draw.randrange(30)}") for i in range(3000)]
+    rows += [(None, ""), (7, None), (3, passages[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = {r.text: r.h for r in docs.selectExpr("coalesce(text, '') AS text", "xxhash64(coalesce(text, '')) AS h").collect()}
+    keyed = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, order[r[1] or ""]))
+    seen, want = {}, []
+    for n, (doc_id, text) in enumerate(keyed):
+        words = WORDS.findall(text or "")
+        gone = [False] * len(words)
+        for k in range(len(words) - 19):
+            if seen.setdefault(tuple(words[k : k + 20]), (n, k)) != (n, k):
+                gone[k : k + 20] = [True] * 20
+        kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
+        want.append((doc_id, len(words), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    assert sorted(map(tuple, substring.digests(docs).collect()), key=str) == sorted(want, key=str)
