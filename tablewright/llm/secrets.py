@@ -55,7 +55,8 @@ _NAME_BEGINS = r"(?=[pstac][aweorpcu])(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[
 _NAME_ENDS = r"(?![A-Za-z0-9])"
 _MORE = r"(?:[_.\-](?!" + NAMES + _NAME_ENDS + r")[A-Za-z0-9]+)*+"
 CANDIDATE = re.compile(
-    r"(?P<block>-----BEGIN [A-Z ]*PRIVATE KEY-----(?s:.*?)-----END [A-Z ]*PRIVATE KEY-----)"
+    # Up to the next such line, whatever it is: no part of a text is read for two beginnings.
+    r"(?P<block>-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]*PRIVATE KEY-----)"
     r"|(?i:" + _NAME_BEGINS + r"(?P<name>" + NAMES + r")" + _NAME_ENDS + _MORE + r")[\"']?\s*[:=]\s*[\"']?(?i:(?:bearer|basic)[ \t]+)?(?P<value>[^\s\"']{6,})"
     r"|://[^\s/:@\"']*:(?P<url>[^\s/@\"']+)@"
     r"|(?i:\bbearer|\bauthorization[\"']?\s*[:=]\s*[\"']?(?:basic|token))[ \t]+(?P<header>[A-Za-z0-9._~+/\-]{8,}={0,2})"
@@ -386,14 +387,18 @@ def language_of(docs: DataFrame) -> Language:
     return Language.of({r["word"]: r["n"] for r in dictionary}, {r["pair"]: r["n"] for r in usual}, total)
 
 
-def train(docs: DataFrame, path: str = "source", sample_findings: int = SAMPLE_FINDINGS) -> Scanner:
-    """Dictionary and letter pairs from all of `docs`, the forest from a sample of findings and made-up ones."""
+def train(docs: DataFrame, path: str = "source", sample_findings: int = SAMPLE_FINDINGS, sample_chars: int = 8192) -> Scanner:
+    """Dictionary and letter pairs from all of `docs`, the forest from a sample of findings and made-up ones.
+
+    The sample is bounded in findings and in the characters of each, as it is labelled on the driver; longer
+    candidates are scored all the same. Dictionary words have from 3 to 20 letters.
+    """
     language = language_of(docs)
     names = ["kind", "text", "before", "behind", "path"]
 
     def all_candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [(*c[1:], where) for _, text, where in _rows(batch, path) for c in candidates(text) if len(c[2]) <= 8192]
+            rows = [(*c[1:], where) for _, text, where in _rows(batch, path) for c in candidates(text) if len(c[2]) <= sample_chars]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (zip(*rows, strict=True) if rows else [[]] * 5)], names=names)
 
     columns = ["text", path] if path in docs.columns else ["text"]

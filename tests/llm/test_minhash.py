@@ -53,7 +53,7 @@ def test_recall_on_the_documents(spark):
     got = dict(map(tuple, minhash.near_duplicates(docs).collect()))
     named = {w: got[i] for i, w in rows}
     found = sum(named[texts[a]] == named[texts[b]] for a, b in pairs)
-    assert len(pairs) > 50 and found >= 0.999 * len(pairs)
+    assert pairs and found == len(pairs)
     near = {texts[i] for p in pairs for i in p}
     least = {}
     for i, w in rows:

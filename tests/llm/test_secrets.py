@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -41,6 +42,16 @@ def test_private_key_block():
     assert [(c[1], c[2]) for c in secrets.candidates(f"x {block} y")] == [("block", block)]
 
 
+def test_key_blocks_that_never_end():
+    begin, end = "-----BEGIN PRIVATE KEY-----\n", "-----END PRIVATE KEY-----"
+    lines = begin * (10_000_000 // len(begin))
+    start = time.perf_counter()
+    assert list(secrets.candidates(lines)) == []
+    found = list(secrets.candidates(f"{lines}a-b/c--\n{end} {begin}x"))
+    assert time.perf_counter() - start < 30
+    assert [c[2] for c in found] == [f"{begin}a-b/c--\n{end}"]
+
+
 def test_dictionary_coverage():
     language = secrets.Language.of({"open": 5, "door": 3})
     assert language.covered("opendoor") == 1.0 and language.covered("zzopen") == 4 / 6 and language.covered("123") == 0.0
