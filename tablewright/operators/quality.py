@@ -60,11 +60,17 @@ def with_counters(
     """`df` unchanged, with an observation that counts rows, parsed_<column> and failed_<column>.
 
     The counts are there after the next action on the frame, at no extra pass over the data. Put it
-    right before the write: a stage that has to be repeated may count twice.
+    right before the write: a stage that has to be repeated may count twice. `sources.write_counted` counts
+    what was committed.
     """
     observation = Observation(name)
+    return df.observe(observation, *counters(rules)), observation
+
+
+def counters(rules: Mapping[str, Parser]) -> list[Column]:
+    """Aggregates: rows, and parsed_<column> and failed_<column> for each rule."""
     counts = [F.count(F.lit(1)).alias("rows")]
     for column, parser in rules.items():
         counts.append(F.count_if(parser(F.col(quote(column))).isNotNull()).alias(f"parsed_{column}"))
         counts.append(F.count_if(_failed(column, parser)).alias(f"failed_{column}"))
-    return df.observe(observation, *counts), observation
+    return counts

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from itertools import accumulate
@@ -24,8 +25,8 @@ from tablewright.sources.tables import (
 def table_files(spark: SparkSession, db: str, table: str, rows: bool = False) -> DataFrame:
     """One row per data file: partition values (as text), file_path, file_size; with `rows` their number, too.
 
-    The files are those that Spark has listed to read the table, wherever its partitions are. Their sizes
-    come from listing their folders; nothing in them is read unless rows are asked for.
+    The files are those in the folders of the table's partitions, wherever these are; nothing in them is read
+    unless rows are asked for. The driver knows the folders, as the catalog does; the files are a table.
     """
     name = qualified(db, table)
     parts = partition_columns(spark, name)
@@ -33,38 +34,82 @@ def table_files(spark: SparkSession, db: str, table: str, rows: bool = False) ->
         groups = [F.col(quote(c)).cast("string").alias(c) for c in parts]
         meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_size")]
         return spark.table(name).groupBy(*groups, *meta).agg(F.count(F.lit(1)).alias("rows"))
-    listed = files_in_use(spark, db, table)
-    text = "folder string" + "".join(f", {quote(p)} string" for p in parts)
-    folders = sorted({path.rpartition("/")[0] for path in listed})
-    known = spark.createDataFrame([(f, *_partition_of(f, parts)) for f in folders], text)
-    if not folders:
-        return known.select(*(quote(p) for p in parts), F.col("folder").alias("file_path"), F.lit(0).cast("long").alias("file_size"))
-    found = spark.read.format("binaryFile").load([unquote(f) for f in folders])
-    meta = [F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size")]
-    found = found.select(*meta).withColumn("folder", F.regexp_replace("file_path", "/[^/]*$", ""))
-    same = F.regexp_replace(F.col("folder"), "^file:/+", "file:/")
-    return found.withColumn("folder", same).join(
-        known.withColumn("folder", F.regexp_replace("folder", "^file:/+", "file:/")), "folder"
-    ).select(*(quote(p) for p in parts), "file_path", "file_size")
-
-
-def files_in_use(spark: SparkSession, db: str, table: str) -> list[str]:
-    """The files that a scan of the table would read now."""
-    name = qualified(db, table)
-    spark.catalog.refreshTable(name)
+    listed = listed_in(spark, {name: table_folders(spark, name)})
+    return listed.select(*(F.col("values")[p].alias(p) for p in parts), "file_path", "file_size")
+
+
+def table_folders(spark: SparkSession, name: str) -> list[tuple[str, dict[str, str | None]]]:
+    """The folders that a table's rows are in, with their partition values, by one call to the catalog."""
+    state = spark._jsparkSession.sessionState()
+    table = state.sqlParser().parseTableIdentifier(name)
+    if not partition_columns(spark, name):
+        return [(state.catalog().getTableMetadata(table).location().toString(), {})]
+    found = []
+    partitions = state.catalog().listPartitions(table, spark._jvm.scala.Option.empty()).iterator()
+    while partitions.hasNext():
+        partition = partitions.next()
+        spec = partition.spec().iterator()
+        values = {}
+        while spec.hasNext():
+            pair = spec.next()
+            values[pair._1()] = None if pair._2() == DEFAULT_PARTITION else pair._2()
+        found.append((partition.location().toString(), values))
+    return found
+
+
+def listed_in(spark: SparkSession, tables: dict[str, list[tuple[str, dict[str, str | None]]]]) -> DataFrame:
+    """table_name, values, file_path, file_size of the files in the tables' folders, by one listing.
+
+    Folders that lie as partitions do are listed from the folder above them, all of a table or of a rewritten
+    copy at once; what lies there beside them is left out by a join with the folders. Folders that are gone
+    hold no files.
+    """
+    known = [(table, values, _plain_uri(folder)) for table, folders in tables.items() for folder, values in folders]
+    schema = "table_name string, values map<string,string>, folder string"
+    folders = spark.createDataFrame(known, schema)
+    roots = sorted({_root(folder, len(values)) for _, values, folder in known})
+    found = None
+    for at in range(0, len(roots), 1000):
+        listed = _listing(spark, [unquote(r) for r in roots[at : at + 1000]])
+        if listed is not None:
+            found = listed if found is None else found.unionAll(listed)
+    if found is None:
+        return folders.select("table_name", "values", F.col("folder").alias("file_path"), F.lit(0).cast("long").alias("file_size")).limit(0)
+    # Catalog and listing spell a folder's address with one slash or three; a table may also be a single file.
+    file = F.regexp_replace("file_path", "^file:/+", "file:/")
+    found = found.withColumn("folder", F.explode(F.array(F.regexp_replace(file, "/[^/]*$", ""), file)))
+    return found.join(folders, "folder").select("table_name", "values", "file_path", "file_size")
+
+
+def _plain_uri(folder: str) -> str:
+    return re.sub("^file:/+", "file:/", folder.rstrip("/"))
+
+
+def _root(folder: str, levels: int) -> str:
+    """The folder above `levels` steps that name partition values; the folder itself if they don't."""
+    steps = folder.split("/")
+    return "/".join(steps[:-levels]) if levels and all("=" in step for step in steps[-levels:]) else folder
+
+
+def _listing(spark: SparkSession, roots: list[str]) -> DataFrame | None:
     try:
-        return spark.table(name).inputFiles()
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(roots)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
-        return []
+        # One of them is gone: halves find it.
+        if len(roots) == 1:
+            return None
+        halves = [h for h in (_listing(spark, roots[: len(roots) // 2]), _listing(spark, roots[len(roots) // 2 :])) if h is not None]
+        return halves[0].unionAll(halves[1]) if len(halves) == 2 else halves[0] if halves else None
+    return files.select(F.col("_metadata.file_path").alias("file_path"), F.col("length").alias("file_size"))
 
 
-def _partition_of(folder: str, parts: Sequence[str]) -> list[str | None]:
-    """The partition values that a folder's name spells (file names in a URI are escaped twice)."""
-    pairs = dict(unquote(step).split("=", 1) for step in folder.split("/") if "=" in step)
-    values = [unquote(pairs[p]) if p in pairs else None for p in parts]
-    return [None if v == DEFAULT_PARTITION else v for v in values]
+def files_in_use(spark: SparkSession, db: str, table: str) -> tuple[int, int]:
+    """How many files the table has now, and a sum that changes with any of them; no names reach the driver."""
+    spark.catalog.refreshTable(qualified(db, table))
+    row = table_files(spark, db, table).agg(F.count("*"), F.sum(F.xxhash64("file_path", "file_size").cast("decimal(38,0)"))).first()
+    return row[0], int(row[1] or 0)
 
 
 def _fragmented(files: DataFrame, parts: Sequence[str], target_bytes: int, factor: float, every: bool) -> DataFrame:
@@ -74,6 +119,10 @@ def _fragmented(files: DataFrame, parts: Sequence[str], target_bytes: int, facto
     return totals if every else totals.where((F.col("files") > F.col("needed")) & (F.col("files") >= F.col("needed") * factor))
 
 
+# Partitions that one job rewrites.
+_TOGETHER = 64
+
+
 class ConcurrentWrite(RuntimeError):
     """The table's files changed while a copy of them was written."""
 
@@ -95,19 +144,21 @@ def compact_table(
     are listed before and after the copy is made: if a writer has changed them meanwhile, the table stays
     as the writer left it and ConcurrentWrite is raised.
 
-    The rows of a partition are spread over its files by a hash of the row's place in its old file.
-    That is even whatever the values are, and the same when a lost task is run again.
+    Without sort_by nothing is shuffled: the scans of a partition's files are joined up, a task a new file. A
+    partition is written whole, its large files included, because it is one folder: no statement exchanges
+    some of a folder's files for others at once. With sort_by rows are spread by value ranges, ties by a hash
+    of the row's place in its old file, which is the same when a lost task is run again.
     """
     name = qualified(db, table)
     provider, location = (table_detail(spark, name, item) for item in ("Provider", "Location"))
     if provider != "parquet":
         raise ValueError(f"{name} is a {provider} table; only Parquet tables are compacted")
     parts = partition_columns(spark, name)
-    before = sorted(files_in_use(spark, db, table))
+    before = files_in_use(spark, db, table)
     work = _fragmented(table_files(spark, db, table), parts, target_bytes, factor, bool(sort_by))
 
     def unchanged() -> None:
-        if sorted(files_in_use(spark, db, table)) != before:
+        if files_in_use(spark, db, table) != before:
             raise ConcurrentWrite(f"the files of {name} changed during compaction; it is left as it is")
 
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
@@ -137,20 +188,33 @@ def compact_table(
     chosen = work.collect()
     if not chosen:
         return 0
-    # Sorted partitions of several files are cut by value ranges, where a range may reach into the next
-    # partition; all others have one task per file.
-    several = [row for row in chosen if sort_by and row["needed"] > 1]
-    single = [row for row in chosen if not (sort_by and row["needed"] > 1)]
-    for group in filter(None, (several, single)):
-        placed = _with_target_file(rows.withColumn("__place", place), parts, group)
-        count = sum(row["needed"] for row in group)
-        keys, order = ([F.col(quote(c)) for c in columns] for columns in (parts, sort_by))
-        if group is several:
-            out = placed.repartitionByRange(count, *keys, *order, F.col("__place"))
-        else:
-            out = placed.repartitionById(count, "__file")
-        out = out.sortWithinPartitions(*keys, *order).drop("__place", "__file")
-        out.write.mode("append").partitionBy(*parts).parquet(target)
+    if sort_by:
+        # Sorted partitions of several files are cut by value ranges, where a range may reach into the next
+        # partition; all others have one task per file.
+        several = [row for row in chosen if row["needed"] > 1]
+        single = [row for row in chosen if row["needed"] == 1]
+        for group in filter(None, (several, single)):
+            placed = _with_target_file(rows.withColumn("__place", place), parts, group)
+            count = sum(row["needed"] for row in group)
+            keys, order = ([F.col(quote(c)) for c in columns] for columns in (parts, sort_by))
+            if group is several:
+                out = placed.repartitionByRange(count, *keys, *order, F.col("__place"))
+            else:
+                out = placed.repartitionById(count, "__file")
+            out = out.sortWithinPartitions(*keys, *order).drop("__place", "__file")
+            out.write.mode("append").partitionBy(*parts).parquet(target)
+    else:
+        # The scans of each partition's files are joined up to as many tasks as it needs files: no shuffle.
+        types = {f.name: f.dataType for f in rows.schema.fields}
+        for at in range(0, len(chosen), _TOGETHER):
+            out = None
+            for row in chosen[at : at + _TOGETHER]:
+                own = rows
+                for p in parts:
+                    own = own.where(F.col(quote(p)).isNull() if row[p] is None else F.col(quote(p)) == F.lit(row[p]).cast(types[p]))
+                own = own.coalesce(row["needed"])
+                out = own if out is None else out.unionAll(own)
+            out.write.mode("append").partitionBy(*parts).parquet(target)
     unchanged()
     _point_partitions(spark, db, table, target)
     return sum(row["needed"] for row in chosen)

@@ -7,6 +7,7 @@ from tablewright.sources.sinks import (
     drop_table,
     insert_select,
     write_collection,
+    write_counted,
     write_parquet,
     write_table,
 )
@@ -15,5 +16,5 @@ from tablewright.sources.tables import read_table, register_log, register_path
 __all__ = [
     "create_table", "drop_table", "insert_select", "read_csv_text", "read_json_records", "read_keyed",
     "read_log", "read_table", "register_log", "register_path", "rebucket_keyed", "upsert_keyed", "write_collection",
-    "write_parquet", "write_table",
+    "write_counted", "write_parquet", "write_table",
 ]

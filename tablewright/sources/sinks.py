@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.names import has_variant, identifier, qualified, quote, sql_text
+from tablewright.operators.quality import Parser, counters
 from tablewright.sources.files import listed_files
 from tablewright.sources.schema import conformed, grow_schema
 from tablewright.sources.tables import DEFAULT_PARTITION, is_at, partition_columns, table_detail
@@ -172,6 +173,18 @@ def write_parquet(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_counted(
+    df: DataFrame, path: str, rules: Mapping[str, Parser], partition_by: Sequence[str] = ()
+) -> dict[str, int]:
+    """Plain Parquet in place of what was there, and exact counts of what was written: rows, parsed_, failed_.
+
+    The counts are taken from the committed files, of which only the ruled columns are read; what a task
+    counted that had to run again is not in them.
+    """
+    write_parquet(df, path, "overwrite", partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).agg(*counters(rules)).first().asDict()
+
+
 def create_table(
     spark: SparkSession,
     db: str,
