@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from datetime import UTC, datetime, timedelta
 from itertools import accumulate
 from urllib.parse import unquote
 
@@ -262,3 +263,27 @@ def _point_partitions(spark: SparkSession, db: str, table: str, target: str) ->
         clause = partition_clause(partition_values(folder))
         spark.sql(f"ALTER TABLE {name} {clause} SET LOCATION {sql_text(f'{target}/{folder}')}")
     spark.catalog.refreshTable(name)
+
+
+def remove_superseded(spark: SparkSession, db: str, table: str, older_than: timedelta) -> int:
+    """Delete rewritten copies of a table that it no longer uses; returns how many folders went.
+
+    Compactions and upserts leave each copy in a folder of its own beside the table. One goes if no partition
+    lies in it and nothing has been written to it for that long, which should be longer than any query runs.
+    What lay in the table's own folder before the first copy stays.
+    """
+    used = [_plain_uri(folder) for folder, _ in table_folders(spark, qualified(db, table))]
+    copies = {re.sub(r"(\.v)/[0-9a-f]{32}(/.*)?$", r"\1", folder) for folder in used}
+    copies = {f"{c}.v" if not c.endswith(".v") else c for c in (re.sub(r"(/[^/=]+=[^/]*)+$", "", c) for c in copies)}
+    before, gone = (datetime.now(UTC) - older_than).timestamp() * 1000, 0
+    for parent in sorted(copies):
+        path = spark._jvm.org.apache.hadoop.fs.Path(unquote(parent))
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.exists(path):
+            continue
+        for entry in system.listStatus(path):
+            folder = _plain_uri(entry.getPath().toUri().toString())
+            in_use = any(f == folder or f.startswith(f"{folder}/") for f in used)
+            if entry.isDirectory() and re.fullmatch("[0-9a-f]{32}", entry.getPath().getName()) and not in_use and entry.getModificationTime() < before:
+                gone += system.delete(entry.getPath(), True)
+    return gone

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,9 +102,24 @@ def materialize(df: DataFrame, path: str | None = None, label: str = "stage") ->
     """Write `df` once as Parquet and return the written copy.
 
     Everything built on the result sees the same rows, and a lost executor costs a re-read, not a
-    recomputation. The copy is not removed: what lies in the shared folder may go once its job is done.
+    recomputation. The copy is not removed: `remove_staged` does that once its job is done.
     """
     spark = df.sparkSession
     target = f"{path.rstrip('/')}/{uuid.uuid4().hex}" if path else fresh_path(spark, label)
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def remove_staged(spark: SparkSession, older_than: timedelta) -> int:
+    """Delete copies that jobs have left in the shared folder, and returns how many.
+
+    Only folders that `fresh_path` has named go, and only those nothing has been written to for that long:
+    longer than any job runs that may still read them.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    before, gone = (datetime.now(UTC) - older_than).timestamp() * 1000, 0
+    for entry in system.listStatus(path) if system.exists(path) else ():
+        if re.fullmatch(r"[\w-]+-[0-9a-f]{32}", entry.getPath().getName()) and entry.isDirectory() and entry.getModificationTime() < before:
+            gone += system.delete(entry.getPath(), True)
+    return gone

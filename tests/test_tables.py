@@ -1,4 +1,5 @@
 import os
+from datetime import timedelta
 from pathlib import Path
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 
 from tablewright.plans.inventory import inventory_report, table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
-from tablewright.plans.maintenance import compact_table, table_files
+from tablewright.plans.maintenance import compact_table, remove_superseded, table_files
 from tablewright.sources import (
     create_table,
     drop_table,
@@ -32,6 +33,7 @@ from tablewright.operators import resolve_choice
 from tablewright.sources.tables import is_at
 from tablewright.streaming import incremental_load, read_loaded, reset_bookmark
 from tablewright.plans.programs import SERVICE_LOG_PATTERN
+from tablewright.session import fresh_path, remove_staged, shared_folder
 from tablewright.sources.files import file_heads, read_csv_named
 from tablewright.sources.keyed import divided, even_bits, parts_of
 from tablewright.sources.schema import common_type
@@ -817,3 +819,29 @@ def test_counts_are_of_what_was_committed(spark, tmp_path):
         write_counted(dies, f"{tmp_path}/out", rules)
     assert write_counted(df, f"{tmp_path}/out", rules) == {"rows": 300, "parsed_x": 200, "failed_x": 100}
     assert write_counted(df.limit(0), f"{tmp_path}/none", rules) == {"rows": 0, "parsed_x": 0, "failed_x": 0}
+
+
+@pytest.mark.parametrize("parts", [(), ("p",)])
+def test_old_copies_are_removed(spark, db, tmp_path, parts):
+    small_files(spark, db, tmp_path, parts)
+    for _ in range(3):
+        compact_table(spark, db, "t", sort_by=["x"])
+    before = tuples(read_table(spark, db, "t"))
+    assert len(list((tmp_path / "t.v").iterdir())) == 3
+    assert remove_superseded(spark, db, "t", timedelta(hours=1)) == 0
+    (tmp_path / "t.v" / "notes").mkdir()
+    assert remove_superseded(spark, db, "t", timedelta(0)) == 2
+    assert len(list((tmp_path / "t.v").iterdir())) == 2 and len(list((tmp_path / "t").rglob("*.parquet"))) > 0
+    spark.catalog.refreshTable(f"{db}.t")
+    assert tuples(read_table(spark, db, "t")) == before
+
+
+def test_staged_copies_are_removed(spark, tmp_path):
+    copy = fresh_path(spark, "stage")
+    spark.range(3).write.parquet(copy)
+    other = Path(shared_folder(spark)) / "not-ours"
+    other.mkdir()
+    assert remove_staged(spark, timedelta(hours=1)) == 0 and Path(copy).exists()
+    os.utime(copy, (1_000_000_000, 1_000_000_000))
+    assert remove_staged(spark, timedelta(days=365)) == 1
+    assert not Path(copy).exists() and other.exists()
