@@ -51,9 +51,9 @@ from tablewright.sources import (
     register_log,
     register_path,
     upsert_keyed,
-    write_collection,
     write_counted,
     write_parquet,
+    write_relationalized,
     write_table,
 )
 from tablewright.streaming import incremental_load, read_loaded, reset_bookmark, store_load
@@ -330,11 +330,9 @@ def relationalize_generated_link(spark, sf_dir):
 )
 def relationalize_to_tables(spark, sf_dir):
     db, path = _scratch(spark)
-    frames = relationalize(_nested_orders(spark, sf_dir), "orders", "order_id", staging_path=f"{path}/staging")
-    frames["orders_root"] = frames.pop("orders")
-    write_collection(frames, db, path)
+    names = write_relationalized(_nested_orders(spark, sf_dir), "orders", db, path, "order_id", {"orders": "orders_root"})
     counts = [
-        read_table(spark, db, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n")) for name in frames
+        read_table(spark, db, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("n")) for name in names
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 

@@ -9,6 +9,7 @@ from tablewright.sources.sinks import (
     write_collection,
     write_counted,
     write_parquet,
+    write_relationalized,
     write_table,
 )
 from tablewright.sources.tables import read_table, register_log, register_path
@@ -16,5 +17,5 @@ from tablewright.sources.tables import read_table, register_log, register_path
 __all__ = [
     "create_table", "drop_table", "insert_select", "read_csv_text", "read_json_records", "read_keyed",
     "read_log", "read_table", "register_log", "register_path", "rebucket_keyed", "upsert_keyed", "write_collection",
-    "write_counted", "write_parquet", "write_table",
+    "write_counted", "write_parquet", "write_relationalized", "write_table",
 ]

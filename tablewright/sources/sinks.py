@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from tablewright.names import has_variant, identifier, qualified, quote, sql_text
 from tablewright.operators.quality import Parser, counters
+from tablewright.operators.relational import tagged_rows
 from tablewright.sources.files import listed_files
 from tablewright.sources.schema import conformed, grow_schema
 from tablewright.sources.tables import DEFAULT_PARTITION, is_at, partition_columns, table_detail
@@ -164,6 +165,45 @@ def write_collection(frames: Mapping[str, DataFrame], db: str, path: str, mode:
         write_table(frame, db, name, f"{path.rstrip('/')}/{name}", mode=mode)
 
 
+def write_relationalized(
+    df: DataFrame,
+    root: str,
+    db: str,
+    path: str,
+    key: Sequence[str] | str | None = None,
+    names: Mapping[str, str] | None = None,
+    staging_path: str | None = None,
+) -> list[str]:
+    """Nested records as one table for each collection in them, by one pass over the records; the tables' names.
+
+    The rows of all tables are written together, divided by table, and each table lies on its part of the
+    folder (`<path>/table=<name>`). Writing again appends; columns and types of the tables grow as those of
+    `write_table`. `names` renames tables, such as the root.
+    """
+    spark, names = df.sparkSession, dict(names or {})
+    written = []
+    for rows, members in tagged_rows(df, root, key, staging_path):
+        renamed = {m: names.get(m, m) for m in members}
+        for member, schema in members.items():
+            name, folder = qualified(db, renamed[member]), f"{path.rstrip('/')}/table={renamed[member]}"
+            empty = spark.createDataFrame([], schema)
+            _no_choices(empty)
+            if not spark.catalog.tableExists(name):
+                create_table(spark, db, renamed[member], ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in schema.fields), folder)
+            elif not is_at(table_detail(spark, name, "Location"), folder):
+                raise ValueError(f"{name} is not at {folder}")
+            grow_schema(empty, name, [])
+        table = F.col("table")
+        for member, name in renamed.items():
+            if member != name:
+                table = F.when(F.col("table") == member, name).otherwise(table)
+        clustered(rows.withColumn("table", table), ["table"]).write.mode("append").partitionBy("table").parquet(path)
+        written += renamed.values()
+    for name in written:
+        spark.catalog.refreshTable(qualified(db, name))
+    return written
+
+
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:

@@ -26,10 +26,12 @@ from tablewright.sources import (
     write_collection,
     write_counted,
     write_parquet,
+    write_relationalized,
     write_table,
 )
 from tablewright.functions import parse_double
-from tablewright.operators import resolve_choice
+from tablewright.operators import relationalize, resolve_choice
+from tablewright.operators.relational import tagged_rows
 from tablewright.sources.tables import is_at
 from tablewright.streaming import incremental_load, read_loaded, reset_bookmark
 from tablewright.plans.programs import SERVICE_LOG_PATTERN
@@ -845,3 +847,26 @@ def test_staged_copies_are_removed(spark, tmp_path):
     os.utime(copy, (1_000_000_000, 1_000_000_000))
     assert remove_staged(spark, timedelta(days=365)) == 1
     assert not Path(copy).exists() and other.exists()
+
+
+def test_collections_are_written_by_one_pass(spark, db, tmp_path):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, named_struct('c', 'x'), array(named_struct('v', 1, 'tags', array('p', 'q')), NULL), map('k', 1.5D), array(array(1, 2), array(3))), "
+        "(2, NULL, array(), NULL, NULL), (3, named_struct('c', 'z'), NULL, map('a', 0.5D, 'b', 2.5D), array(NULL, array(4))) AS t(id, s, items, m, grid)"
+    )
+    want = relationalize(df, "r", "id")
+    names = write_relationalized(df, "r", db, f"{tmp_path}/r", "id", {"r": "root"})
+    assert set(names) == {"root", *(n for n in want if n != "r")}
+    for name, frame in want.items():
+        out = read_table(spark, db, "root" if name == "r" else name)
+        assert out.schema.simpleString() == frame.schema.simpleString() and tuples(out) == tuples(frame)
+    # Types that clash (a value is a number here, text there) divide the tables among as few frames as needed.
+    groups = tagged_rows(df, "r", "id")
+    assert [rows._jdf.queryExecution().optimizedPlan().toString().count("Generate") for rows, _ in groups] == [1] * len(groups)
+    assert sum(len(members) for _, members in groups) == len(want) > len(groups)
+    more = df.withColumn("extra", F.lit(1)).withColumn("id", F.col("id").cast("bigint") + (1 << 40))
+    write_relationalized(more, "r", db, f"{tmp_path}/r", "id", {"r": "root"})
+    root = read_table(spark, db, "root")
+    assert root.count() == 6 and dict(root.dtypes)["id"] == "bigint" and root.where("extra = 1").count() == 3
+    with pytest.raises(ValueError, match="not at"):
+        write_relationalized(df, "r", db, f"{tmp_path}/elsewhere", "id", {"r": "root"})
