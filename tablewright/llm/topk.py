@@ -10,8 +10,8 @@ Queries and rows meet in cells of a grid (row chunks by query groups), each one
 sees all rows or all queries. Each cell returns k rows per query at most, which are merged by query.
 
 Vectors that are null or hold null or non-finite components, and rows without id, take no part; a query
-meets vectors of its own length only. Components must stay below 2**53 / scale. Rows repeated with the same
-id and vector count once; if a query id has several vectors, either may score. Ties go to the smaller id. An
+meets vectors of its own length only. Scores are exact as long as a long holds them; beyond, an error is raised
+rather than a number that has wrapped around. Rows repeated with the same id and vector count once; if a query id has several vectors, either may score. Ties go to the smaller id. An
 empty table gives an empty result.
 """
 
@@ -46,7 +46,10 @@ def search(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np
         ids, rows = ids[np.sort(first)], rows[np.sort(first)]
     wide = rows.astype(np.float64)
     # Whole numbers are exact in doubles up to 2 ** 53; beyond, integers are multiplied.
-    safe = float(np.abs(wide).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1] < 2**53
+    reach = float(np.abs(wide).max(initial=0)) * float(np.abs(queries).max(initial=0)) * rows.shape[1]
+    safe = reach < 2**53
+    if reach >= 2**63:
+        raise ValueError(f"inner products of up to {reach:.3g} may not fit a long; use a smaller scale")
     levels = [s for s in SEGMENTS if s <= rows.shape[1]]
     mine = [_statistics(wide, s) for s in levels]
     theirs = [_statistics(queries.astype(np.float64), s) for s in levels]
@@ -83,7 +86,10 @@ def _vectors(table: pa.Table, scale: int) -> dict[int, tuple[np.ndarray, np.ndar
     """Ids and whole-number rows by length of the vectors."""
     column = table.column("vector").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    values = np.floor(scale * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int64)
+    values = np.floor(scale * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+    if len(values) and np.abs(values).max() >= 2.0**62:
+        raise ValueError(f"components times {scale} don't fit a long; use a smaller scale")
+    values = values.astype(np.int64)
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
     starts, ids = np.cumsum(lengths) - lengths, table.column("id").to_numpy()
     found = {}

@@ -56,3 +56,14 @@ def test_bound_holds():
     exact = a @ b.T
     for s in (1, 4, 16):
         assert (topk._statistics(a, s) @ topk._statistics(b, s).T >= exact - 1e-6).all()
+
+
+def test_large_components(spark):
+    rows = [(0, [2.0**20, 1.0]), (1, [2.0**22, 3.0]), (2, [2.0**22 - 1, 2.0])]
+    table = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA)
+    got = topk.top_k(table, table.where("vec_id = 0"), k=5).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == _brute(rows, [0], 5)
+    for large in (2.0**40, 3e38):
+        table = spark.createDataFrame([(0, [large], 1), (1, [-large], 1)], SCHEMA)
+        with pytest.raises(Exception, match="smaller scale"):
+            topk.top_k(table, table, k=1).collect()
