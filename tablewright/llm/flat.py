@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,3 +108,12 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of all elements of the given runs, one run after the other."""
     total = int(lengths.sum())
     return np.arange(total) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after a task, and keeps what the task used."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import jaccard
 from tablewright.llm.components import components
-from tablewright.llm.flat import flat_text, mixed, rolling_hash, slices, span_hash, word_spans
+from tablewright.llm.flat import flat_text, give_back, mixed, rolling_hash, slices, span_hash, word_spans
 from tablewright.llm.substring import release, unpacked
 from tablewright.session import materialize
 
@@ -40,7 +40,9 @@ THRESHOLD = 0.8
 # A pair at the threshold shares no band of a signature with probability 0.0001, one at 0.3 shares one with 0.02.
 BANDS, ROWS = 30, 6
 # Texts and shingles of a piece at most.
-PIECE_TEXTS, PIECE_SHINGLES = 4096, 1 << 20
+PIECE_TEXTS, PIECE_SHINGLES = 2048, 1 << 20
+# From so many texts on, a cell's memory is worth giving back.
+_MANY = 256
 
 _SALTS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _NO_WORDS = -1
@@ -110,27 +112,31 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, with_bands: bool = True) -> DataFrame:
     """doc_id, x (a hash of the text), one and two (hashes of its words; 0: none), and n (shingles) and bands."""
 
+    def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
+        doc, code, wholes = shingles(*flat_text(batch.column("text")))
+        columns = [batch.column("doc_id"), batch.column("x"), *(pa.array(w.view(np.int64)) for w in wholes)]
+        names = ["doc_id", "x", "one", "two"]
+        if with_bands:
+            doc, code, count = distinct(doc, code)
+            n = np.bincount(doc, minlength=batch.num_rows)
+            found = signatures(doc, code, np.ones(len(doc)), batch.num_rows, bands * rows)
+            texts, keys = [np.flatnonzero(n)], [band_keys(found, bands, rows)[n > 0]]
+            again = np.unique(doc[count > 1])  # texts with weights that are not all equal
+            own = np.isin(doc, again)
+            found = signatures(np.searchsorted(again, doc[own]), code[own], 1 + np.log(count[own]), len(again), bands * rows)
+            texts.append(again)
+            keys.append(band_keys(found, bands, rows))
+            owner = np.repeat(np.concatenate(texts), bands)
+            order = np.argsort(owner, kind="stable")
+            ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=batch.num_rows))]
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).ravel()[order].view(np.int64)))
+            columns, names = [*columns, pa.array(n, pa.int64()), lists], [*names, "n", "bands"]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            doc, code, wholes = shingles(*flat_text(batch.column("text")))
-            columns = [batch.column("doc_id"), batch.column("x"), *(pa.array(w.view(np.int64)) for w in wholes)]
-            names = ["doc_id", "x", "one", "two"]
-            if with_bands:
-                doc, code, count = distinct(doc, code)
-                n = np.bincount(doc, minlength=batch.num_rows)
-                found = signatures(doc, code, np.ones(len(doc)), batch.num_rows, bands * rows)
-                texts, keys = [np.flatnonzero(n)], [band_keys(found, bands, rows)[n > 0]]
-                again = np.unique(doc[count > 1])  # texts with weights that are not all equal
-                own = np.isin(doc, again)
-                found = signatures(np.searchsorted(again, doc[own]), code[own], 1 + np.log(count[own]), len(again), bands * rows)
-                texts.append(again)
-                keys.append(band_keys(found, bands, rows))
-                owner = np.repeat(np.concatenate(texts), bands)
-                order = np.argsort(owner, kind="stable")
-                ends = np.r_[0, np.cumsum(np.bincount(owner, minlength=batch.num_rows))]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys).ravel()[order].view(np.int64)))
-                columns, names = [*columns, pa.array(n, pa.int64()), lists], [*names, "n", "bands"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield sign(batch)
+        give_back()
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("x"), "text")
     return keyed.mapInArrow(run, "doc_id long, x long, one long, two long" + (", n long, bands array<long>" if with_bands else ""))
@@ -157,7 +163,7 @@ class Texts(jaccard.Side):
 
 
 def _verified(hundredths: int):
-    def links(key: tuple, table: pa.Table) -> pa.Table:
+    def verify(key: tuple, table: pa.Table) -> pa.Table:
         i, j = key[1].as_py(), key[2].as_py()
         block = table["block"].to_numpy()
         left = Texts(table.take(pa.array(np.flatnonzero(block == i))))
@@ -168,6 +174,12 @@ def _verified(hundredths: int):
         edges = np.array(jaccard.forest(found, i == j), np.int64).reshape(-1, 2)
         return pa.table([pa.array(left.id[edges[:, 0]]), pa.array(right.id[edges[:, 1]])], names=["u", "v"])
 
+    def links(key: tuple, table: pa.Table) -> pa.Table:
+        found = verify(key, table)
+        if table.num_rows > _MANY:
+            give_back()
+        return found
+
     return links
 
 

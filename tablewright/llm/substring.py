@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.flat import flat_text, gather, mixed, powers, rolling_hash, slices, span_hash, word_spans
+from tablewright.llm.flat import flat_text, gather, give_back, mixed, powers, rolling_hash, slices, span_hash, word_spans
 from tablewright.session import materialize
 
 WINDOW = 20
@@ -104,6 +104,8 @@ def blocks(docs: DataFrame, window: int) -> DataFrame:
             place = (tag << (_WORD_BITS + _COUNT_BITS)) | (word << _COUNT_BITS) | count
             columns = [pa.array(x, pa.int64()) for x in (anchor, content, doc, wide, place)]
             yield pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "doc", "wide", "place"])
+            del columns, anchor, content, owner, word, count, doc, wide, tag, place
+        give_back()
 
     return docs.select(*_ROW, "text").mapInArrow(run, "anchor long, content long, doc long, wide long, place long")
 
@@ -191,6 +193,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, wide: bool = True) -
             one, two = rolling_hash(words, window)[at].view(np.int64), rolling_hash(words, window, _SECOND)[at].view(np.int64)
             columns = [pa.array(x, pa.int64()) for x in (one, two, doc, wide, place)]
             yield pa.RecordBatch.from_arrays(columns, names=["one", "two", "doc", "wide", "place"])
+            del columns, data, offsets, starts, ends, first, words, spans, span, owner, count, word, at, doc, wide, tag, place, one, two
+        give_back()
 
     single = materialize(joined.mapInArrow(windows, "one long, two long, doc long, wide long, place long"), label="windows")
     release(spark)
