@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tablewright.llm.flat import SPACE, flat_text, gather, slices, span_hash
+from tablewright.llm.flat import SPACE, flat_text, gather, give_back, slices, span_hash
 
 # Unicode white space, as a regular expression class (fixed values).
 WHITE = r"\t-\r \x85\xa0  -     　"
@@ -58,11 +58,12 @@ _classes: list[np.ndarray] = []
 def character_classes() -> np.ndarray:
     """Letter, number, white space or other (0), by code point."""
     if not _classes:
-        points = [*range(0xD800), *range(0xE000, 0x110000)]
-        every, table = "".join(map(chr, points)), np.zeros(0x110000, np.uint8)
-        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, f"[{WHITE}]+")):
-            for found in regex.finditer(pattern, every):
-                table[points[found.start() : found.end()]] = kind
+        table = np.zeros(0x110000, np.uint8)
+        for at in (a for a in range(0, 0x110000, 0x800) if a != 0xD800):  # bit by bit: all at once is a list of a million numbers
+            some = "".join(map(chr, range(at, at + 0x800)))
+            for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, f"[{WHITE}]+")):
+                for found in regex.finditer(pattern, some):
+                    table[at + found.start() : at + found.end()] = kind
         _classes.append(table)
     return _classes[0]
 
@@ -295,6 +296,7 @@ def encoder(path: str) -> Encoder:
     """The encoder of a file, loaded once per Python worker."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+        give_back()  # the file's vocabulary as Python objects
     return _encoders[path]
 
 

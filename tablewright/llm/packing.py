@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.bpe import encoder
-from tablewright.llm.flat import flat_text, slices
+from tablewright.llm.flat import flat_text, give_back, slices
 from tablewright.session import materialize
 
 CAPACITY = 4096
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=1 << 20):
             ids, offsets = encoder(path).encode(*flat_text(batch.column("text")))
             raw, end = ids.astype("<u4").tobytes(), int(end_id).to_bytes(4, "little")
             row, piece, start, length, crc = [], [], [], [], []
@@ -71,6 +71,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 1
                 + [pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+            del ids, offsets, raw
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

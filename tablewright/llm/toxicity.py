@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.flat import flat_text, slices, span_hash
+from tablewright.llm.flat import flat_text, give_back, slices, span_hash
 
 GRADES = 4
 PREFIXES = (4, 5, 6)
@@ -107,12 +107,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int = 3000,
     chosen = docs.select("doc_id", "text").join(F.broadcast(toxic.unionAll(clean)), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=1 << 20):
             doc, code = all_features(batch.column("text"))
             ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             hashes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(code.view(np.int64)))
             same = pa.array(span_hash_of(batch.column("text")).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), same, hashes], names=["toxic", "same", "hashes"])
+            del doc, code, ends, hashes, same
+        give_back()
 
     rows = chosen.mapInArrow(run, "toxic boolean, same long, hashes array<long>").toArrow()
     flags, same = rows["toxic"].to_numpy(), rows["same"].to_numpy()
@@ -191,10 +193,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with severity (0 to 3), grade and is_toxic."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=1 << 20):
             rest = [n for n in batch.schema.names if n not in RESULTS]
             found = [pa.array(x) for x in model.severity(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), *found], names=[*rest, *RESULTS])
+        give_back()
 
     rest = docs.drop(*RESULTS)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields)

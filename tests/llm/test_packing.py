@@ -1,13 +1,15 @@
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tablewright.llm import packing
+from tablewright.llm import bpe, packing
 
 
 def _check(rows, capacity):
@@ -71,3 +73,36 @@ def test_documents(corpus, nothing):
     assert sorted(got, key=str) == sorted(want, key=str)
     assert _check([(r.sequence_id, r.offset, r.length) for r in rows], 4096) <= math.ceil(sum(w[3] for w in want) / 4096) + 1
     assert packing.pack_documents(nothing, path).collect() == []
+
+
+def test_a_worker_needs_little_memory():
+    """A few MB of text come as one batch; what encoding takes beside it must not grow with the batch."""
+    taken = {}
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    run = packing.pieces(Docs(), public_tokenizers.path("word_bpe_49k.json"))
+    for megabytes in (2, 8):
+        text = " ".join(f"w{i}" for i in range(16_000))[:100_000]
+        batch = pa.RecordBatch.from_pydict({"doc_id": list(range(10 * megabytes)), "text": [text] * (10 * megabytes)})
+        list(run(iter([batch])))
+        tracemalloc.start()
+        assert sum(out.num_rows for out in run(iter([batch]))) > 0
+        taken[megabytes] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert taken[8] < 1.5 * taken[2]
+
+
+def test_character_classes_need_little_memory(monkeypatch):
+    monkeypatch.setattr(bpe, "_classes", [])
+    tracemalloc.start()
+    table = bpe.character_classes()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 8 << 20
+    assert table[ord("é")] == bpe.LETTER and table[ord("7")] == bpe.NUMBER and table[0x3000] == bpe.BLANK and table[0x10FFFF] == 0
