@@ -32,3 +32,12 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["status", "n", "total"]
+
+
+def test_relocated_partitions_with_a_file_of_a_header_alone(spark, tmp_path):
+    """The first task finds no order of the partition elsewhere, and leaves a file without rows there."""
+    for status, n in (("F", 2000), ("O", 10)):
+        orders = spark.range(n).selectExpr("id AS o_orderkey", f"'{status}' AS o_orderstatus").coalesce(1)
+        orders.write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    (row,) = QUERIES["inventory_relocated_partitions"](spark, str(tmp_path)).collect()
+    assert (row.partitions, row.every_file, row.n) == (2, True, 2010)
