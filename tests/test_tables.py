@@ -7,7 +7,9 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.classic.dataframe import DataFrame
 
+from tablewright.plans import maintenance
 from tablewright.plans.inventory import inventory_report, table_inventory
 from tablewright.plans.jobs import export_tables, fan_out
 from tablewright.plans.maintenance import compact_table, remove_superseded, table_files
@@ -326,6 +328,29 @@ def test_compaction_of_two_partition_columns_and_clashing_names(spark, db, tmp_p
     assert tuples(read_table(spark, db, "t")) == before
 
 
+@pytest.mark.parametrize("parts", [(), ("p",)])
+def test_a_sorted_file_is_strung_together_from_small_ranges(spark, db, tmp_path, monkeypatch, parts):
+    monkeypatch.setattr(maintenance, "_SORTED_ROWS", 50)
+    small_files(spark, db, tmp_path, parts)
+    before = tuples(read_table(spark, db, "t"))
+    sizes, write = [], DataFrame.sortWithinPartitions
+
+    def watched(df, *by):
+        out = write(df, *by)
+        sizes.extend(r[0] for r in out.groupBy(F.spark_partition_id(), *(["p"] if parts else [])).count().select("count").collect())
+        return out
+
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", watched)
+    assert compact_table(spark, db, "t", sort_by=("x", "id")) == (4 if parts else 1)
+    assert sum(sizes) == 1000 and max(sizes) <= 150
+    assert table_files(spark, db, "t").count() == (4 if parts else 1)
+    rows = read_table(spark, db, "t").select("*", "_metadata.file_path", "_metadata.row_index")
+    assert tuples(rows.drop("file_path", "row_index")) == before
+    for file in {r.file_path for r in rows.collect()}:
+        own = [(r.x, r.id) for r in sorted(rows.where(F.col("file_path") == file).collect(), key=lambda r: r.row_index)]
+        assert own == sorted(own)
+
+
 def test_only_parquet_is_compacted(spark, lake):
     with pytest.raises(ValueError, match="csv"):
         compact_table(spark, "raw", "orders")
