@@ -5,6 +5,7 @@ from pathlib import Path
 import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.classic.dataframe import DataFrame
@@ -351,6 +352,16 @@ def test_a_sorted_file_is_strung_together_from_small_ranges(spark, db, tmp_path,
         assert own == sorted(own)
 
 
+def test_compacting_partitions_sorts_nothing(spark, db, tmp_path, monkeypatch):
+    """Spark sorts what it writes by partition columns, unless files of several may be open."""
+    small_files(spark, db, tmp_path, ("p",))
+    open_files, write = [], DataFrameWriter.partitionBy
+    limit = "spark.sql.maxConcurrentOutputFileWriters"
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *columns: open_files.append(spark.conf.get(limit)) or write(self, *columns))
+    assert compact_table(spark, db, "t") == 4
+    assert open_files == ["1"] and spark.conf.get(limit) == "0"
+
+
 def test_only_parquet_is_compacted(spark, lake):
     with pytest.raises(ValueError, match="csv"):
         compact_table(spark, "raw", "orders")
