@@ -22,13 +22,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: i
     """The batches again, in pieces whose texts come to about `max_bytes`; a longer text is a piece of its own."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes.astype(np.int64))
-        at = 0
-        while at < batch.num_rows:
-            done = ends[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
-            yield batch.slice(at, upto - at)
-            at = upto
+        yield from pieces(batch, sizes.astype(np.int64), max_bytes)
+
+
+def pieces(batch: pa.RecordBatch, sizes: np.ndarray, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces whose rows, of the given sizes, come to `max_bytes` at most; a larger row is a piece of its own."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
+        yield batch.slice(at, upto - at)
+        at = upto
 
 
 def flat_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -29,11 +29,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.flat import flat_text, gather, give_back, mixed, powers, rolling_hash, slices, span_hash, word_spans
+from tablewright.llm.flat import flat_text, gather, give_back, mixed, pieces, powers, rolling_hash, slices, span_hash, word_spans
 from tablewright.session import materialize
 
 WINDOW = 20
 ANCHOR = 5
+# Bytes of text that a task works on at once; a longer text is a piece of its own.
+PIECE_BYTES = 1 << 20
 
 # A place in a document as one long, in this order: 23 bits of a second hash of the text, 35 bits of word number,
 # 5 bits of the number of windows.
@@ -98,7 +100,7 @@ def blocks(docs: DataFrame, window: int) -> DataFrame:
     """anchor, content, doc, wide, place of every block of every document (with `_doc`, `_wide`, `_tag`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=PIECE_BYTES):
             anchor, content, owner, word, count = _blocks(*flat_text(batch.column("text")), window)
             doc, wide, tag = (batch.column(c).to_numpy()[owner] for c in _ROW)
             place = (tag << (_WORD_BITS + _COUNT_BITS)) | (word << _COUNT_BITS) | count
@@ -115,10 +117,12 @@ def packed(docs: DataFrame, *more: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for batch in slices(batches):
+        for batch in slices(batches, max_bytes=PIECE_BYTES):
             names = [n for n in batch.schema.names if n != "text"]
             texts = [pack(t.encode("utf-8")) if t is not None else None for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.binary())], names=[*names, "_text"])
+            del texts
+        give_back()
 
     df = docs.select(*more, "text")
     rest = df.drop("text")
@@ -126,13 +130,17 @@ def packed(docs: DataFrame, *more: str) -> DataFrame:
     return df.mapInArrow(run, f"{schema}, _text binary")
 
 
-def unpacked(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Batches with `text` again, in pieces."""
+def unpacked(batches: Iterator[pa.RecordBatch], most_bytes: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches with `text` again, in pieces whose texts come to about `most_bytes`; a longer text is a piece of its own."""
     unpack = zstandard.ZstdDecompressor().decompress
-    for batch in slices(batches, "_text", most_bytes):
-        texts = pa.array([unpack(t) if t is not None else None for t in batch.column("_text").to_pylist()], pa.binary()).cast(pa.string())
-        names = [n for n in batch.schema.names if n != "_text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), texts], names=[*names, "text"])
+    for batch in batches:
+        # A text can be a thousand times as long as its compressed form, so what it will take is read from its frame.
+        sizes = np.array([zstandard.frame_content_size(t.as_buffer()) if t.is_valid else 0 for t in batch.column("_text")], np.int64)
+        for piece in pieces(batch, sizes, most_bytes):
+            texts = pa.array([unpack(t) if t is not None else None for t in piece.column("_text").to_pylist()], pa.binary()).cast(pa.string())
+            names = [n for n in piece.schema.names if n != "_text"]
+            yield pa.RecordBatch.from_arrays([*(piece.column(n) for n in names), texts], names=[*names, "text"])
+            del texts
 
 
 def release(spark: SparkSession) -> None:
@@ -228,25 +236,29 @@ def _with_spans(docs: DataFrame, window: int, *columns: str) -> DataFrame:
 def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and the SHA-256 of the kept words, joined by one blank."""
 
+    def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = flat_text(batch.column("text"))
+        starts, ends, first = word_spans(data, offsets)
+        kept = ~_removed(batch, first, window)
+        length = np.where(kept, ends - starts + 1, 0)  # with a blank behind
+        at = gather(starts, length)
+        last = np.cumsum(length)[kept] - 1
+        joined = data[np.minimum(at, max(len(data) - 1, 0))]
+        joined[last] = 0x20
+        bounds = np.r_[0, np.cumsum(length)][first]
+        raw = joined.tobytes()
+        digests = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        n_kept = np.r_[0, np.cumsum(kept)][first]
+        n_words = np.diff(first)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_words - np.diff(n_kept), pa.int64()), pa.array(digests, pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
-            data, offsets = flat_text(batch.column("text"))
-            starts, ends, first = word_spans(data, offsets)
-            kept = ~_removed(batch, first, window)
-            length = np.where(kept, ends - starts + 1, 0)  # with a blank behind
-            at = gather(starts, length)
-            last = np.cumsum(length)[kept] - 1
-            joined = data[np.minimum(at, max(len(data) - 1, 0))]
-            joined[last] = 0x20
-            bounds = np.r_[0, np.cumsum(length)][first]
-            raw = joined.tobytes()
-            digest = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            n_kept = np.r_[0, np.cumsum(kept)][first]
-            n_words = np.diff(first)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_words - np.diff(n_kept), pa.int64()), pa.array(digest, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256"],
-            )
+            yield digest(batch)
+        give_back()
 
     joined = _with_spans(docs, window, "doc_id").select("doc_id", "_text", "spans")
     return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
@@ -256,22 +268,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """`docs` with repeated passages cut out of the text; white space goes with the word before it."""
     names = [n for n in docs.columns if n != "text"]
 
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = flat_text(batch.column("text"))
+        starts, _, first = word_spans(data, offsets)
+        removed = np.flatnonzero(_removed(batch, first, window))
+        # A word's bytes reach to the next word, or to the end of its text.
+        doc = np.searchsorted(first, removed, side="right") - 1
+        begin, until = starts[removed], np.minimum(np.r_[starts[1:], len(data)][removed], offsets[1:][doc])
+        # No two words begin, or end, at the same byte.
+        change = np.zeros(len(data) + 1, np.int8)
+        change[begin] += 1
+        change[until] -= 1
+        raw = data[np.cumsum(change[:-1], dtype=np.int8) == 0].tobytes()
+        lengths = np.diff(offsets)
+        np.subtract.at(lengths, doc, until - begin)
+        bounds = np.r_[0, np.cumsum(lengths)].tolist()
+        nulls = batch.column("text").is_null().to_pylist()
+        texts = [None if no else raw[a:b].decode("utf-8") for a, b, no in zip(bounds[:-1], bounds[1:], nulls, strict=True)]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(texts, pa.string())], names=[*names, "text"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in unpacked(batches):
-            data, offsets = flat_text(batch.column("text"))
-            starts, _, first = word_spans(data, offsets)
-            removed = _removed(batch, first, window)
-            change = np.zeros(len(data) + 1, np.int64)
-            # A word's bytes reach to the next word, or to the end of its text.
-            doc = np.repeat(np.arange(batch.num_rows), np.diff(first))
-            until = np.minimum(np.r_[starts[1:], len(data)], offsets[1:][doc]) if len(starts) else starts
-            np.add.at(change, starts[removed], 1)
-            np.add.at(change, until[removed], -1)
-            kept = np.cumsum(change)[:-1] == 0
-            raw, bounds = data[kept].tobytes(), np.r_[0, np.cumsum(kept)][offsets].tolist()
-            nulls = batch.column("text").is_null().to_pylist()
-            texts = [None if no else raw[a:b].decode("utf-8") for a, b, no in zip(bounds[:-1], bounds[1:], nulls, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in inner), pa.array(texts, pa.string())], names=[*names, "text"])
+            yield cut(batch)
+        give_back()
 
     # Under names of our own, so that no column of the table can clash.
     inner = [f"_c{i}" for i in range(len(names))]

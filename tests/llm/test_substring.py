@@ -1,8 +1,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from tablewright.llm import substring
 
@@ -88,3 +91,45 @@ def test_many_rows_of_one_id_and_of_none(spark, monkeypatch, tag_bits):
         kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
         want.append((doc_id, len(words), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
     assert sorted(map(tuple, substring.digests(docs).collect()), key=str) == sorted(want, key=str)
+
+
+def test_pieces_are_bounded_by_text_not_by_its_compressed_form():
+    """Long texts of few different words compress to almost nothing; many of them must not be unpacked at once."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    texts = [b"the same words again " * 10_000] * 40 + [None, b"", b"x " * 2_000_000, "é".encode()]
+    batch = pa.RecordBatch.from_pydict({"i": list(range(44)), "_text": [pack(t) if t is not None else None for t in texts]})
+    pieces = list(substring.unpacked(iter([batch])))
+    assert [t for p in pieces for t in p.column("text").to_pylist()] == [t.decode() if t is not None else None for t in texts]
+    assert [i for p in pieces for i in p.column("i").to_pylist()] == list(range(44))
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column("text").to_pylist()) <= 1 << 20 for p in pieces)
+
+
+def test_cutting_needs_little_memory(monkeypatch):
+    """What a task takes beside a batch must not grow with the texts in it."""
+
+    class Docs:
+        columns, schema = ["text"], {}
+
+        def select(self, *_):
+            return self
+
+        toDF = select
+
+        def mapInArrow(self, run, _):
+            self.run = run
+            return self
+
+    monkeypatch.setattr(substring, "_with_spans", lambda docs, *_: docs)
+    run, taken = substring.remove_repeats(Docs()).run, {}
+    text = " ".join(f"w{i}" for i in range(16_000))[:100_000].encode()
+    row = zstandard.ZstdCompressor(level=1).compress(text)
+    for megabytes in (2, 8):
+        n = 10 * megabytes
+        batch = pa.RecordBatch.from_arrays([pa.array([row] * n, pa.binary()), pa.array([[10 * 32 + 5]] * n, pa.list_(pa.int64()))], names=["_text", "spans"])
+        tracemalloc.start()
+        kept = " ".join(w for i, w in enumerate(text.decode().split(" ")) if not 10 <= i < 34)
+        for out in run(iter([batch])):
+            assert set(out.column("text").to_pylist()) == {kept}
+        taken[megabytes] = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert taken[8] < 1.5 * taken[2]
